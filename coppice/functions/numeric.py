@@ -47,19 +47,30 @@ def x_log2_x(c: Column) -> Column:
     return F.when(value > 0, value * F.log2(value)).otherwise(F.lit(0.0))
 
 
+def impurity_term(c: Column, criterion: str = "entropy") -> Column:
+    """What one label's count contributes to ``combined_mass``."""
+    if criterion == "entropy":
+        return x_log2_x(c)
+    if criterion == "gini":
+        return c.cast("double") * c.cast("double")
+    raise ValueError(f"unknown criterion: {criterion}")
+
+
+def combined_mass(n: Column, terms: Column, criterion: str = "entropy") -> Column:
+    """Rows times impurity, from the number of rows and the sum of the terms."""
+    if criterion == "entropy":
+        return x_log2_x(n) - terms
+    return F.when(n > 0, n.cast("double") - terms / n).otherwise(F.lit(0.0))
+
+
 def impurity_mass(counts: Sequence[Column], criterion: str = "entropy") -> Column:
     """Rows times impurity of a group, from its counts per label.
 
     The sum over the groups of a partition, divided by all rows, is the weighted
     impurity. An empty group weighs nothing.
     """
-    n = total(counts)
-    if criterion == "entropy":
-        return x_log2_x(n) - total([x_log2_x(c) for c in counts])
-    if criterion == "gini":
-        squares = total([c.cast("double") * c.cast("double") for c in counts])
-        return F.when(n > 0, n.cast("double") - squares / n).otherwise(F.lit(0.0))
-    raise ValueError(f"unknown criterion: {criterion}")
+    terms = total([impurity_term(c, criterion) for c in counts])
+    return combined_mass(total(counts), terms, criterion)
 
 
 def impurity(counts: Sequence[Column], criterion: str = "entropy") -> Column:

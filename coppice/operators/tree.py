@@ -24,7 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from coppice.functions.numeric import impurity_mass, split_impurity, total
+from coppice.functions.numeric import (
+    combined_mass,
+    impurity_mass,
+    impurity_term,
+    split_impurity,
+    total,
+)
 from coppice.operators.columns import col
 from coppice.operators.profile import CATEGORY_VALUES, feature_cell, type_class
 from coppice.operators.treemodel import ROOT, Node, TreeModel
@@ -352,9 +358,8 @@ class _Training:
             found[r["tree"], r["node"]] = _Split(s["merit"], s["feature"], s["num"], s["str"], counts)
         return found
 
-    @cache
-    def _bound(self) -> Column:
-        """Least impurity any question inside a bucket could reach.
+    def _with_bound(self, buckets: DataFrame) -> DataFrame:
+        """Add the least impurity any question inside a bucket could reach.
 
         Weighted impurity is concave in the counts of the "yes" side, and those lie
         between the counts before the bucket and the same plus all its rows: the least
@@ -362,16 +367,29 @@ class _Training:
         bucket's rows a pure side of their own instead, which is lower still.
         """
         left, held, every = self._vector("l"), self._vector("c"), self._vector("t")
+        kinds = range(len(self.labels))
         if len(self.labels) > CORNER_LABELS:
             right = [t - a - c for t, a, c in zip(every, left, held)]
             mass = impurity_mass(left, self.criterion) + impurity_mass(right, self.criterion)
-            return mass / total(every)
+            return buckets.withColumn("bound", mass / total(every))
+        # Both sides' terms per label, once without (0) and once with (1) the bucket's rows.
+        terms = {}
+        for k, (a, c, t) in enumerate(zip(left, held, every)):
+            for taken, yes in enumerate((a, a + c)):
+                no = t - yes
+                terms[f"p{k}{taken}"] = impurity_term(yes, self.criterion)
+                terms[f"q{k}{taken}"] = impurity_term(no, self.criterion)
         corners = []
-        for taken in product((False, True), repeat=len(self.labels)):
-            yes = [a + c if full else a for a, c, full in zip(left, held, taken)]
-            no = [t - y for t, y in zip(every, yes)]
-            corners.append(split_impurity(yes, no, self.criterion))
-        return F.least(*corners) if len(corners) > 1 else corners[0]
+        for taken in product((0, 1), repeat=len(self.labels)):
+            n_yes = total([left[k] + held[k] if taken[k] else left[k] for k in kinds])
+            n_no = total(every) - n_yes
+            yes = total([F.col(f"p{k}{taken[k]}") for k in kinds])
+            no = total([F.col(f"q{k}{taken[k]}") for k in kinds])
+            corners.append(
+                combined_mass(n_yes, yes, self.criterion) + combined_mass(n_no, no, self.criterion)
+            )
+        least = F.least(*corners) if len(corners) > 1 else corners[0]
+        return buckets.withColumns(terms).withColumn("bound", least / total(every))
 
     def _open_buckets(self, first: DataFrame, known: dict) -> DataFrame:
         """Buckets that may hide a better question than the best one known."""
@@ -379,9 +397,10 @@ class _Training:
             [(t, n, -s.merit) for (t, n), s in known.items()], "tree int, node bigint, reached double"
         )
         side = F.broadcast(bests) if len(known) <= BROADCAST_ROWS else bests
-        may_win = F.col("reached").isNull() | (self._bound() <= F.col("reached") + _SLACK)
+        may_win = F.col("reached").isNull() | (F.col("bound") <= F.col("reached") + _SLACK)
+        many_valued = first.filter(F.col("bucket").isNotNull() & ~F.col("one_value"))
         return (
-            first.filter(F.col("bucket").isNotNull() & ~F.col("one_value"))
+            self._with_bound(many_valued)
             .join(side, ["tree", "node"], "left")
             .filter(may_win)
             .select(

@@ -103,9 +103,14 @@ class TreeModel:
     # Node table ---------------------------------------------------------------
 
     def to_table(self, spark: SparkSession) -> DataFrame:
-        """Nodes as rows, with the rendered question in a last column."""
-        rows = [n.row() + (None if n.is_leaf else n.question,) for n in self.nodes()]
-        return spark.createDataFrame(rows, NODE_SCHEMA + ", question string")
+        """Nodes as rows, plus the rendered question and the answers that lead there."""
+        rows = []
+        for t in self.tree_ids:
+            paths = self.paths(t)
+            for node_id in sorted(self.trees[t]):
+                node = self.trees[t][node_id]
+                rows.append(node.row() + (None if node.is_leaf else node.question, paths[node_id]))
+        return spark.createDataFrame(rows, NODE_SCHEMA + ", question string, path string")
 
     @classmethod
     def from_table(cls, table: DataFrame, label_type: str = "string") -> TreeModel:
@@ -122,6 +127,17 @@ class TreeModel:
     def load(cls, spark: SparkSession, path: str, label_type: str = "string") -> TreeModel:
         return cls.from_table(spark.read.parquet(path), label_type)
 
+    def paths(self, tree_id: int) -> dict[int, str]:
+        """Answers from the root to each node, as a text of ``y`` and ``n``."""
+        result, waiting = {}, [(ROOT, "")]
+        while waiting:
+            node_id, path = waiting.pop()
+            result[node_id] = path
+            node = self.trees[tree_id][node_id]
+            if not node.is_leaf:
+                waiting += [(node.yes_id, path + "y"), (node.no_id, path + "n")]
+        return result
+
     # Text -----------------------------------------------------------------------
 
     def nested(self, tree_id: int, node_id: int = ROOT) -> dict | str:

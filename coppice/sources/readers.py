@@ -34,16 +34,20 @@ def read_csv(
 
 
 def read_positional(
-    spark: SparkSession, path: str | list[str], names: list[str], header_column: str
+    spark: SparkSession,
+    path: str | list[str],
+    names: list[str],
+    header_column: str,
+    header_text: str | None = None,
 ) -> DataFrame:
     """CSV whose fields are taken by position; header rows are found by content.
 
-    A row is a header if field ``header_column`` holds its own name, wherever in
-    the input it stands (concatenated files have several).
+    A row is a header if field ``header_column`` holds ``header_text`` (by default its
+    own name), wherever it stands: concatenated files have several.
     """
     rows = spark.read.option("escape", '"').schema(text_schema(names)).csv(path)
     value = F.col(f"`{header_column}`")
-    return rows.filter(value.isNull() | (value != header_column))
+    return rows.filter(value.isNull() | (value != (header_text or header_column)))
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
