@@ -77,11 +77,14 @@ class TextCodes:
         if small:
             outputs = [f"_code_{i}" for i in range(len(small))]
             inputs = [f"_text_{i}" for i in range(len(small))]
-            model = StringIndexerModel.from_arrays_of_labels(
-                [self.small[c] for c in small], inputs, outputs, handleInvalid="keep"
-            )
-            staged = df.withColumns({t: col(c) for t, c in zip(inputs, small)})
-            df = model.transform(staged)
+            df = df.withColumns({t: col(c) for t, c in zip(inputs, small)})
+            # One model per column: a model of several columns gives unseen values of all
+            # of them the code that fits the first.
+            for c, given, made in zip(small, inputs, outputs):
+                model = StringIndexerModel.from_labels(
+                    self.small[c], inputCol=given, outputCol=made, handleInvalid="keep"
+                )
+                df = model.transform(df)
             # Codes are plain numbers from here on, as after a round trip through a file.
             coded = {c: F.col(o).alias("x", metadata={}) for c, o in zip(small, outputs)}
         large = [c for c in self.large if c in names]
