@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coppice.functions.numeric import round_exact_even, round_half_up
@@ -23,8 +23,8 @@ def seconds_of_day(c: Column | str) -> Column:
     Text that is no time of day gives null.
     """
     clock = token(as_column(c), " ", -1)
-    part = [F.try_to_number(F.split_part(clock, F.lit(":"), F.lit(i)), F.lit("99")) for i in (1, 2, 3)]
-    return (part[0] * 3600 + part[1] * 60 + part[2]).cast("bigint")
+    part = [F.split_part(clock, F.lit(":"), F.lit(i)).try_cast("bigint") for i in (1, 2, 3)]
+    return part[0] * 3600 + part[1] * 60 + part[2]
 
 
 def _span(start: Column, end: Column, wrap_midnight: bool) -> Column:
@@ -46,6 +46,12 @@ def opening_seconds(
     return first + second
 
 
+def hours_from_seconds(seconds: Column | str, digits: int = 2, binary: bool = False) -> Column:
+    """Rounded hours; ``binary`` rounds ties of the stored value to even, not half up."""
+    hours = as_column(seconds) / F.lit(3600.0)
+    return round_exact_even(hours, digits) if binary else round_half_up(hours, digits)
+
+
 def opening_hours(
     from1: Column | str,
     to1: Column | str,
@@ -57,26 +63,37 @@ def opening_hours(
 ) -> Column:
     """Hours covered by two opening intervals.
 
-    ``binary`` rounds ties of the stored value to even instead of half up. A close
-    after midnight counts negative unless ``wrap_midnight`` is set.
+    A close after midnight counts negative unless ``wrap_midnight`` is set.
     """
-    hours = opening_seconds(from1, to1, from2, to2, wrap_midnight) / F.lit(3600.0)
-    return round_exact_even(hours, digits) if binary else round_half_up(hours, digits)
+    return hours_from_seconds(opening_seconds(from1, to1, from2, to2, wrap_midnight), digits, binary)
+
+
+def add_weekday_seconds(
+    df: DataFrame, suffix: str = "_seconds", wrap_midnight: bool = False
+) -> DataFrame:
+    """Opening seconds of all seven days as columns ``day + suffix``.
+
+    Rounding mentions its input many times; with the seconds as columns of their own
+    the texts are parsed once and plans stay small.
+    """
+    return df.withColumns(
+        {
+            day + suffix: opening_seconds(
+                f"{day}_from_time1",
+                f"{day}_to_time1",
+                f"{day}_from_time2",
+                f"{day}_to_time2",
+                wrap_midnight,
+            )
+            for day in WEEKDAYS
+        }
+    )
 
 
 def weekday_hours(
-    suffix: str, digits: int = 2, binary: bool = False, wrap_midnight: bool = False
+    suffix: str, digits: int = 2, binary: bool = False, seconds_suffix: str = "_seconds"
 ) -> dict[str, Column]:
-    """Opening hours of all seven days as ``{day + suffix: expression}``."""
+    """``{day + suffix: hours}`` over the columns of ``add_weekday_seconds``."""
     return {
-        day + suffix: opening_hours(
-            f"{day}_from_time1",
-            f"{day}_to_time1",
-            f"{day}_from_time2",
-            f"{day}_to_time2",
-            digits,
-            binary,
-            wrap_midnight,
-        )
-        for day in WEEKDAYS
+        day + suffix: hours_from_seconds(day + seconds_suffix, digits, binary) for day in WEEKDAYS
     }

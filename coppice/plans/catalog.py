@@ -344,11 +344,12 @@ def date_part_text(spark, sf_dir):
 @query
 def opening_hours(spark, sf_dir):
     """Hours per weekday with both kinds of rounding, and with closes after midnight."""
-    wide = wide_table(spark, sf_dir)
+    wide = timeofday.add_weekday_seconds(wide_table(spark, sf_dir))
+    wide = timeofday.add_weekday_seconds(wide, "_wrapped_seconds", wrap_midnight=True)
     hours = {
         **timeofday.weekday_hours("_2", digits=2),
         **timeofday.weekday_hours("_1", digits=1, binary=True),
-        **timeofday.weekday_hours("_wrapped", digits=2, wrap_midnight=True),
+        **timeofday.weekday_hours("_wrapped", digits=2, seconds_suffix="_wrapped_seconds"),
     }
     return wide.select(key_column(), *[h.alias(n) for n, h in hours.items()])
 

@@ -17,7 +17,7 @@ from coppice.functions.text import (
     strip_tag_quotes,
     tag_value,
 )
-from coppice.functions.timeofday import weekday_hours
+from coppice.functions.timeofday import add_weekday_seconds, weekday_hours
 from coppice.operators.columns import cast_columns, col
 from coppice.operators.encode import TextCodes, learn_codes
 from coppice.operators.impute import MISSING_TIME, FillPlan, learn_fill
@@ -32,6 +32,7 @@ from coppice.plans.schemas import (
     ENGINEERED_DOUBLES,
     TIME_COLUMNS,
     VECTOR_COLUMNS,
+    WEEKDAYS,
 )
 from coppice.session import write_scratch
 
@@ -61,10 +62,10 @@ def learn_missing(
 def engineer(df: DataFrame, keep: Sequence[str] = (), wrap_midnight: bool = False) -> DataFrame:
     """The engineered columns (no ``target`` if the input has none) from the raw ones.
 
-    One projection over the input; ``keep`` names further columns to carry along.
+    Projections over the input only; ``keep`` names further columns to carry along.
     """
     special: dict[str, Column] = {
-        **weekday_hours("", digits=1, binary=True, wrap_midnight=wrap_midnight),
+        **weekday_hours("", digits=1, binary=True),
         **{c: date_text(c) for c in DATE_COLUMNS},
         "create_at_x": date_text("created_at_x"),
         "primary_tags": strip_tag_quotes("primary_tags"),
@@ -74,7 +75,7 @@ def engineer(df: DataFrame, keep: Sequence[str] = (), wrap_midnight: bool = Fals
     values = {
         n: special[n] if n in special else col(ENGINEERED_ALIASES.get(n, n)) for n in names
     }
-    shaped = df.select(
+    shaped = add_weekday_seconds(df, wrap_midnight=wrap_midnight).select(
         *[col(c) for c in keep], *[v.cast("string").alias(n) for n, v in values.items()]
     )
     return cast_columns(shaped, ENGINEERED_DOUBLES)
@@ -83,12 +84,14 @@ def engineer(df: DataFrame, keep: Sequence[str] = (), wrap_midnight: bool = Fals
 def numeric_features(df: DataFrame, wrap_midnight: bool = False) -> DataFrame:
     """Hours per weekday, tag counts, tag values and dates as numbers; other text stays."""
     changed = {
-        **weekday_hours("_opening_time", digits=2, wrap_midnight=wrap_midnight),
+        **weekday_hours("_opening_time", digits=2),
         "primary_tags": tag_value("primary_tags"),
         **{c: item_count(c) for c in LIST_COLUMNS},
         **{c: epoch_days(c) for c in DATE_COLUMNS},
     }
-    return df.withColumns(changed).drop(*TIME_COLUMNS)
+    timed = add_weekday_seconds(df, wrap_midnight=wrap_midnight)
+    seconds = [f"{day}_seconds" for day in WEEKDAYS]
+    return timed.withColumns(changed).drop(*TIME_COLUMNS, *seconds)
 
 
 def learn_text_codes(train: DataFrame) -> TextCodes:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coppice.plans.schemas import RAW_COLUMNS, WEEKDAYS
+from coppice.session import spread_small
 
 _VENDOR = "(o_orderkey % 97)"
 
@@ -104,7 +105,7 @@ def wide_expressions() -> dict[str, str]:
 
 def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table, one row per order."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread_small(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     return joined.select(*[F.expr(e).alias(n) for n, e in wide_expressions().items()])

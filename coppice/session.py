@@ -53,3 +53,12 @@ def write_scratch(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal out a table that lies in fewer blocks than there are cores.
+
+    For plain scans only. Large tables have more blocks than cores and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
