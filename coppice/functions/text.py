@@ -23,6 +23,8 @@ def item_count(c: Column | str, delimiter: str = "-") -> Column:
 
 def token(c: Column | str, delimiter: str = " ", index: int = 0) -> Column:
     """Item ``index`` of a delimited text; negative indexes count from the end."""
+    if index in (0, -1):
+        return F.substring_index(as_column(c), delimiter, 1 if index == 0 else -1)
     return F.split_part(as_column(c), F.lit(delimiter), F.lit(index + 1 if index >= 0 else index))
 
 

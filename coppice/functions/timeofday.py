@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coppice.functions.numeric import round_exact_even, round_half_up
-from coppice.functions.text import as_column, token
+from coppice.functions.text import as_column
 from coppice.plans.schemas import WEEKDAYS
 
 DAY_SECONDS = 86400
@@ -22,9 +22,16 @@ def seconds_of_day(c: Column | str) -> Column:
 
     Text that is no time of day gives null.
     """
-    clock = token(as_column(c), " ", -1)
-    part = [F.split_part(clock, F.lit(":"), F.lit(i)).try_cast("bigint") for i in (1, 2, 3)]
-    return part[0] * 3600 + part[1] * 60 + part[2]
+    clock = F.substring_index(as_column(c), " ", -1)
+    # Counted from the end, so that hours of one digit work too.
+    part = [
+        text.try_cast("bigint")
+        for text in (
+            F.substring_index(clock, ":", 1), F.substring(clock, -5, 2), F.substring(clock, -2, 2)
+        )
+    ]
+    whole = F.length(clock).between(7, 8)
+    return F.when(whole, part[0] * 3600 + part[1] * 60 + part[2])
 
 
 def _span(start: Column, end: Column, wrap_midnight: bool) -> Column:

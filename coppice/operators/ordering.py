@@ -69,7 +69,9 @@ def zip_rows(
 
 def cell(df: DataFrame, row: int, column: str, order_by: Sequence[Column | str]) -> DataFrame:
     """One cell by row number (from 0) and column name."""
-    numbered = row_index(df.select(col(column), *[as_column(c) for c in order_by]), order_by)
+    if all(isinstance(c, str) for c in order_by):
+        df = df.select(*[col(c) for c in dict.fromkeys([column, *order_by])])
+    numbered = row_index(df, order_by)
     return numbered.filter(F.col("row_index") == row + 1).select(col(column))
 
 

@@ -18,7 +18,7 @@ from coppice.functions.text import (
     tag_value,
 )
 from coppice.functions.timeofday import add_weekday_seconds, weekday_hours
-from coppice.operators.columns import cast_columns, col
+from coppice.operators.columns import col
 from coppice.operators.encode import TextCodes, learn_codes
 from coppice.operators.impute import MISSING_TIME, FillPlan, learn_fill
 from coppice.operators.score import predict
@@ -75,10 +75,11 @@ def engineer(df: DataFrame, keep: Sequence[str] = (), wrap_midnight: bool = Fals
     values = {
         n: special[n] if n in special else col(ENGINEERED_ALIASES.get(n, n)) for n in names
     }
-    shaped = add_weekday_seconds(df, wrap_midnight=wrap_midnight).select(
-        *[col(c) for c in keep], *[v.cast("string").alias(n) for n, v in values.items()]
+    timed = add_weekday_seconds(df, wrap_midnight=wrap_midnight)
+    kinds = dict.fromkeys(names, "string") | dict.fromkeys(ENGINEERED_DOUBLES, "double")
+    return timed.select(
+        *[col(c) for c in keep], *[v.try_cast(kinds[n]).alias(n) for n, v in values.items()]
     )
-    return cast_columns(shaped, ENGINEERED_DOUBLES)
 
 
 def numeric_features(df: DataFrame, wrap_midnight: bool = False) -> DataFrame:

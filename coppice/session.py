@@ -18,6 +18,9 @@ def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # HotSpot does not compile methods above 8000 bytes; wide projections go through
+        # one generated method per stage, which would then run interpreted.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 
