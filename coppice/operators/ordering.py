@@ -165,9 +165,12 @@ def order_statistics(
         .groupBy("i", "v")
         .count()
     )
-    running = counted.withColumn(
-        "upto", F.sum("count").over(Window.partitionBy("i").orderBy("v"))
-    )
+    if max(inside.values()) > window_rows:
+        counted = _near_ranks(counted, wanted, before)
+    else:
+        counted = counted.withColumns({"part": F.lit(0), "skipped": F.lit(0).cast("bigint")})
+    walk = Window.partitionBy("i", "part").orderBy("v")
+    running = counted.withColumn("upto", F.col("skipped") + F.sum("count").over(walk))
     hits = None
     for i, c in enumerate(names):
         for rank in wanted[c]:
@@ -189,6 +192,28 @@ def order_statistics(
     return result
 
 
+def _near_ranks(
+    counted: DataFrame, wanted: dict[str, list[int]], before: dict[str, int]
+) -> DataFrame:
+    """Of very many ``(i, v, count)``, the range partitions that hold the wanted ranks.
+
+    ``skipped`` tells how many rows of the column lie in its earlier partitions.
+    """
+    placed = counted.repartitionByRange("i", "v").withColumn("part", F.spark_partition_id())
+    stored = write_scratch(placed, "ranks")
+    # One row per column and partition.
+    sizes = stored.groupBy("i", "part").agg(F.sum("count").alias("n")).orderBy("i", "part").collect()
+    keep, skipped = [], dict.fromkeys(range(len(wanted)), 0)
+    for r in sizes:
+        start = skipped[r["i"]]
+        skipped[r["i"]] = start + r["n"]
+        c = list(wanted)[r["i"]]
+        if any(start <= rank - before[c] < start + r["n"] for rank in wanted[c]):
+            keep.append((r["i"], r["part"], start))
+    table = stored.sparkSession.createDataFrame(keep, "i int, part int, skipped bigint")
+    return stored.join(F.broadcast(table), ["i", "part"])
+
+
 def first_by_hash(
     df: DataFrame, key: str, size: int, seed: int | str = 0
 ) -> tuple[DataFrame, DataFrame]:

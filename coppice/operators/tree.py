@@ -14,6 +14,7 @@ feature.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cache
@@ -41,12 +42,15 @@ TIE_DIGITS = 10
 _SLACK = 10.0**-TIE_DIGITS * 2
 # Small tables below this many rows are sent to all executors.
 BROADCAST_ROWS = 200_000
+# Up to this many opened buckets (counts only) may visit the driver.
+LOCAL_BUCKETS = 20_000
 # Tables up to this many rows are dealt out to all cores first.
 SPREAD_ROWS = 5_000_000
 # Rows drawn to place bucket edges. Any edges give the same tree.
 EDGE_SAMPLE_ROWS = 500_000
 # Up to this many labels the bound of a bucket looks at all corners of its counts.
 CORNER_LABELS = 4
+ROWS_PER_BUCKET = 500
 # Levels between two checkpoints of the row-to-node assignment.
 CHECKPOINT_LEVELS = 6
 
@@ -248,8 +252,10 @@ class _Training:
             sample = self.rows.select(*[f.value for f in numbers])
             if self.size > EDGE_SAMPLE_ROWS:
                 sample = sample.sample(fraction=EDGE_SAMPLE_ROWS / self.size, seed=1)
-            steps = [i / self.buckets for i in range(1, self.buckets)]
-            quantiles = sample.approxQuantile([f.value for f in numbers], steps, 0.25 / self.buckets)
+            # About ROWS_PER_BUCKET rows each, unless that takes more buckets than allowed.
+            n = max(2, min(self.buckets, self.size // ROWS_PER_BUCKET))
+            steps = [i / n for i in range(1, n)]
+            quantiles = sample.approxQuantile([f.value for f in numbers], steps, 0.25 / n)
             for f, marks in zip(numbers, quantiles):
                 edges = sorted(set(marks)) or [0.0]
                 rows = Bucketizer(
@@ -438,8 +444,14 @@ class _Training:
             self._hold(first)
         best = self._best(first.filter("exact"))
         if self.bucketed:
-            opened = self._hold(self._open_buckets(first, best))
-            sizes = {r["feature"]: r["count"] for r in opened.groupBy("feature").count().collect()}
+            opened = self._open_buckets(first, best)
+            found = opened.limit(LOCAL_BUCKETS + 1).collect()
+            if len(found) <= LOCAL_BUCKETS:
+                sizes = Counter(r["feature"] for r in found)
+                opened = self.spark.createDataFrame(found, opened.schema) if found else opened
+            else:
+                opened = self._hold(opened)
+                sizes = {r["feature"]: r["count"] for r in opened.groupBy("feature").count().collect()}
             if sizes:
                 for key, split in self._best(self._second_pass(rows, opened, sizes)).items():
                     if key not in best or split.order > best[key].order:

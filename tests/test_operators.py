@@ -23,6 +23,14 @@ def test_order_statistics_with_a_hot_value(spark, window_rows):
     assert medians["b"] == statistics.median(other)
 
 
+def test_order_statistics_of_an_interval_that_stays_wide(spark):
+    """One value holds most rows and the rank lies among many others next to it."""
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("a"))
+    ranks = [1999, 2000, 2450]
+    found = ordering.order_statistics(df, ["a"], {"a": ranks}, window_rows=5, sketch_error=0.2)
+    assert found["a"] == [0, 2000, 2450]
+
+
 def test_order_statistics_keep_long_integers(spark):
     df = spark.createDataFrame([(2**52 + i,) for i in range(9)], "a bigint")
     assert ordering.order_statistics(df, ["a"], {"a": [4]})["a"] == [2**52 + 4]

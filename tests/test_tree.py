@@ -14,6 +14,11 @@ SCHEMA = "a double, b double, c string, d int, e double, y string, s int"
 FEATURES = ["a", "b", "c", "d", "e"]
 
 
+@pytest.fixture(autouse=True)
+def small_buckets(monkeypatch):
+    monkeypatch.setattr("coppice.operators.tree.ROWS_PER_BUCKET", 5)
+
+
 def make_rows(seed, n=120, labels=3, missing=0.0):
     rng = random.Random(seed)
     rows = []
@@ -68,6 +73,16 @@ def test_bucketed_search_is_exhaustive(spark, labels, buckets):
     assert model.nested(0) == grow(rows, FEATURES, "y", max_depth=3)
 
 
+def test_bucketed_search_with_opened_buckets_kept_distributed(spark, monkeypatch):
+    monkeypatch.setattr("coppice.operators.tree.LOCAL_BUCKETS", 0)
+    monkeypatch.setattr("coppice.operators.tree.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("coppice.operators.tree.ROWS_PER_BUCKET", 10)
+    rows = make_rows(13, 200)
+    options = dict(direct_rows=0, direct_values=5, max_depth=2)
+    model = train_tree(as_df(spark, rows), FEATURES, "y", **options)
+    assert model.nested(0) == grow(rows, FEATURES, "y", max_depth=2)
+
+
 def test_bucketed_search_with_many_labels(spark):
     rows = make_rows(11, 200)
     rng = random.Random(3)
