@@ -18,7 +18,7 @@ from coppice.operators.treemodel import TreeModel
 from coppice.plans import flow
 from coppice.plans.schemas import RAW_COLUMNS, TIME_COLUMNS, VECTOR_COLUMNS, WEEKDAYS, raw_schema
 from coppice.plans.wide import wide_table
-from coppice.session import scratch_path, write_scratch
+from coppice.session import scratch_path, spread_small, write_scratch
 from coppice.sources import readers, writers
 from coppice.streaming import scoring
 
@@ -638,7 +638,7 @@ def prediction_sink(spark, sf_dir):
 
 def line_vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Train and test part of lineitem as numbers."""
-    df = load(spark, sf_dir, "lineitem").select(*LINE_FEATURES, LINE_LABEL)
+    df = spread_small(load(spark, sf_dir, "lineitem")).select(*LINE_FEATURES, LINE_LABEL)
     coded = encode.learn_codes(df).apply(df)
     train, test = sampling.random_split(write_scratch(coded, "line-vectors"))
     return train, test
