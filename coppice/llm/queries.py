@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coppice.llm.histsort import histogram_sort
+from coppice.llm.normsearch import integer_vectors, top_k_products
 from coppice.llm.tables import table
 
 N_SHARDS = 40
@@ -33,3 +34,11 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op7_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products of every 50th vector with all others."""
+    rows = table(spark, sf_dir, "embeddings")
+    vector = integer_vectors(F.col("embedding"))
+    return top_k_products(rows, "vec_id", vector, F.col("vec_id") % 50 == 0)

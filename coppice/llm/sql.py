@@ -1,3 +1,20 @@
 """SQL counterparts of the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op7_norm_buckets"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+           CAST(list_sum(list_transform(list_zip(q.c, x.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.c) = len(x.c)
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored)
+WHERE n <= 5
+"""
