@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from coppice.session import scratch_path
 
 
+#: Vectored reads of long text columns go through direct buffers as large as a column
+#: chunk, which every reading thread keeps; plain streams need none of that memory.
+READ_OPTIONS = {"parquet.hadoop.vectored.io.enabled": "false"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.options(**READ_OPTIONS).parquet(f"{sf_dir}/{name}.parquet")
 
 
 class Stored:
@@ -22,7 +27,7 @@ class Stored:
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, label)
         df.write.parquet(self.path)
-        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        self.df = self.spark.read.options(**READ_OPTIONS).schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
         """Delete the files; for tables that no later plan reads."""
