@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coppice.llm.gam import fit_quality, held_out, with_quality
 from coppice.llm.histsort import histogram_sort
 from coppice.llm.normsearch import integer_vectors, top_k_products
 from coppice.llm.tables import table
+from coppice.llm.templates import judge_urls
 
 N_SHARDS = 40
+LEAST_QUALITY = 0.7
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -42,3 +52,23 @@ def op7_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     vector = integer_vectors(F.col("embedding"))
     return top_k_products(rows, "vec_id", vector, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op9_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict: by rule, else by the purity of its path template."""
+    judged = judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op8_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by an additive model fitted outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return with_quality(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
+    )
