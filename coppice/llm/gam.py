@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from coppice.llm.text import LOWER, prefix_hash, span_hash, text_slices, word_spans
 
@@ -238,7 +239,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Add
 
 def with_quality(docs: DataFrame, model: AdditiveModel, name: str = "score") -> DataFrame:
     """``docs`` with the score of the whole text; a null text scores as an empty one."""
-    schema = docs.schema.add(name, "double")
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
