@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coppice.llm.chunks import dedup_chunks
+from coppice.llm.decontaminate import find_leaks
 from coppice.llm.gam import fit_quality, held_out, with_quality
 from coppice.llm.histsort import histogram_sort
 from coppice.llm.normsearch import integer_vectors, top_k_products
@@ -72,3 +74,19 @@ def op8_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
     )
+
+
+@query
+def op1_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of benchmark items in documents."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages that earlier documents hold already."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return dedup_chunks(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256"), "text"
+    )

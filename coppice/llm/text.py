@@ -85,11 +85,16 @@ def text_slices(
         start = stop
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """n + 1 prefix sums of ``(byte + 1) * BASE**i`` modulo 2**64."""
+#: A second, unrelated value for each byte.
+OTHER = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64)
+
+
+def prefix_hash(data: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """n + 1 prefix sums of ``value[byte] * BASE**i`` modulo 2**64; byte + 1 by default."""
     power, _ = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
+    each = data.astype(np.uint64) + np.uint64(1) if values is None else values[data]
+    np.cumsum(each * power, out=sums[1:])
     return sums
 
 
