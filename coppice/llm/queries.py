@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coppice.llm.chunks import dedup_chunks
 from coppice.llm.decontaminate import find_leaks
 from coppice.llm.gam import fit_quality, held_out, with_quality
+from coppice.llm.grammar import read_ids, write_ids
 from coppice.llm.histsort import histogram_sort
 from coppice.llm.normsearch import integer_vectors, top_k_products
+from coppice.llm.pieces import encode_pieces
 from coppice.llm.tables import table
 from coppice.llm.templates import judge_urls
 
 N_SHARDS = 40
 LEAST_QUALITY = 0.7
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+DROPOUT, SEED = 0.1, 17
 URL_RULES = [
     ("allow", "com/"),
     ("block", "example.com/en/"),
@@ -90,3 +96,18 @@ def op6_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_chunks(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256"), "text"
     )
+
+
+@query
+def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole text under seeded dropout, and whether they decode to it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_pieces(docs, PIECE_MODEL, SEED, DROPOUT)
+
+
+@query
+def op3_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as grammar blocks and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stored = write_ids(docs, BYTE_VOCABULARY)
+    return read_ids(stored.df).select("doc_id", "start", "n_tokens", "ids_crc32")
