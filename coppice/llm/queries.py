@@ -13,8 +13,10 @@ from coppice.llm.decontaminate import find_leaks
 from coppice.llm.gam import fit_quality, held_out, with_quality
 from coppice.llm.grammar import read_ids, write_ids
 from coppice.llm.histsort import histogram_sort
+from coppice.llm.minhash import near_duplicates
 from coppice.llm.normsearch import integer_vectors, top_k_products
 from coppice.llm.pieces import encode_pieces
+from coppice.llm.runindex import remove_repeats
 from coppice.llm.tables import table
 from coppice.llm.templates import judge_urls
 
@@ -111,3 +113,15 @@ def op3_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stored = write_ids(docs, BYTE_VOCABULARY)
     return read_ids(stored.df).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op4_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of documents without byte strings that occur more than once."""
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

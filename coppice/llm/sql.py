@@ -18,3 +18,34 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored)
 WHERE n <= 5
 """
+
+ORACLES["op4_minhash_components"] = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY ALL
+), links AS (
+    SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+    WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach(node, other) AS (
+    SELECT u, v FROM links
+    UNION
+    SELECT r.node, l.v FROM reach r JOIN links l ON l.u = r.other
+), least AS (
+    SELECT node, min(other) AS m FROM reach GROUP BY node
+)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce(l.m, d.doc_id)) AS component_id,
+       l.m IS NULL OR d.doc_id <= l.m AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = d.doc_id
+"""

@@ -144,10 +144,10 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.
     whole = docs[:n] == docs[width - 1 :] if n else np.zeros(0, bool)
     values, owners = [mix(total[whole])], [docs[:n][whole]]
     for d in short:  # at most width - 1 words each
-        value, factor = counts[d].astype(np.uint64), 1
-        for w in words[first[d] : first[d] + counts[d]]:
+        value, factor = int(counts[d]), 1
+        for w in words[first[d] : first[d] + counts[d]].tolist():
             factor = factor * 0xC2B2AE3D27D4EB4F % (1 << 64)
-            value = value + w * np.uint64(factor)
+            value = (value + w * factor) % (1 << 64)
         values.append(mix(np.array([value], np.uint64)))
         owners.append(np.array([d]))
     value, owner = np.concatenate(values), np.concatenate(owners)
