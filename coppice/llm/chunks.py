@@ -139,7 +139,9 @@ def dedup_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         .groupBy("_key")
         .agg(F.collect_list("digest").alias("_repeated"))  # at most the chunks of one document
     )
-    joined = docs.withColumn("_key", key).join(repeated, "_key", "left").drop("_key")
+    name = free_name(docs, "_key")
+    repeated = repeated.select(F.col("_key").alias(name), F.col("_repeated").alias(free_name(docs, "_repeated")))
+    joined = docs.withColumn(name, key).join(repeated, name, "left").drop(name)
     place = docs.columns.index(text)
     schema = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in added]])
     schema.fields[place] = StructField(text, StringType())

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coppice.llm.tables import Stored, small_table
+from coppice.llm.tables import Stored, free_name, small_table
 
 #: Most probes per interval, and about as many per round in all; the driver sees one row
 #: for each probe interval with rows.
@@ -70,13 +70,13 @@ def histogram_sort(
     mean size.
     Null ``order`` hashes as such, null ``tie`` comes first, null ``size`` is 0. An empty
     table gives an empty one. ``df`` is stored once; pass only the columns wanted.
-    Columns of ``df`` must not begin with ``_k`` or be called shard or slot.
+    Where ``df`` has a column shard or slot, the added one gets underscores in front.
     """
     spark = df.sparkSession
     tie = F.coalesce(tie.cast("long"), F.lit(-(1 << 63)))
     keyed = Stored(
         df.select(
-            "*",
+            F.struct("*").alias("row"),
             F.coalesce(size.cast("long"), F.lit(0)).alias("_kb"),
             F.xxhash64(order).alias(KEYS[0]),
             tie.alias(KEYS[1]),
@@ -181,7 +181,7 @@ def histogram_sort(
         rows.withColumn("slot", F.row_number().over(in_range).cast("long") - 1)
         .join(F.broadcast(offsets), "_range")  # one row for each range
         .withColumn("slot", F.col("slot") + F.col("_before"))
-        .drop("_range", "_before", "_cell", "_kb", *KEYS)
+        .select("row.*", *[F.col(c).alias(free_name(df, c)) for c in ("shard", "slot")])
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coppice.llm.components import connected_components
-from coppice.llm.tables import Stored
+from coppice.llm.tables import Stored, free_name
 from coppice.llm.text import flat, list_array, mix, shingles, signed, text_slices
 
 #: At a similarity of 0.85 a pair shares no band with a chance of about 2e-8.
@@ -203,6 +203,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept: one document of each component."""
-    kept = near_duplicates(docs, doc_id, text).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    with_id = docs.join(kept, F.col(doc_id).cast("long") == F.col("_kept"), "left_semi")
+    name = free_name(docs, "_kept")
+    kept = near_duplicates(docs, doc_id, text).filter("kept AND doc_id IS NOT NULL")
+    kept = kept.select(F.col("doc_id").alias(name)).distinct()
+    with_id = docs.join(kept, F.col(doc_id).cast("long") == F.col(name), "left_semi")
     return with_id.unionByName(docs.filter(F.col(doc_id).isNull()))

@@ -300,6 +300,7 @@ def encode_pieces(
     """
     rest = [c for c in docs.columns if c != text]
     added = [free_name(docs, c) for c in ("ids", "n_pieces", "decoded_equal")]
+    inner = [free_name(docs, c) for c in ("_key", "_text")]
     types = [ArrayType(IntegerType(), False), LongType(), BooleanType()]
     schema = StructType([*[docs.schema[c] for c in rest], *[StructField(a, t) for a, t in zip(added, types, strict=True)]])
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col(doc_id).cast("long"), F.lit(0)))
@@ -307,9 +308,9 @@ def encode_pieces(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
-            for part, data, offsets in text_slices(batch, "_text"):
-                whole = part.column(part.schema.get_field_index("_text"))
-                keys = part.column(part.schema.get_field_index("_key")).to_numpy().view(np.uint64)
+            for part, data, offsets in text_slices(batch, inner[1]):
+                whole = part.column(len(rest) + 1)
+                keys = part.column(len(rest)).to_numpy().view(np.uint64)
                 ids, ends = encode_texts(model, [t or "" for t in whole.to_pylist()], keys, dropout)
                 back, back_ends = decode_ids(model, ids, ends)
                 same = np.diff(back_ends) == np.diff(offsets)
@@ -325,7 +326,7 @@ def encode_pieces(
                     names=schema.names,
                 )
 
-    return docs.select(*rest, key.alias("_key"), F.col(text).alias("_text")).mapInArrow(encoded, schema)
+    return docs.select(*rest, key.alias(inner[0]), F.col(text).alias(inner[1])).mapInArrow(encoded, schema)
 
 
 def decode_pieces(encoded: DataFrame, path: str, ids: str = "ids", name: str = "text") -> DataFrame:
