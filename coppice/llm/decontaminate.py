@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from coppice.llm.text import LOWER, flat, powers, prefix_hash, text_slices
@@ -212,6 +213,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = StructType([docs.schema["doc_id"], benchmark.schema["item_id"]])
     schema = schema.add("start", "long").add("stop", "long").add("edits", "integer")
+    kind = to_arrow_type(schema["item_id"].dataType)
     out = None
     for index in benchmark_indexes(benchmark):
         shared = context.broadcast(index)
@@ -226,7 +228,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                         yield pa.RecordBatch.from_arrays(
                             [
                                 part.column(0).take(pa.array(m[:, 0])),
-                                pa.array([shared.value.ids[i] for i in m[:, 1]]),
+                                pa.array([shared.value.ids[i] for i in m[:, 1]], kind),
                                 pa.array(places[m[:, 2]] - begin),
                                 pa.array(places[m[:, 3] - 1] + 1 - begin),
                                 pa.array(m[:, 4].astype(np.int32)),

@@ -97,14 +97,15 @@ def _merged(templates: DataFrame, depth: int) -> DataFrame:
             .withColumn("purity", _smoothed(F.col("g"), F.col("l"), F.col("overall")))
         )
         # A parent has LEAST_SHARE literal children and a wildcard at most.
-        family = Window.partitionBy("host", "branch").orderBy("purity", "part")
+        family = Window.partitionBy("host", "branch").orderBy(F.col("l") == 0, "purity", "part")
         before = {c: F.lag(c).over(family) for c in ("l", "g")}
         here, left = F.nullif(F.col("l"), F.lit(0)), F.nullif(before["l"], F.lit(0))
         pooled = (F.col("g") + before["g"]) / (here + left)
         error = F.sqrt(pooled * (1 - pooled) * (1 / here + 1 / left))
         gap = F.abs(F.col("g") / here - before["g"] / left)
-        # Without labels on either side nothing tells the branches apart.
-        siblings = siblings.withColumn("apart", F.coalesce((gap > APART * error).cast("int"), F.lit(0)))
+        # Branches without labels come last and are one: nothing tells them apart.
+        first_bare = ((F.col("l") == 0) & (before["l"] > 0)).cast("int")
+        siblings = siblings.withColumn("apart", F.coalesce((gap > APART * error).cast("int"), first_bare, F.lit(0)))
         running = family.rowsBetween(Window.unboundedPreceding, 0)
         siblings = siblings.withColumn("group", F.sum("apart").over(running))
         named = F.min("part").over(Window.partitionBy("host", "branch", "group"))

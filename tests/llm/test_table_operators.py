@@ -82,7 +82,7 @@ def integers(vector):
     return [math.floor(256 * x) for x in vector]
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e14])
+@pytest.mark.parametrize("scale", [1.0, 1e6])
 def test_search_against_brute_force(spark, monkeypatch, scale):
     for name, value in (("BLOCK", 40), ("QUERY_BLOCK", 3), ("SEEDS", 7)):
         monkeypatch.setattr(normsearch, name, value)
@@ -142,7 +142,7 @@ def test_url_parts_and_rules(spark):
 
 def test_templates_generalise_merge_and_reject(spark):
     urls = [(i, f"http://s.org/{('good', 'fine', 'spam')[i % 3]}/{i}.html") for i in range(900)]
-    urls += [(1000 + i, "http://s.org/" + "/".join("abcdefghijkl")) for i in range(10)]
+    urls += [(1000 + i, "http://s.org/" + "/".join("abcdefghijkl")) for i in range(40)]
     pages = spark.createDataFrame(urls, "page_id long, url string")
     labels = spark.createDataFrame([(i, int(i % 3 != 2)) for i in range(900)], "doc_id long, quality int")
     rows = templates.judge_urls(pages, labels, []).collect()
