@@ -28,7 +28,7 @@ PERCENT = 85
 #: Standard errors below that similarity at which signatures rule out a pair.
 SIGNATURE_ERRORS = 6.0
 #: Shingles that meet in one task.
-GROUP_SHINGLES = 1 << 21
+GROUP_SHINGLES = 1 << 22
 
 _random = np.random.default_rng(11)
 _FACTORS = _random.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
@@ -76,7 +76,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def linked(ids: np.ndarray, values: np.ndarray, ends: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that join all sets of a group which hang together; never more than sets."""
+    """A link from each set to the smallest id that it hangs together with in the group."""
     full = np.flatnonzero(np.diff(ends) > 0)
     signature = minima(values, ends)
     sizes = np.diff(ends)[full]
@@ -93,7 +93,7 @@ def linked(ids: np.ndarray, values: np.ndarray, ends: np.ndarray, percent: int =
     for seed in range(len(full)):
         if not waiting[seed]:
             continue
-        waiting[seed], reached = False, [seed]
+        waiting[seed], reached, together = False, [seed], [seed]
         while reached:
             x = reached.pop()
             n = sizes[x]
@@ -109,7 +109,9 @@ def linked(ids: np.ndarray, values: np.ndarray, ends: np.ndarray, percent: int =
             near = near[100 * common >= percent * (n + sizes[near] - common)]
             waiting[near] = False
             reached.extend(near.tolist())
-            links.extend((int(ids[y]), int(ids[x])) for y in near)
+            together.extend(near.tolist())
+        least_id = int(ids[together].min())
+        links.extend((int(i), least_id) for i in ids[together])
     return links
 
 
