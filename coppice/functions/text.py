@@ -63,5 +63,5 @@ def date_text(c: Column | str) -> Column:
 
 
 def epoch_days(c: Column | str) -> Column:
-    """Days since 1970-01-01 as a double, from a date, a timestamp or its text."""
-    return F.unix_date(F.to_date(as_column(c))).cast("double")
+    """Days since 1970-01-01 as a double, from a date, a timestamp or its text; else null."""
+    return F.unix_date(as_column(c).try_cast("date")).cast("double")

@@ -31,7 +31,8 @@ def seconds_of_day(c: Column | str) -> Column:
         )
     ]
     whole = F.length(clock).between(7, 8)
-    return F.when(whole, part[0] * 3600 + part[1] * 60 + part[2])
+    in_range = part[0].between(0, 23) & part[1].between(0, 59) & part[2].between(0, 59)
+    return F.when(whole & in_range, part[0] * 3600 + part[1] * 60 + part[2])
 
 
 def _span(start: Column, end: Column, wrap_midnight: bool) -> Column:

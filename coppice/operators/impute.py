@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coppice.functions.numeric import missing_to_null
-from coppice.operators.columns import col
+from coppice.operators.columns import cast_columns, col
 from coppice.operators.ordering import order_statistics
 from coppice.operators.profile import columns_by_type
 
@@ -78,7 +78,12 @@ def approximate_medians(
     """Lower-middle values within a rank error, for all columns in one pass."""
     if not columns:
         return {}
-    numbers = list(columns)
+    types = dict(df.dtypes)
+    present = df.agg(*[F.count(missing_to_null(col(c), types[c])).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    # A column without values has no median and stays as it is.
+    numbers = [c for i, c in enumerate(columns) if present[f"n{i}"]]
+    if not numbers:
+        return {}
     imputer = Imputer(
         strategy="median", inputCols=numbers, outputCols=numbers, relativeError=relative_error
     )
@@ -134,12 +139,17 @@ STRATEGIES = {
 
 @dataclass
 class FillPlan:
-    """Fill values learned from one table, to be used on any table."""
+    """Fill values learned from one table, to be used on any table.
+
+    ``doubles`` are columns that become doubles first, because the mean of two middle
+    values need not be an integer.
+    """
 
     values: dict[str, object] = field(default_factory=dict)
+    doubles: tuple[str, ...] = ()
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return apply_fill(df, self.values)
+        return apply_fill(cast_columns(df, self.doubles) if self.doubles else df, self.values)
 
 
 def learn_fill(
@@ -160,6 +170,7 @@ def learn_fill(
     for kind, strategy in by_type.items():
         names = [c for c in groups.get(kind, []) if c not in plan.values and c not in skip]
         per_strategy.setdefault(strategy, []).extend(names)
+    plan.doubles = tuple(c for c in groups.get("int", []) if c in per_strategy.get("median", []))
     for strategy, names in per_strategy.items():
         if names:
             plan.values.update(STRATEGIES[strategy](df, names))

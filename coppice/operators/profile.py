@@ -165,24 +165,34 @@ def candidate_splits(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def node_statistics(
-    df: DataFrame, group: str, label: str, labels: Sequence, criterion: str = "entropy"
+    df: DataFrame, group: str, label: str, criterion: str = "entropy"
 ) -> DataFrame:
     """Size, purity, majority label and impurity of the rows of each group.
 
-    Equal counts give the smallest label.
+    Any number of labels; rows without one are left out. Equal counts give the smallest
+    label.
     """
-    counted = df.groupBy(col(group)).agg(
-        *[F.count_if(col(label) == F.lit(v)).alias(f"c{k}") for k, v in enumerate(labels)]
+    counted = (
+        df.filter(col(label).isNotNull())
+        .groupBy(col(group).alias("_group"), col(label).alias("_label"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
-    counts = [F.col(f"c{k}") for k in range(len(labels))]
-    best = F.greatest(*counts) if len(counts) > 1 else counts[0]
-    majority = F.coalesce(
-        *[F.when(c == best, F.lit(v)) for c, v in sorted(zip(counts, labels), key=lambda p: p[1])]
+    n, c = F.col("_n").cast("double"), F.col("_c").cast("double")
+    if criterion == "entropy":
+        # Over counts c of a sum n: log2(n) - sum(c * log2(c)) / n.
+        term, found = F.sum(c * F.log2(c)), F.log2(n) - F.col("_term") / n
+    else:
+        term, found = F.sum(c * c), 1 - F.col("_term") / (n * n)
+    summed = counted.groupBy("_group").agg(
+        F.sum("_c").alias("_n"),
+        F.count(F.lit(1)).alias("_kinds"),
+        F.min(F.struct((-F.col("_c")).alias("negative"), "_label")).alias("_best"),
+        term.alias("_term"),
     )
-    return counted.select(
-        col(group),
-        total(counts).alias("n"),
-        (total([(c > 0).cast("int") for c in counts]) == 1).alias("pure"),
-        majority.alias("majority"),
-        impurity(counts, criterion).alias("impurity"),
+    return summed.select(
+        F.col("_group").alias(group),
+        F.col("_n").alias("n"),
+        (F.col("_kinds") == 1).alias("pure"),
+        F.col("_best._label").alias("majority"),
+        F.greatest(found, F.lit(0.0)).alias("impurity"),
     )

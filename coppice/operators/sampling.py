@@ -105,7 +105,8 @@ def values_per_key(
     else:
         side = F.broadcast(hot) if hot_keys <= BROADCAST_ROWS else hot
         salted = pairs.withColumn("_row", F.monotonically_increasing_id())
-        chunked = salted.join(side, col(key) == F.col("_hot"), "left").withColumn(
+        # Null is a key like any other.
+        chunked = salted.join(side, col(key).eqNullSafe(F.col("_hot")), "left").withColumn(
             "chunk", F.coalesce(F.pmod("_row", "_chunks"), F.lit(0).cast("bigint"))
         )
     return chunked.groupBy(col(key), "chunk").agg(

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import wraps
 from itertools import product
 
 from pyspark.ml.feature import Bucketizer
@@ -55,6 +55,20 @@ ROWS_PER_BUCKET = 500
 CHECKPOINT_LEVELS = 6
 
 
+def _once(method):
+    """Keep a method's results on its object, so that they go when the object goes."""
+
+    @wraps(method)
+    def kept(self, *arguments):
+        found = self.__dict__.setdefault("_kept_results", {})
+        key = (method.__name__, *arguments)
+        if key not in found:
+            found[key] = method(self, *arguments)
+        return found[key]
+
+    return kept
+
+
 @dataclass(frozen=True)
 class _Feature:
     index: int
@@ -257,7 +271,8 @@ class _Training:
             steps = [i / n for i in range(1, n)]
             quantiles = sample.approxQuantile([f.value for f in numbers], steps, 0.25 / n)
             for f, marks in zip(numbers, quantiles):
-                edges = sorted(set(marks)) or [0.0]
+                # The outermost edges are infinite anyway, and Bucketizer takes each edge once.
+                edges = sorted(set(marks) - {float("-inf"), float("inf")}) or [0.0]
                 rows = Bucketizer(
                     splits=[float("-inf"), *edges, float("inf")],
                     inputCol=f.value, outputCol=f.bucket, handleInvalid="keep",
@@ -276,7 +291,7 @@ class _Training:
 
     # One level ------------------------------------------------------------------
 
-    @cache
+    @_once
     def _label_counts(self) -> list[Column]:
         return [F.count_if(F.col("y") == k).alias(f"c{k}") for k in range(len(self.labels))]
 
@@ -292,7 +307,7 @@ class _Training:
                 answer = answer | ((F.col("feature") == f.index) & F.col("tree").isin(sorted(f.continuous)))
         return answer
 
-    @cache
+    @_once
     def _entry(self, f: _Feature, detail: bool) -> Column:
         """A feature of a row as one element of the unpivoted form."""
         value = F.col(f.value)
@@ -324,7 +339,7 @@ class _Training:
             "exact", F.col("one_value") | (F.col("continuous") & F.col("num").isNotNull())
         )
 
-    @cache
+    @_once
     def _running(self) -> tuple[Column, dict[str, Column], list]:
         known = F.col("bucket").isNotNull() | F.col("num").isNotNull() | F.col("str").isNotNull()
         group = Window.partitionBy("tree", "node", "feature").orderBy("bucket", "num", "str")
@@ -346,7 +361,7 @@ class _Training:
         ]
         return known, sums, kept
 
-    @cache
+    @_once
     def _ranked(self) -> Column:
         """A candidate as a struct whose largest value is the best one."""
         yes, every = self._vector("y"), self._vector("t")

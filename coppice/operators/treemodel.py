@@ -14,6 +14,7 @@ NODE_SCHEMA = (
     "tree_id int, node_id bigint, depth int, feature string, op string, value_num double, "
     "value_str string, yes_id bigint, no_id bigint, label string, n bigint"
 )
+MODEL_SCHEMA = NODE_SCHEMA + ", label_type string, shard string"
 ROOT = 1
 
 
@@ -113,19 +114,26 @@ class TreeModel:
         return spark.createDataFrame(rows, NODE_SCHEMA + ", question string, path string")
 
     @classmethod
-    def from_table(cls, table: DataFrame, label_type: str = "string") -> TreeModel:
+    def from_table(cls, table: DataFrame) -> TreeModel:
+        """The model of a node table, with its label type and shards if the table has them."""
         names = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
         trees: dict[int, dict[int, Node]] = {}
         for row in table.select(*names).collect():
             trees.setdefault(row["tree_id"], {})[row["node_id"]] = Node(*row)
-        return cls(trees, label_type)
+        if not {"label_type", "shard"} <= set(table.columns):
+            return cls(trees)
+        kept = table.select("tree_id", "label_type", "shard").distinct().collect()
+        label_type = kept[0]["label_type"] if kept else "string"
+        return cls(trees, label_type, {r["tree_id"]: r["shard"] for r in kept if r["shard"] is not None})
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.to_table(spark).coalesce(1).write.mode("overwrite").parquet(path)
+        """Write the nodes; they keep the label's type and each tree's shard."""
+        rows = [(*node.row(), self.label_type, self.shards.get(node.tree_id)) for node in self.nodes()]
+        spark.createDataFrame(rows, MODEL_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, label_type: str = "string") -> TreeModel:
-        return cls.from_table(spark.read.parquet(path), label_type)
+    def load(cls, spark: SparkSession, path: str) -> TreeModel:
+        return cls.from_table(spark.read.parquet(path))
 
     def paths(self, tree_id: int) -> dict[int, str]:
         """Answers from the root to each node, as a text of ``y`` and ``n``."""

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from coppice.operators.columns import col
 from coppice.operators.encode import assemble
 
-# MLlib grows trees of at most this depth.
-DEEPEST = 30
-
 
 def with_vector(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
     """Feature vector, and the label as a double, next to the other columns."""
@@ -27,20 +24,21 @@ def fit_vector_tree(
     features: Sequence[str],
     label: str = "target",
     criterion: str = "entropy",
-    max_depth: int | None = 5,
+    max_depth: int = 5,
     max_bins: int = 256,
 ) -> DecisionTreeClassificationModel:
     """Fit a tree on numeric columns.
 
     Candidates are quantile bins, ``max_bins`` per feature; memory per node grows with
     features, bins and labels, so an unbounded number of bins does not scale. For
-    every observed value as a candidate use ``coppice.operators.tree``.
+    every observed value as a candidate, or a tree without a depth limit (MLlib stops at
+    30), use ``coppice.operators.tree``.
     """
     learner = DecisionTreeClassifier(
         labelCol="_label",
         featuresCol="_features",
         impurity=criterion,
-        maxDepth=DEEPEST if max_depth is None else max_depth,
+        maxDepth=max_depth,
         maxBins=max_bins,
     )
     return learner.fit(with_vector(df, features, label).select("_features", "_label"))
@@ -78,7 +76,7 @@ def compare_criteria(
     for criterion, depth in settings:
         model = fit_vector_tree(train, features, label, criterion, depth, max_bins)
         share = vector_accuracy(predict_vector(test, model, features), label=label)
-        result.append((criterion, DEEPEST if depth is None else depth, share))
+        result.append((criterion, depth, share))
     return train.sparkSession.createDataFrame(
         result, "criterion string, max_depth int, accuracy double"
     )

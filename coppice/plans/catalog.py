@@ -28,7 +28,7 @@ QUERIES: dict[str, Query] = {}
 KEY = "CID X LOC_NUM X VENDOR"
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
 LINE_LABEL = "l_returnflag"
-TREE_DEPTH = 3
+TREE_DEPTH = 5
 
 
 def query(function: Query) -> Query:
@@ -60,6 +60,13 @@ def gappy_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_share(df: DataFrame, hit: F.Column, share: float) -> DataFrame:
+    """Number of rows, and whether a random draw hit about the expected share of them."""
+    n, hits = F.count(F.lit(1)), F.count_if(hit)
+    error = 6 * F.sqrt(F.lit(share * (1 - share)) / n)
+    return df.agg(n.alias("n_rows"), (F.abs(hits / n - share) <= error).alias("near"))
+
+
 def key_column() -> F.Column:
     return columns.col(KEY).alias("row_key")
 
@@ -92,11 +99,15 @@ def csv_positional(spark, sf_dir):
 
 @query
 def plain_lines(spark, sf_dir):
-    """Lines cut at every comma, short ones dropped."""
-    df = load(spark, sf_dir, "supplier")
+    """Lines cut at every comma; headers among them and short ones dropped."""
+    rows = load(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("s_suppkey"), "s_name", F.col("s_nationkey").cast("string").alias("s_nationkey")
+    )
+    header = rows.filter("s_suppkey % 50 = 1").select(F.lit("customer_id").alias("s_suppkey"), F.lit("name").alias("s_name"), F.lit("nation").alias("s_nationkey"))
     path = scratch_path(spark, "lines")
-    writers.write_lines(df, path, "s_suppkey", "s_name", "s_nationkey")
-    lines = readers.filter_min_fields(readers.read_lines(spark, path), ",", 2)
+    writers.write_lines(rows.union(header), path, "s_suppkey", "s_name", "s_nationkey")
+    writers.write_lines(rows, f"{path}-short", "s_suppkey")
+    lines = readers.filter_min_fields(readers.read_lines(spark, [path, f"{path}-short"]), ",", 2)
     cut = readers.split_lines(lines, ["s_suppkey", "s_name", "s_nationkey"], header_token="customer_id")
     return cut.select(F.col("s_suppkey").cast("bigint"), "s_name", F.col("s_nationkey").cast("int"))
 
@@ -206,9 +217,7 @@ def cell_lookup(spark, sf_dir):
 @query
 def node_stats(spark, sf_dir):
     """Purity, majority label and entropy per group."""
-    stats = profile.node_statistics(
-        load(spark, sf_dir, "lineitem"), "l_linestatus", LINE_LABEL, ["A", "N", "R"]
-    )
+    stats = profile.node_statistics(load(spark, sf_dir, "lineitem"), "l_linestatus", LINE_LABEL)
     return stats.withColumn("impurity", F.round("impurity", 6))
 
 
@@ -279,6 +288,26 @@ def mode_impute(spark, sf_dir):
     return impute.apply_fill(df, impute.modes(df, ["o_custkey", "o_orderpriority", "o_orderstatus"]))
 
 
+@query
+def typed_fill_mode(spark, sf_dir):
+    """Modes for text, means of the two middle values for numbers, which become doubles."""
+    df = gappy_orders(spark, sf_dir)
+    plan = impute.learn_fill(df, flow.MODE_FILL, skip=["o_orderkey"])
+    return plan.apply(df)
+
+
+@query
+def split_features_label(spark, sf_dir):
+    """Feature part and label part of the training rows, counted and summed apart."""
+    train, _ = sampling.keyed_split(load(spark, sf_dir, "orders"), "o_orderkey", 0.7, 42)
+    features, label = sampling.features_and_label(
+        train.select("o_totalprice", "o_custkey", "o_orderstatus"), "o_orderstatus"
+    )
+    left = features.agg(F.count(F.lit(1)).alias("n_features"), F.sum("o_custkey").alias("custkeys"))
+    right = label.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_label"))
+    return right.crossJoin(left)  # one row on the left side
+
+
 @query
 def wide_fill(spark, sf_dir):
     """Every column of the raw table by type: constant, frequent text, lower median."""
@@ -312,7 +341,7 @@ def json_tag_extract(spark, sf_dir):
 @query
 def json_props_extract(spark, sf_dir):
     return load(spark, sf_dir, "events").select(
-        "event_id", F.get_json_object("props", "$.k").cast("int").alias("k"),
+        "event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"),
         text.strip_tag_quotes("props").alias("stripped"),
     )
 
@@ -389,16 +418,17 @@ def keyed_split(spark, sf_dir):
 
 @query
 def random_split(spark, sf_dir):
-    """Sizes of Spark's random split."""
+    """Spark's random split: all rows, and whether the train share is near 70 percent."""
     parts = sampling.random_split(load(spark, sf_dir, "orders"))
-    return readers.tagged_union(dict(zip(["train", "test"], parts))).groupBy("split").count()
+    both = readers.tagged_union(dict(zip(["train", "test"], parts)))
+    return near_share(both, F.col("split") == "train", 0.7)
 
 
 @query
 def random_tags(spark, sf_dir):
     """Two rows in eleven by a random draw per row."""
     tagged = load(spark, sf_dir, "orders").withColumn("split", sampling.tag_split_random(3))
-    return profile.count_by(tagged, "split", "n_rows")
+    return near_share(tagged, F.col("split") == "Test", 2 / 11)
 
 
 @query
@@ -433,7 +463,7 @@ def synth_labels(spark, sf_dir):
 def synth_labels_random(spark, sf_dir):
     """Labels by random draw, counted per value."""
     labelled = load(spark, sf_dir, "orders").withColumn("target", sampling.synthetic_label(0.1, seed=3))
-    return profile.count_by(labelled, "target")
+    return near_share(labelled, F.col("target") == 1, 0.1)
 
 
 @query
@@ -555,7 +585,7 @@ def line_tree(spark, sf_dir, **options) -> tuple[DataFrame, TreeModel]:
 def shard_model(spark, sf_dir) -> tuple[DataFrame, TreeModel]:
     df = load(spark, sf_dir, "lineitem").withColumn("shard", F.expr("l_suppkey % 3"))
     model = train_trees(
-        df, LINE_FEATURES, LINE_LABEL, shard="shard", max_depth=2, collapse=False
+        df, LINE_FEATURES, LINE_LABEL, shard="shard", max_depth=TREE_DEPTH, collapse=False
     )
     return df, model
 
@@ -581,7 +611,7 @@ def tree_nodes_bucketed(spark, sf_dir):
 
 @query
 def tree_nodes_gini(spark, sf_dir):
-    return node_columns(line_tree(spark, sf_dir, criterion="gini", max_depth=2)[1], spark)
+    return node_columns(line_tree(spark, sf_dir, criterion="gini")[1], spark)
 
 
 @query
@@ -682,7 +712,7 @@ def impurity_compare(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Clean, fill, engineer, train on the training rows, score all: accuracy per part."""
     result = flow.run_flow(
-        wide_table(spark, sf_dir), sampling.tag_split(columns.col(KEY), 1), flow.EXACT_FILL, max_depth=3
+        wide_table(spark, sf_dir), sampling.tag_split(columns.col(KEY), 1), flow.EXACT_FILL, max_depth=TREE_DEPTH
     )
     return result.summary().withColumn("accuracy", F.round("accuracy", 8))
 
@@ -705,7 +735,7 @@ def stream_scoring(spark, sf_dir):
     fill = flow.learn_missing(flow.clean_lists(wide), flow.EXACT_FILL)
     engineered = flow.engineer(fill.apply(flow.clean_lists(wide)))
     features = [c for c in engineered.columns if c != flow.LABEL]
-    model = train_tree(engineered, features, flow.LABEL, max_depth=2)
+    model = train_tree(engineered, features, flow.LABEL, max_depth=TREE_DEPTH)
     stream = scoring.read_csv_stream(spark, raw, raw_schema())
     scored = scoring.score_stream(stream, fill, model)
     scoring.write_stream(scored, out).awaitTermination()

@@ -161,6 +161,14 @@ rows("mode_impute", f"WITH g AS ({GAPPY_ORDERS}) SELECT o_orderkey, " + ", ".joi
     + " FROM g")
 
 
+rows("typed_fill_mode", f"""WITH g AS ({GAPPY_ORDERS}) SELECT o_orderkey,
+  coalesce(o_custkey::double, (SELECT median(o_custkey)::double FROM g)) AS o_custkey,
+  coalesce(o_orderpriority, {smallest_mode('o_orderpriority')}) AS o_orderpriority,
+  coalesce(o_orderstatus, {smallest_mode('o_orderstatus')}) AS o_orderstatus,
+  coalesce(CASE WHEN NOT isnan(o_totalprice) THEN o_totalprice END,
+    (SELECT median(o_totalprice) FROM g WHERE NOT isnan(o_totalprice))) AS o_totalprice FROM g""")
+
+
 def filled(source: str, learned_on: str) -> list[str]:
     """Select list that fills every raw column by type, values learned on another relation."""
     items = []
@@ -213,6 +221,9 @@ def tag(key: str, seed: int) -> str:
 rows("hash_split_counts", f"SELECT {tag('o_orderkey', 7)} AS split, count(*) AS n_rows FROM orders GROUP BY 1")
 rows("hash_split_train", f"SELECT o_orderkey FROM orders WHERE {tag('o_orderkey', 7)} = 'Train'")
 rows("keyed_split", f"SELECT o_orderkey, o_orderstatus FROM orders WHERE {hash_unit('o_orderkey', 42)} < 0.7")
+rows("split_features_label", f"""WITH t AS (SELECT * FROM orders WHERE {hash_unit('o_orderkey', 42)} < 0.7)
+SELECT o_orderstatus, count(*) AS n_label, (SELECT count(*) FROM t) AS n_features,
+  (SELECT sum(o_custkey)::bigint FROM t) AS custkeys FROM t GROUP BY 1""")
 _RANKED = f"""SELECT *, row_number() OVER (ORDER BY {hash_bits('c_custkey', 5)}, c_custkey) AS rn,
   (SELECT round_even(0.25 * count(*), 0) FROM customer) AS size FROM customer"""
 rows("exact_sample", f"SELECT * EXCLUDE (rn, size) FROM ({_RANKED}) WHERE rn <= size")
@@ -322,14 +333,14 @@ _LABELS = ["A", "N", "R"]
 
 rows("best_root_split", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 1)
      + " SELECT feature, op, value_num, value_str, n FROM node_rows WHERE path = ''")
-rows("tree_nodes", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 3) + NODE_COLUMNS)
-rows("tree_nodes_bucketed", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 3) + NODE_COLUMNS)
-rows("tree_nodes_gini", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 2, "gini") + NODE_COLUMNS)
-rows("shard_trees", tree_ctes(_SHARDED, _LINE_FEATURES, _LABELS, 2) + NODE_COLUMNS)
-rows("tree_score", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 3)
+rows("tree_nodes", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 5) + NODE_COLUMNS)
+rows("tree_nodes_bucketed", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 5) + NODE_COLUMNS)
+rows("tree_nodes_gini", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 5, "gini") + NODE_COLUMNS)
+rows("shard_trees", tree_ctes(_SHARDED, _LINE_FEATURES, _LABELS, 5) + NODE_COLUMNS)
+rows("tree_score", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 5)
      + " SELECT y AS l_returnflag, label AS prediction, count(*) AS n_rows FROM placed GROUP BY 1, 2")
 rows("prediction_sink", tree_ctes(
-    _LINE.replace("SELECT", "SELECT l_orderkey,", 1), _LINE_FEATURES, _LABELS, 3)
+    _LINE.replace("SELECT", "SELECT l_orderkey,", 1), _LINE_FEATURES, _LABELS, 5)
     + " SELECT p.label AS target, count(*) AS n_rows, sum(b.l_orderkey)::bigint AS keys "
     "FROM placed p JOIN base b USING (rid) GROUP BY 1")
 
@@ -350,9 +361,9 @@ def answers(depth: int) -> str:
     return ", " + ", ".join(steps)
 
 
-rows("tree_score_each", tree_ctes(_SHARDED, _LINE_FEATURES, _LABELS, 2) + answers(2)
+rows("tree_score_each", tree_ctes(_SHARDED, _LINE_FEATURES, _LABELS, 5) + answers(5)
      + " SELECT tree::int AS tree_id, y AS l_returnflag, label AS prediction, count(*) AS n_rows FROM scored GROUP BY 1, 2, 3")
-rows("tree_accuracy", tree_ctes(_SHARDED, _LINE_FEATURES, _LABELS, 2) + answers(2)
+rows("tree_accuracy", tree_ctes(_SHARDED, _LINE_FEATURES, _LABELS, 5) + answers(5)
      + " SELECT tree::int AS tree_id, round(avg(CASE WHEN y = label THEN 1.0::double ELSE 0.0::double END), 8) AS accuracy "
      "FROM scored GROUP BY 1")
 
@@ -375,8 +386,13 @@ def trained_flow(train_condition: str, depth: int) -> str:
 
 
 _SPLIT = tag(f'"{KEY}"', 1) + " = 'Train'"
-rows("flagship", trained_flow(_SPLIT, 3) + """ SELECT CASE WHEN w = 1 THEN 'Train' ELSE 'Test' END AS split,
+rows("flagship", trained_flow(_SPLIT, 5) + """ SELECT CASE WHEN w = 1 THEN 'Train' ELSE 'Test' END AS split,
   count(*) AS n_rows, round(avg(CASE WHEN y = label THEN 1.0::double ELSE 0.0::double END), 8) AS accuracy
 FROM placed GROUP BY 1""")
-rows("stream_scoring", trained_flow("true", 2)
+rows("stream_scoring", trained_flow("true", 5)
      + " SELECT y AS target, label AS prediction, count(*) AS n_rows FROM placed GROUP BY 1, 2")
+
+# Random draws ---------------------------------------------------------------------------------
+
+for _name in ("random_split", "random_tags", "synth_labels_random"):
+    rows(_name, "SELECT count(*) AS n_rows, true AS near FROM orders")
