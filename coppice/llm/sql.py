@@ -49,3 +49,70 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles,
        l.m IS NULL OR d.doc_id <= l.m AS kept
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = d.doc_id
 """
+
+
+def path_templates_sql(
+    rules: list[tuple[str, str]], depth: int, least_pages: int, least_share: int, apart: float, weight: float, least_purity: float
+) -> str:
+    """The URL filter: a step for each level of the tree, then one for each level of merging."""
+    longest = sorted(rules, key=lambda r: -len(r[1]))
+
+    def fits(text: str) -> str:
+        host, slash, rest = text.partition("/")
+        return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash}{rest}'))"
+
+    rule = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{t}'" for _, t in longest) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{v}'" for v, t in longest) + " END"
+    steps = [
+        "cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)",
+        "known AS (SELECT doc_id, count(quality) AS labelled, count(*) FILTER (quality = 1) AS good FROM labels GROUP BY doc_id)",
+        "whole AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+        "'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut)",
+        "listed AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS every FROM whole)",
+        f"p0 AS (SELECT page_id, host, path, every[1:{depth}] AS segments, len(every) > {depth} AS deeper, '' AS template, "
+        "coalesce(labelled, 0) AS labelled, coalesce(good, 0) AS good FROM listed LEFT JOIN known ON doc_id = page_id)",
+    ]
+    for d in range(depth):
+        steps += [
+            f"c{d} AS (SELECT host, template, segments[{d + 1}] AS segment, count(*) AS n FROM p{d} WHERE len(segments) > {d} GROUP BY ALL)",
+            f"l{d} AS (SELECT host, template, segment FROM c{d} JOIN (SELECT host, template, sum(n) AS total FROM c{d} GROUP BY ALL) "
+            f"USING (host, template) WHERE n >= {least_pages} AND n * {least_share} >= total)",
+            f"p{d + 1} AS (SELECT p.* REPLACE (CASE WHEN len(p.segments) <= {d} THEN p.template "
+            f"ELSE p.template || '/' || coalesce(l.segment, '*') END AS template) FROM p{d} p LEFT JOIN l{d} l "
+            f"ON l.host = p.host AND l.template = p.template AND l.segment = p.segments[{d + 1}])",
+        ]
+    steps += [
+        f"placed AS (SELECT * REPLACE (CASE WHEN deeper THEN template || '/**' ELSE template END AS template) FROM p{depth})",
+        "o AS (SELECT CASE WHEN sum(labelled) > 0 THEN sum(good)::double / sum(labelled)::double ELSE 1.0::double END AS overall FROM placed)",
+        "t0 AS (SELECT host, template, sum(labelled)::double AS labelled, sum(good)::double AS good, '' AS branch, "
+        "CASE WHEN template = '' THEN [] ELSE string_split(substr(template, 2), '/') END AS parts FROM placed GROUP BY ALL)",
+    ]
+    smoothed = f"(g + {weight}::double * overall) / (l + {weight}::double)"
+    for d in range(depth + 1):
+        steps += [
+            f"s{d} AS (SELECT *, {smoothed} AS purity FROM (SELECT host, branch, parts[{d + 1}] AS part, sum(labelled) AS l, sum(good) AS g "
+            f"FROM t{d} WHERE len(parts) > {d} GROUP BY ALL), o)",
+            f"b{d} AS (SELECT *, lag(l) OVER w AS pl, lag(g) OVER w AS pg FROM s{d} WINDOW w AS (PARTITION BY host, branch ORDER BY l = 0, purity, part))",
+            f"q{d} AS (SELECT *, (g + pg) / (l + pl) AS pooled FROM b{d})",
+            f"a{d} AS (SELECT *, CASE WHEN l > 0 AND pl > 0 THEN (abs(g / l - pg / pl) > {apart}::double * sqrt(pooled * (1 - pooled) * "
+            f"(1 / l + 1 / pl)))::int WHEN l = 0 AND pl > 0 THEN 1 ELSE 0 END AS apart FROM q{d})",
+            f"g{d} AS (SELECT *, sum(apart) OVER (PARTITION BY host, branch ORDER BY l = 0, purity, part ROWS UNBOUNDED PRECEDING) AS grp FROM a{d})",
+            f"n{d} AS (SELECT host, branch, part, min(part) OVER (PARTITION BY host, branch, grp) AS name FROM g{d})",
+            f"t{d + 1} AS (SELECT t.* REPLACE (CASE WHEN n.part IS NULL THEN t.branch ELSE t.branch || '/' || n.name END AS branch) "
+            f"FROM t{d} t LEFT JOIN n{d} n ON n.host = t.host AND n.branch = t.branch AND n.part = t.parts[{d + 1}])",
+        ]
+    last = f"t{depth + 1}"
+    steps.append(
+        f"pure AS (SELECT host, branch, {smoothed} AS purity FROM (SELECT host, branch, sum(labelled) AS l, sum(good) AS g FROM {last} GROUP BY ALL), o)"
+    )
+    return (
+        "WITH " + ",\n".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)
+        + f"\nSELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN purity < {least_purity} THEN 'block' ELSE 'allow' END) "
+        f"AS verdict FROM placed JOIN {last} USING (host, template) JOIN pure USING (host, branch)"
+    )
+
+
+ORACLES["op9_path_templates"] = path_templates_sql(
+    [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")],
+    depth=8, least_pages=5, least_share=50, apart=1.96, weight=20.0, least_purity=0.8,
+)
