@@ -71,8 +71,7 @@ def cell(df: DataFrame, row: int, column: str, order_by: Sequence[Column | str])
     """One cell by row number (from 0) and column name."""
     if all(isinstance(c, str) for c in order_by):
         df = df.select(*[col(c) for c in dict.fromkeys([column, *order_by])])
-    numbered = row_index(df, order_by)
-    return numbered.filter(F.col("row_index") == row + 1).select(col(column))
+    return df.orderBy(*[as_column(c) for c in order_by]).offset(row).limit(1).select(col(column))
 
 
 def sorted_distinct(df: DataFrame, column: str) -> DataFrame:
@@ -152,24 +151,31 @@ def order_statistics(
     if not wanted:
         return {c: [] for c in columns}
     names = list(wanted)
-    entries = [
-        F.struct(F.lit(i).alias("i"), F.when(within(c, interval[c]), col(c)).cast("double").alias("v"))
-        for i, c in enumerate(names)
-    ]
-    if all(types[c] in ("int", "bigint", "smallint", "tinyint") for c in names):
-        entries = [F.struct(e["i"].alias("i"), e["v"].cast("bigint").alias("v")) for e in entries]
+    whole = {c: types[c] in ("int", "bigint", "smallint", "tinyint") for c in names}
+    # Integers keep their type: doubles would merge neighbours beyond 2**53. Bounds compare
+    # as doubles on both sides of them, which keeps the order.
+    entries = []
+    for i, c in enumerate(names):
+        value = F.when(within(c, interval[c]), col(c))
+        entries.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                (F.lit(None) if whole[c] else value).cast("double").alias("v"),
+                (value if whole[c] else F.lit(None)).cast("bigint").alias("w"),
+            )
+        )
     counted = (
         base.select(F.explode(F.array(*entries)).alias("e"))
         .select("e.*")
-        .filter("v IS NOT NULL")
-        .groupBy("i", "v")
+        .filter("v IS NOT NULL OR w IS NOT NULL")
+        .groupBy("i", "v", "w")
         .count()
     )
     if max(inside.values()) > window_rows:
         counted = _near_ranks(counted, wanted, before)
     else:
         counted = counted.withColumns({"part": F.lit(0), "skipped": F.lit(0).cast("bigint")})
-    walk = Window.partitionBy("i", "part").orderBy("v")
+    walk = Window.partitionBy("i", "part").orderBy("v", "w")
     running = counted.withColumn("upto", F.col("skipped") + F.sum("count").over(walk))
     hits = None
     for i, c in enumerate(names):
@@ -185,21 +191,21 @@ def order_statistics(
         for rank in wanted[c]:
             position = rank - before[c]
             value = next(
-                r["v"] for r in found
+                r["w" if whole[c] else "v"] for r in found
                 if r["i"] == i and r["upto"] > position >= r["upto"] - r["count"]
             )
-            result[c].append(int(value) if types[c] in ("int", "bigint", "smallint", "tinyint") else value)
+            result[c].append(value)
     return result
 
 
 def _near_ranks(
     counted: DataFrame, wanted: dict[str, list[int]], before: dict[str, int]
 ) -> DataFrame:
-    """Of very many ``(i, v, count)``, the range partitions that hold the wanted ranks.
+    """Of very many ``(i, v, w, count)``, the range partitions that hold the wanted ranks.
 
     ``skipped`` tells how many rows of the column lie in its earlier partitions.
     """
-    placed = counted.repartitionByRange("i", "v").withColumn("part", F.spark_partition_id())
+    placed = counted.repartitionByRange("i", "v", "w").withColumn("part", F.spark_partition_id())
     stored = write_scratch(placed, "ranks")
     # One row per column and partition.
     sizes = stored.groupBy("i", "part").agg(F.sum("count").alias("n")).orderBy("i", "part").collect()

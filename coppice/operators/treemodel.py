@@ -179,16 +179,24 @@ class TreeModel:
         """
         chosen = self.tree_ids[0] if tree_id is None else tree_id
         nodes, types = self.trees[chosen], dict(df.dtypes)
-
-        def answer(node_id: int) -> Column:
-            node = nodes[node_id]
+        answers: dict[int, Column] = {}
+        # From the leaves up, so that no depth of Python calls is needed.
+        for node in sorted(nodes.values(), key=lambda n: -n.depth):
             if node.is_leaf:
-                return F.lit(node.label).cast(self.label_type)
-            return F.when(self._question(node, types), answer(node.yes_id)).otherwise(
-                answer(node.no_id)
-            )
+                answers[node.node_id] = F.lit(node.label).cast(self.label_type)
+            else:
+                answers[node.node_id] = F.when(self._question(node, types), answers[node.yes_id]).otherwise(
+                    answers[node.no_id]
+                )
+        return answers[ROOT]
+
+    @property
+    def depth(self) -> int:
+        return max((n.depth for nodes in self.trees.values() for n in nodes.values()), default=0)
 
-        return answer(ROOT)
+    @property
+    def size(self) -> int:
+        return sum(map(len, self.trees.values()))
 
 
 def model_from_rows(rows: Iterable[tuple], label_type: str = "string") -> TreeModel:

@@ -3,6 +3,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from coppice.functions import text, timeofday
 from coppice.operators import columns, encode, impute, ordering, profile, sampling
 from coppice.sources import readers, writers
 
@@ -152,3 +153,46 @@ def test_zip_rows_and_cell(spark):
     zipped = sorted(tuple(r) for r in ordering.zip_rows(left, right, ["a"], ["b"]).collect())
     assert zipped == [(0, -3), (2, -2), (4, -1), (6, 0)]
     assert ordering.cell(left, 3, "a", ["a"]).first()[0] == 6
+
+
+def test_order_statistics_of_integers_beyond_doubles(spark):
+    rows = [(2**60 + i, float(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "a long, b double")
+    assert ordering.order_statistics(df, ["a", "b"], {"a": [4, 5], "b": [3]}) == {"a": [2**60 + 4, 2**60 + 5], "b": [3.0]}
+    assert ordering.order_statistics(df, ["a"], {"a": [4]}, window_rows=2)["a"] == [2**60 + 4]
+
+
+def test_mode_fill_gives_means_of_integers(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None), (None, "x")], "a int, t string")
+    plan = impute.learn_fill(df, {"string": "mode", "int": "median", "double": "median"})
+    assert sorted(map(tuple, plan.apply(df).collect())) == [(1.0, "x"), (1.5, "x"), (2.0, "x")]
+
+
+def test_columns_without_values_have_no_median(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
+    assert impute.approximate_medians(df, ["a", "b"]).keys() == {"b"}
+    assert impute.approximate_medians(df, ["a"]) == {}
+
+
+def test_null_is_a_hot_key_too(spark):
+    df = spark.createDataFrame([(None, i) for i in range(300)] + [(1, 5)], "k int, v int")
+    listed = sampling.values_per_key(df, "k", "v", chunk_rows=50).collect()
+    assert max(len(r["values"]) for r in listed) <= 60
+    assert sorted(v for r in listed for v in r["values"]) == sorted([*range(300), 5])
+
+
+def test_bad_dates_and_times_are_null(spark):
+    df = spark.createDataFrame([("",), ("soon",), ("1970-01-03",), ("1970-01-02 05:06:07",)], "t string")
+    assert [r[0] for r in df.select(text.epoch_days("t")).collect()] == [None, None, 2.0, 1.0]
+    clock = spark.createDataFrame([("99:99:99",), ("23:59:59",), ("7:00:00",)], "t string")
+    assert [r[0] for r in clock.select(timeofday.seconds_of_day("t")).collect()] == [None, 86399, 25200]
+
+
+def test_node_statistics_count_every_label(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "z"), (2, None)], "g int, y string")
+    rows = {r.g: r for r in profile.node_statistics(df, "g", "y").collect()}
+    assert (rows[1].n, rows[1].pure, rows[1].majority) == (3, False, "a")
+    assert abs(rows[1].impurity - 1.584962500721156) < 1e-12
+    assert (rows[2].n, rows[2].pure, rows[2].impurity) == (1, True, 0.0)
+    gini = profile.node_statistics(df, "g", "y", "gini").filter("g = 1").first()
+    assert abs(gini.impurity - 2 / 3) < 1e-12

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from coppice.operators.score import accuracy, predict, predict_each, tree_accuracies
+from coppice.operators.score import accuracy, compiles, predict, predict_each, tree_accuracies, walk
 from coppice.operators.tree import train_tree, train_trees
 from coppice.operators.treemodel import TreeModel, model_from_rows
 from tests.brute_force import grow, kinds, score
@@ -199,3 +199,41 @@ def test_nan_is_missing(spark):
     )
     model = train_tree(df, ["a"], "y")
     assert predict(df, model).filter(F.col("prediction") == F.col("y")).count() >= 2
+
+
+def test_stored_model_keeps_label_type_and_shards(spark, tmp_path):
+    rows = [(i % 2, float(i), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "shard int, a double, y int")
+    model = train_trees(df, ["a"], "y", shard="shard", max_depth=2)
+    model.save(spark, str(tmp_path / "model"))
+    again = TreeModel.load(spark, str(tmp_path / "model"))
+    assert again == model
+    assert predict(df, again).schema["prediction"].dataType.simpleString() == "int"
+
+
+def chain(levels: int) -> TreeModel:
+    """A tree that asks ``a <= 0``, ``a <= 1``, ... and ends with a leaf for each."""
+    rows = []
+    for d in range(levels):
+        rows.append((0, 2 * d + 1, d, "a", "<=", float(d), None, 2 * d + 2, 2 * d + 3, None, 1))
+        rows.append((0, 2 * d + 2, d + 1, None, None, None, None, None, None, f"leaf{d}", 1))
+    rows.append((0, 2 * levels + 1, levels, None, None, None, None, None, None, "rest", 1))
+    return model_from_rows(rows)
+
+
+def test_deep_trees_walk_the_node_table(spark):
+    model = chain(60)
+    assert not compiles(model)
+    df = spark.createDataFrame([(float(i),) for i in range(-1, 70, 7)] + [(None,), (float("nan"),)], "a double")
+    got = {str(r.a): r.prediction for r in predict(df, model).collect()}
+    expected = {str(float(i)): f"leaf{max(i, 0)}" if i < 60 else "rest" for i in range(-1, 70, 7)}
+    assert got == expected | {"None": "rest", "nan": "rest"}
+    assert chain(1200).prediction(df) is not None  # no limit of Python calls
+
+
+def test_walk_equals_compiled_conditions(spark):
+    rows = [(float(i % 7), "xyz"[i % 3], i % 4, "pq"[i % 2]) for i in range(200)] + [(None, None, None, "p")]
+    df = spark.createDataFrame(rows, "a double, t string, b int, y string")
+    model = train_trees(df.withColumn("s", F.lit(1)), ["a", "t", "b"], "y", shard="s", max_depth=4)
+    key = lambda frame: sorted(map(str, frame.collect()))
+    assert key(walk(df, model, model.tree_ids)) == key(predict_each(df, model).select(*df.columns, "tree_id", "prediction"))
