@@ -68,7 +68,7 @@ def compare_criteria(
     test: DataFrame,
     features: Sequence[str],
     label: str = "target",
-    settings: Sequence[tuple[str, int | None]] = (("gini", None), ("entropy", 3)),
+    settings: Sequence[tuple[str, int]] = (("gini", 30), ("entropy", 3)),
     max_bins: int = 256,
 ) -> DataFrame:
     """Holdout accuracy per ``(criterion, max_depth)`` as a table."""

@@ -396,3 +396,10 @@ rows("stream_scoring", trained_flow("true", 5)
 
 for _name in ("random_split", "random_tags", "synth_labels_random"):
     rows(_name, "SELECT count(*) AS n_rows, true AS near FROM orders")
+
+# Binned trees: the holdout, by key -------------------------------------------------------------
+
+_HELD_OUT = f"SELECT count(*) AS n_rows, true AS useful FROM lineitem WHERE NOT ({hash_unit('l_orderkey || chr(45) || l_linenumber', 42)} < 0.7)"
+for _name in ("vector_tree", "vector_tree_default", "vector_tree_gini"):
+    rows(_name, _HELD_OUT)
+rows("impurity_compare", "SELECT * FROM (VALUES ('gini', 30, true), ('entropy', 3, true)) t(criterion, max_depth, plausible)")
