@@ -20,7 +20,7 @@ from coppice.llm.gam import fit_quality, with_quality
 from coppice.llm.minhash import without_near_duplicates
 from coppice.llm.pieces import encode_pieces
 from coppice.llm.queries import DROPOUT, LEAST_QUALITY, PIECE_MODEL, SEED
-from coppice.llm.tables import READ_OPTIONS, Stored, free_name, table
+from coppice.llm.tables import READ_OPTIONS, Stored, bound_batches, free_name, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +72,8 @@ ORACLE_SQL = None
 
 
 def plain_reads(spark: SparkSession) -> None:
-    """Read long text columns as plain streams, whoever made the reader."""
+    """Read long text columns as plain streams in small batches, whoever made the reader."""
+    bound_batches(spark)
     for key, value in READ_OPTIONS.items():
         spark.conf.set(key, value)
 
