@@ -124,4 +124,4 @@ def op4_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of documents without byte strings that occur more than once."""
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from coppice.llm.tables import Stored
 from coppice.llm.text import OTHER, mix, prefix_hash, signed, sliding_minimum, span_hash, text_slices
@@ -26,7 +27,7 @@ from coppice.llm.text import OTHER, mix, prefix_hash, signed, sliding_minimum, s
 LENGTH, GRAM = 200, 48
 BEFORE = LENGTH - GRAM  # bytes before an anchor that a window with it may begin
 #: Fragments of one anchor that meet in a task; bytes of fragments indexed side by side.
-GROUP_FRAGMENTS, INDEX_BYTES = 8192, 1 << 19
+GROUP_FRAGMENTS, INDEX_BYTES = 4096, 1 << 18
 #: Windows of a range.
 RANGE = 9
 
@@ -296,47 +297,51 @@ def _fragment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part, data, offsets in text_slices(batch, "text"):
-            lists = part.column(part.schema.get_field_index("spans"))
-            item = lists.flatten()
-            doc = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            removed, spans, digests, kept = [], [], [], []
-            start, stop = item.field("start").to_numpy(), item.field("stop").to_numpy()
-            bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            raw = memoryview(np.ascontiguousarray(data))
-            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-                s, e = _union(start[bounds[i] : bounds[i + 1]], stop[bounds[i] : bounds[i + 1]])
-                edges = [0, *np.stack((s, e), axis=1).ravel().tolist(), b - a]
-                rest = b"".join(raw[a + x : a + y] for x, y in zip(edges[::2], edges[1::2], strict=True))
-                removed.append(b - a - len(rest))
-                spans.append(len(s))
-                digests.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
-            yield pa.RecordBatch.from_arrays(
-                [
+def _kept_rows(with_kept: bool, names: list[str]):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in text_slices(batch, "text"):
+                lists = part.column(part.schema.get_field_index("spans"))
+                item = lists.flatten()
+                doc = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                removed, spans, digests, kept = [], [], [], []
+                start, stop = item.field("start").to_numpy(), item.field("stop").to_numpy()
+                bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
+                raw = memoryview(np.ascontiguousarray(data))
+                for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                    s, e = _union(start[bounds[i] : bounds[i + 1]], stop[bounds[i] : bounds[i + 1]])
+                    edges = [0, *np.stack((s, e), axis=1).ravel().tolist(), b - a]
+                    rest = b"".join(raw[a + x : a + y] for x, y in zip(edges[::2], edges[1::2], strict=True))
+                    removed.append(b - a - len(rest))
+                    spans.append(len(s))
+                    digests.append(hashlib.sha256(rest).hexdigest())
+                    kept.append(rest)
+                columns = [
                     part.column(part.schema.get_field_index("doc_id")), pa.array(np.diff(offsets)),
                     pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string()),
-                    pa.array(kept, pa.binary()),
-                ],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-            )
+                ]
+                if with_kept:
+                    columns.append(pa.array(kept, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_kept: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row.
 
     Removes each byte of a string of ``LENGTH`` bytes that also starts anywhere else, in
     the same text or another row; all its places lose it. Strings are judged on the input.
-    ``kept`` holds the remaining bytes, which need not be valid UTF-8. Null and empty texts
+    ``kept`` (left out on request) holds the remaining bytes, which need not be valid UTF-8. Null and empty texts
     have no bytes. Repeated rows, and rows that share an id, are rows of their own. Other
     columns are ignored. Strings are compared by 64-bit hashes and more.
     """
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
     ids = docs.select(key.alias("k1")).groupBy("k1").count().filter("count > 1")
+    repeated_ids = ids.limit(1).count() > 0
     # Where ids repeat, a hash of the text tells their rows apart.
-    second = F.hash(text) if ids.limit(1).count() else F.lit(0)
+    second = F.hash(text) if repeated_ids else F.lit(0)
+    keys = ["k1", "k2"] if repeated_ids else ["k1"]
     texts = docs.select(F.col(doc_id).alias("doc_id"), key.alias("k1"), second.alias("k2"), F.col(text).alias("text"))
     found = texts.select("k1", "k2", "text").mapInArrow(
         _anchor_rows, "anchor long, digest long, k1 long, k2 int, place long"
@@ -355,10 +360,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select("anchor", (F.col("kinds") > GROUP_FRAGMENTS).alias("hot"))
     )
     wanted = fragments.join(groups, "anchor").select("one.k1", "one.k2", "one.place", "anchor", "digest", "n", "hot")
-    by_doc = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "digest", "n", "hot", "place")).alias("wanted"))
-    dealt = texts.repartition("k1", "k2")
-    contents = dealt.dropDuplicates(["k1", "k2"]) if ids.limit(1).count() else dealt
-    contents = contents.join(by_doc, ["k1", "k2"]).select("text", "wanted", F.xxhash64("k1", "k2").alias("source")).mapInArrow(
+    by_doc = wanted.groupBy(*keys).agg(F.collect_list(F.struct("anchor", "digest", "n", "hot", "place")).alias("wanted"))
+    # The texts are dealt once: both joins read the same columns of the same exchange.
+    dealt = texts.drop(*{"k1", "k2"} - set(keys)).repartition(*keys)
+    contents = dealt.dropDuplicates(keys) if repeated_ids else dealt
+    contents = contents.join(by_doc, keys).select("doc_id", "text", "wanted", F.xxhash64(*keys).alias("source")).mapInArrow(
         _fragment_rows, "anchor long, digest long, n long, hot boolean, left int, content binary, source long, begin long"
     )
     cold = contents.filter("NOT hot").drop("hot")
@@ -371,16 +377,22 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     known = often.union(marks)
     spans = (
         seen.join(known, ["anchor", "digest"])
-        .select("k1", "k2", "place", F.inline("marks"))
+        .select(*keys, "place", F.inline("marks"))
         .select(
-            "k1", "k2",
+            *keys,
             (at + F.coalesce(F.col("start").cast("long"), -left)).alias("start"),
             (at + F.coalesce(F.col("stop").cast("long"), right)).alias("stop"),
         )
         .filter(F.col("stop") - F.col("start") >= LENGTH)
-        .groupBy("k1", "k2")
+        .groupBy(*keys)
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    return dealt.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(
-        _kept_rows, docs.select(F.col(doc_id).alias("doc_id")).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("kept", "binary"),
+    schema = StructType([StructField("doc_id", docs.schema[doc_id].dataType)])
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        schema.add(name, LongType())
+    schema.add("kept_sha256", StringType())
+    if with_kept:
+        schema.add("kept", BinaryType())
+    return dealt.join(spans, keys, "left").select("doc_id", "text", "spans").mapInArrow(
+        _kept_rows(with_kept, schema.names), schema
     )

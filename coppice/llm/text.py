@@ -14,7 +14,7 @@ import pyarrow as pa
 #: Odd, so it has an inverse modulo 2**64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Bytes that end a word: space and 0x09 to 0x0D.
 SPACE = np.zeros(256, bool)
