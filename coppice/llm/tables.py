@@ -16,7 +16,17 @@ from coppice.session import scratch_path
 READ_OPTIONS = {"parquet.hadoop.vectored.io.enabled": "false"}
 
 
+#: Bytes of an Arrow batch: whole texts pass through Python, so rows are no measure.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session's Arrow batches hold ``BATCH_BYTES``, or one row that is longer."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.options(**READ_OPTIONS).parquet(f"{sf_dir}/{name}.parquet")
 
 
