@@ -29,6 +29,12 @@ def _add_offsets(df: DataFrame, name: str, part: str, position: str) -> DataFram
     )
 
 
+def _shuffles(df: DataFrame) -> bool:
+    """Whether the plan of ``df`` moves rows between tasks, or reads no files at all."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" in plan or "FileScan" not in plan
+
+
 def row_index(
     df: DataFrame, order_by: Sequence[Column | str] | None = None, name: str = "row_index"
 ) -> DataFrame:
@@ -38,8 +44,8 @@ def row_index(
     then partition offsets. Add enough columns to make the order total; they also
     let the range shuffle cut through a key that holds many rows.
 
-    Without: the order of the stored rows, which only a file scan repeats. Rows
-    that come out of a shuffle should be written first.
+    Without: the order of the stored rows. Only a file scan repeats it, so rows that come
+    out of a shuffle are written first.
     """
     order = [as_column(c) for c in order_by] if order_by else []
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
@@ -50,7 +56,7 @@ def row_index(
             "_position"
         ),
     )
-    if order:
+    if order or _shuffles(df):
         tagged = write_scratch(tagged, "row-index")
     return _add_offsets(tagged, name, "_part", "_position")
 

@@ -25,6 +25,11 @@ def type_class(data_type: str) -> str:
     return _TYPE_CLASSES.get(data_type, data_type)
 
 
+def is_number(data_type: str) -> bool:
+    """Whether values of the type are compared as numbers; decimals are, too."""
+    return type_class(data_type) in ("int", "double") or data_type.startswith("decimal")
+
+
 def columns_by_type(df: DataFrame) -> dict[str, list[str]]:
     """Column names grouped by type class (schema only, no job)."""
     groups: dict[str, list[str]] = {}
@@ -95,7 +100,7 @@ def sum_by(df: DataFrame, key: str, value: str, name: str = "total") -> DataFram
 def feature_cell(c: str, data_type: str) -> tuple[Column, Column]:
     """A feature's value as ``(num, str)``: one of them is null by type."""
     kind = type_class(data_type)
-    if kind in ("int", "double") or data_type.startswith("decimal"):
+    if is_number(data_type):
         return missing_to_null(col(c), data_type).cast("double"), F.lit(None).cast("string")
     if kind in ("string", "boolean", "date"):
         return F.lit(None).cast("double"), col(c).cast("string")
@@ -132,7 +137,7 @@ def feature_kinds(
     """``categorical`` for text and few-valued numbers, else ``continuous``."""
     names = [f for f in (features or df.columns) if f != label]
     types = dict(df.dtypes)
-    numbers = [f for f in names if type_class(types[f]) in ("int", "double")]
+    numbers = [f for f in names if is_number(types[f])]
     counts = distinct_values(df, numbers, threshold) if numbers else {}
     return {
         f: "continuous" if counts.get(f, 0) > threshold else "categorical" for f in names

@@ -33,7 +33,7 @@ from coppice.functions.numeric import (
     total,
 )
 from coppice.operators.columns import col
-from coppice.operators.profile import CATEGORY_VALUES, feature_cell, type_class
+from coppice.operators.profile import CATEGORY_VALUES, feature_cell, is_number, type_class
 from coppice.operators.treemodel import ROOT, Node, TreeModel
 from coppice.session import scratch_root
 
@@ -156,8 +156,8 @@ class _Training:
         types = dict(df.dtypes)
         self.label_type = types[label]
         cells = [feature_cell(f, types[f]) for f in features]
-        self.numeric = [type_class(types[f]) in ("int", "double") or types[f].startswith("decimal")
-                        for f in features]
+        self.numeric = [is_number(types[f]) for f in features]
+        self._check_long_integers(df, [f for f in features if types[f] == "bigint"])
         tree = F.lit("") if shard is None else F.coalesce(col(shard).cast("string"), F.lit(""))
         self.shard_numeric = shard is not None and type_class(types[shard]) == "int"
         self.rows = df.filter(col(label).isNotNull()).select(
@@ -170,6 +170,17 @@ class _Training:
 
     # Preparation ----------------------------------------------------------------
 
+    @staticmethod
+    def _check_long_integers(df: DataFrame, features: Sequence[str]) -> None:
+        """Questions compare doubles, which would merge integers beyond 2**53."""
+        if not features:
+            return
+        edges = [f(col(c)).alias(f"{n}{i}") for i, c in enumerate(features) for n, f in (("a", F.min), ("b", F.max))]
+        row = df.agg(*edges).first()
+        for i, c in enumerate(features):
+            if row[f"a{i}"] is not None and max(-row[f"a{i}"], row[f"b{i}"]) > 1 << 53:
+                raise ValueError(f"feature {c} holds integers beyond 2**53: make it text or a rank first")
+
     def _hold(self, df: DataFrame) -> DataFrame:
         self._held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df

@@ -18,7 +18,7 @@ from coppice.operators.treemodel import TreeModel
 from coppice.plans import flow
 from coppice.plans.schemas import RAW_COLUMNS, TIME_COLUMNS, VECTOR_COLUMNS, WEEKDAYS, raw_schema
 from coppice.plans.wide import wide_table
-from coppice.session import scratch_path, spread_small, write_scratch
+from coppice.session import scratch_path, write_scratch
 from coppice.sources import readers, writers
 from coppice.streaming import scoring
 
@@ -674,7 +674,7 @@ MLLIB_DEPTH = 30
 
 def line_vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Train and test part of lineitem as numbers, by key."""
-    lines = spread_small(load(spark, sf_dir, "lineitem"))
+    lines = load(spark, sf_dir, "lineitem")
     train, test = sampling.keyed_split(
         lines.withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber")), "row_key", 0.7, 42
     )

@@ -196,3 +196,14 @@ def test_node_statistics_count_every_label(spark):
     assert (rows[2].n, rows[2].pure, rows[2].impurity) == (1, True, 0.0)
     gini = profile.node_statistics(df, "g", "y", "gini").filter("g = 1").first()
     assert abs(gini.impurity - 2 / 3) < 1e-12
+
+
+def test_decimals_are_numbers(spark):
+    df = spark.range(100).select(F.col("id").cast("decimal(10,2)").alias("a"))
+    assert profile.feature_kinds(df) == {"a": "continuous"}
+
+
+def test_row_numbers_of_shuffled_rows(spark):
+    df = spark.range(500).repartition(7).groupBy("id").count()
+    numbered = ordering.row_index(df)
+    assert sorted(r.row_index for r in numbered.collect()) == list(range(1, 501))

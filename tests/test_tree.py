@@ -237,3 +237,9 @@ def test_walk_equals_compiled_conditions(spark):
     model = train_trees(df.withColumn("s", F.lit(1)), ["a", "t", "b"], "y", shard="s", max_depth=4)
     key = lambda frame: sorted(map(str, frame.collect()))
     assert key(walk(df, model, model.tree_ids)) == key(predict_each(df, model).select(*df.columns, "tree_id", "prediction"))
+
+
+def test_integers_beyond_doubles_are_refused(spark):
+    df = spark.createDataFrame([(2**60 + i, str(i // 30)) for i in range(60)], "k long, y string")
+    with pytest.raises(ValueError, match="k holds integers"):
+        train_tree(df, ["k"], "y")
