@@ -761,9 +761,9 @@ def stream_scoring(spark, sf_dir):
     features = [c for c in engineered.columns if c != flow.LABEL]
     model = train_tree(engineered, features, flow.LABEL, max_depth=TREE_DEPTH)
     stream = scoring.read_csv_stream(spark, raw, raw_schema())
-    scored = scoring.score_stream(stream, fill, model)
+    scored = scoring.score_stream(stream, fill, model, keep=[KEY])
     scoring.write_stream(scored, out).awaitTermination()
-    return spark.read.parquet(out).groupBy("target", "prediction").agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.read.parquet(out).groupBy("target", "prediction").agg(F.count(columns.col(KEY)).alias("n_rows"))
 
 
 __all__ = ["QUERIES", "RAW_COLUMNS", "WEEKDAYS"]

@@ -6,6 +6,8 @@ stream; no watermark or state is needed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,9 +26,11 @@ def read_csv_stream(spark: SparkSession, folder: str, schema: T.StructType) -> D
     )
 
 
-def score_stream(rows: DataFrame, fill: FillPlan, model: TreeModel) -> DataFrame:
-    """Raw rows to engineered columns and a prediction."""
-    return predict(engineer(fill.apply(clean_lists(rows))), model)
+def score_stream(
+    rows: DataFrame, fill: FillPlan, model: TreeModel, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Raw rows to engineered columns and a prediction; ``keep`` carries the row's key along."""
+    return predict(engineer(fill.apply(clean_lists(rows)), keep=keep), model)
 
 
 def write_stream(scored: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
