@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from coppice.llm.tables import Stored
-from coppice.llm.text import OTHER, mix, prefix_hash, signed, sliding_minimum, span_hash, text_slices
+from coppice.llm.text import OTHER, mix, prefix_hash, released, signed, sliding_minimum, span_hash, text_slices
 
 LENGTH, GRAM = 200, 48
 BEFORE = LENGTH - GRAM  # bytes before an anchor that a window with it may begin
@@ -58,6 +58,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return hashes[at], digest, doc, at - offsets[doc], left, right
 
 
+@released
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, data, offsets in text_slices(batch, "text"):
@@ -76,7 +77,7 @@ def suffix_order(data: np.ndarray, group: np.ndarray, last: np.ndarray) -> np.nd
     """Suffixes of all fragments, sorted within their group, by doubling.
 
     ``last``: end of each position's fragment. Suffixes are compared up to that end, a
-    shorter one first, and suffixes of equal strings by place.
+    shorter one first; equal ones come in any order.
     """
     n = len(data)
     place = np.arange(n)
@@ -85,7 +86,12 @@ def suffix_order(data: np.ndarray, group: np.ndarray, last: np.ndarray) -> np.nd
     key = np.zeros(n, np.uint64)
     for j in range(6):  # nine bits a byte
         key = (key << np.uint64(9)) | np.where(room > j, padded[j : j + n], np.uint64(0))
-    order = np.lexsort((key, group))
+    if n and int(group[-1]) < 1 << 10:
+        # Six bytes leave ten bits for the group, so one sort does for both.
+        key |= group.astype(np.uint64) << np.uint64(54)
+        order = np.argsort(key, kind="stable")
+    else:
+        order = np.lexsort((key, group))
     new = np.ones(n, bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (group[order][1:] != group[order][:-1])
     rank = np.empty(n, np.int64)
@@ -170,6 +176,7 @@ _FRAGMENT = ("anchor", "digest", "n", "left", "content", "source", "begin")
 _MARK = "anchor long, digest long, start int, stop int"
 
 
+@released
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks of fragments that come sorted by anchor, relative to the anchor."""
     held: list[tuple] = []
@@ -194,7 +201,7 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _mark_batch(out)
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in _FRAGMENT), strict=True):
+        for row in zip(*(batch.column(c).to_pylist() for c in _FRAGMENT), strict=True):  # a few MB
             if size >= INDEX_BYTES and row[0] != held[-1][0]:
                 yield marks()
                 held, size = [], 0
@@ -221,6 +228,7 @@ def _ranges(width: int, listed: bool):
     """
     schema = "anchor long, digest long, n long, number int, core long, whole long, place long, first int, last int"
 
+    @released
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -277,6 +285,7 @@ def _hashed_marks(fragments: DataFrame) -> DataFrame:
     return seen.filter("same").select(*mark).union(windows.join(repeated, key).select(*mark))
 
 
+@released
 def _fragment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contents of the listed fragments of each document."""
     for batch in batches:
@@ -298,6 +307,7 @@ def _fragment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _kept_rows(with_kept: bool, names: list[str]):
+    @released
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_slices(batch, "text"):

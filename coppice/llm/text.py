@@ -6,7 +6,10 @@ so a batch costs a handful of numpy passes whatever the number of documents is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -178,3 +181,22 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
         span *= 2
     rest = width - span
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
+
+
+def released(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``rows`` for ``mapInArrow`` that gives its task's memory back at the end.
+
+    Workers wait for further tasks, and what the allocators keep meanwhile counts against
+    the executor.
+    """
+
+    @wraps(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from rows(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
