@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
@@ -315,7 +315,8 @@ def _kept_rows(with_kept: bool, names: list[str]):
                 item = lists.flatten()
                 doc = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 removed, spans, digests, kept = [], [], [], []
-                start, stop = item.field("start").to_numpy(), item.field("stop").to_numpy()
+                packed = item.to_numpy(zero_copy_only=False).astype(np.int64)
+                start, stop = packed >> 31, packed & _LOW
                 bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 raw = memoryview(np.ascontiguousarray(data))
                 for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
@@ -337,6 +338,29 @@ def _kept_rows(with_kept: bool, names: list[str]):
     return rows
 
 
+#: Regions as one long: the start above 31 bits for the stop. Marks count from the anchor, so
+#: they are shifted to be positive.
+_LOW, _SHIFT = (1 << 31) - 1, 1024
+
+
+def _packed(start: Column, stop: Column) -> Column:
+    return F.shiftleft(start, 31).bitwiseOR(stop)
+
+
+def _joined(regions: Column) -> Column:
+    """Sorted packed regions with touching ones made one."""
+
+    def add(done: Column, region: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        start, stop = F.shiftright(region, 31), region.bitwiseAND(F.lit(_LOW))
+        touches = start <= last.bitwiseAND(F.lit(_LOW))
+        longer = _packed(F.shiftright(last, 31), F.greatest(last.bitwiseAND(F.lit(_LOW)), stop))
+        before = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(touches, F.concat(before, F.array(longer))).otherwise(F.concat(done, F.array(region)))
+
+    return F.aggregate(regions, F.array().cast("array<long>"), add)
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_kept: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row.
 
@@ -380,22 +404,27 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cold = contents.filter("NOT hot").drop("hot")
     marks = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_index_rows, _MARK)
     marks = marks.union(_hashed_marks(contents.filter("hot")))
-    marks = marks.groupBy("anchor", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
+    # Marks as one number each, and those of a fragment joined where they touch, since every
+    # place of the fragment repeats them.
+    packed = _packed(F.col("start").cast("long") + _SHIFT, F.col("stop").cast("long") + _SHIFT)
+    marks = marks.groupBy("anchor", "digest").agg(_joined(F.sort_array(F.collect_list(packed))).alias("marks"))
     place = F.col("place")
     at, left, right = F.shiftright(place, 16), F.shiftright(place, 8).bitwiseAND(F.lit(255)), place.bitwiseAND(F.lit(255))
-    often = fragments.filter("n > 1").select("anchor", "digest", F.array(F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("stop"))).alias("marks"))
-    known = often.union(marks)
+    # No marks of its own: the fragment occurs twice, so all of it is marked.
+    known = fragments.filter("n > 1").select("anchor", "digest", F.lit(None).cast("array<long>").alias("marks")).union(marks)
+    start, stop = F.shiftright("mark", 31), F.col("mark").bitwiseAND(F.lit(_LOW))
     spans = (
         seen.join(known, ["anchor", "digest"])
-        .select(*keys, "place", F.inline("marks"))
+        .select(*keys, "place", F.explode_outer("marks").alias("mark"))
         .select(
             *keys,
-            (at + F.coalesce(F.col("start").cast("long"), -left)).alias("start"),
-            (at + F.coalesce(F.col("stop").cast("long"), right)).alias("stop"),
+            (at + F.coalesce(start - _SHIFT, -left)).alias("start"),
+            (at + F.coalesce(stop - _SHIFT, right)).alias("stop"),
         )
         .filter(F.col("stop") - F.col("start") >= LENGTH)
+        .select(*keys, _packed(F.col("start"), F.col("stop")).alias("span"))
         .groupBy(*keys)
-        .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+        .agg(F.collect_list("span").alias("spans"))
     )
     schema = StructType([StructField("doc_id", docs.schema[doc_id].dataType)])
     for name in ("n_bytes", "n_removed", "n_spans"):
