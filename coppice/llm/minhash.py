@@ -10,7 +10,7 @@ pairs of blocks, so no pair of candidates is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +21,9 @@ from coppice.llm.components import connected_components
 from coppice.llm.tables import Stored, free_name
 from coppice.llm.text import flat, list_array, mix, shingles, signed, text_slices
 
-#: At a similarity of 0.85 a pair shares no band with a chance of about 2e-8.
+#: A pair shares no band with a chance of about 2e-8 at a similarity of 0.85, 7e-6 at 0.8.
 BANDS, BAND_ROWS = 30, 5
-#: Links have 100 * intersection >= PERCENT * union.
+#: Links have 100 * intersection >= percent * union; unless told otherwise it is this.
 PERCENT = 85
 #: Standard errors below that similarity at which signatures rule out a pair.
 SIGNATURE_ERRORS = 6.0
@@ -115,11 +115,15 @@ def linked(ids: np.ndarray, values: np.ndarray, ends: np.ndarray, percent: int =
     return links
 
 
-def _group_links(group: pa.Table) -> pa.Table:
-    data, offsets = flat(group["text"])
-    values, ends = shingles(data, offsets)
-    found = [(u, v) for u, v in linked(group["doc_id"].to_numpy(), values, ends) if u != v] if len(values) else []
-    return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+def _group_links(percent: int) -> Callable[[pa.Table], pa.Table]:
+    def links(group: pa.Table) -> pa.Table:
+        data, offsets = flat(group["text"])
+        values, ends = shingles(data, offsets)
+        found = linked(group["doc_id"].to_numpy(), values, ends, percent) if len(values) else []
+        found = [(u, v) for u, v in found if u != v]
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+    return links
 
 
 def _dealt(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -129,12 +133,14 @@ def _dealt(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sized.filter(F.col("total") <= GROUP_SHINGLES).drop("total"), sized.filter(F.col("total") > GROUP_SHINGLES)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
     A document's set holds its distinct shingles of five words (A-Z as a-z); one with fewer
     words has its whole sequence, one without words or text is empty and linked with
-    nothing. ``component_id`` is the smallest id reachable over links, ``kept`` says that it
+    nothing. Sets whose similarity is ``percent`` or more are linked. ``component_id`` is the smallest id reachable over links, ``kept`` says that it
     is the row's own. Rows of one id are one document with several sets: linked with what
     any of them is linked with, kept or not together. Rows without an id are linked with
     nothing, have no component and are kept. Other columns are ignored.
@@ -182,7 +188,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = (
         docs.join(groups, "doc_id")
         .groupBy("kind", "group", "a", "b")
-        .applyInArrow(_group_links, "u long, v long")
+        .applyInArrow(_group_links(percent), "u long, v long")
     )
     equal = (
         full.select(*same_set, F.col("doc_id").alias("u"))
@@ -203,10 +209,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """The rows of ``docs`` that are kept: one document of each component."""
     name = free_name(docs, "_kept")
-    kept = near_duplicates(docs, doc_id, text).filter("kept AND doc_id IS NOT NULL")
+    kept = near_duplicates(docs, doc_id, text, percent).filter("kept AND doc_id IS NOT NULL")
     kept = kept.select(F.col("doc_id").alias(name)).distinct()
     with_id = docs.join(kept, F.col(doc_id).cast("long") == F.col(name), "left_semi")
     return with_id.unionByName(docs.filter(F.col(doc_id).isNull()))

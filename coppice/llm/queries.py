@@ -118,7 +118,7 @@ def op3_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query

@@ -23,6 +23,10 @@ from coppice.llm.queries import DROPOUT, LEAST_QUALITY, PIECE_MODEL, SEED
 from coppice.llm.tables import READ_OPTIONS, Stored, bound_batches, free_name, table
 
 
+#: Similarity of the word shingles of near duplicates; op4 has a threshold of its own.
+NEAR_PERCENT = 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least ``LEAST_QUALITY``."""
     plain_reads(spark)
@@ -34,7 +38,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates."""
     plain_reads(spark)
-    return without_near_duplicates(docs)
+    return without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from coppice.llm import chunks, gam, grammar, minhash, pieces, runindex
 from coppice.llm.components import connected_components
 from coppice.llm.decontaminate import BenchmarkIndex, find_leaks, reduced, without_leaks
@@ -224,6 +225,37 @@ def test_components_against_brute_force(spark, monkeypatch, most):
     assert all(r.kept == (r.component_id == r.doc_id) for r in got)
 
 
+def pairs_between(texts, low, high):
+    """Pairs of texts whose similarity in percent is at least ``low`` and below ``high``."""
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    return [
+        (i, j) for j in range(len(sets)) for i in range(j)
+        if low * len(sets[i] | sets[j]) <= 100 * len(sets[i] & sets[j]) < high * len(sets[i] | sets[j])
+    ]
+
+
+@pytest.mark.parametrize("most", [minhash.GROUP_SHINGLES, 300])
+def test_components_at_another_threshold(spark, monkeypatch, most):
+    """Pairs of their own words, on both sides of 80 and 85 percent."""
+    monkeypatch.setattr(minhash, "GROUP_SHINGLES", most)
+    texts = []
+    for n, changed in enumerate((1, 2, 2, 2, 3, 3, 3, 4)):
+        words = prose(100, 300 + n).split()
+        texts += [" ".join(words)]
+        for k in range(changed):
+            words[10 + 20 * k] = f"changed{k}"
+        texts += [" ".join(words)]
+    docs = docs_of(spark, texts)
+    assert pairs_between(texts, 80, 85) and pairs_between(texts, 50, 80)
+    for percent in (80, 85):
+        linked = pairs_between(texts, percent, 101)
+        got = minhash.near_duplicates(docs, percent=percent).filter("NOT kept").collect()
+        assert sorted((r.component_id, r.doc_id) for r in got) == sorted(linked)
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    gone = {j for _, j in pairs_between(texts, 80, 101)}
+    assert {r.doc_id for r in stage(spark, docs, "").collect()} == set(range(len(texts))) - gone
+
+
 def test_components_on_awkward_rows(awkward, nothing):
     rows = [(i, t) for i, t, _ in AWKWARD]
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(awkward).collect())
