@@ -1,10 +1,11 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
-Texts are reduced to words in small letters. A window of a benchmark item that a document
-holds with at most ``e`` edits leaves ``length + 1 - q * (e + 1)`` of the window's q-grams
+Texts are reduced to words in small letters. Windows of a benchmark item are its strings of
+``WINDOW`` bytes from every start, and its runs of ``WORDS`` words where these are shorter. A
+window that a document holds with at most ``e`` edits leaves ``length + 1 - q * (e + 1)`` of the window's q-grams
 intact, on diagonals that differ by ``e`` at most. So hits of q-grams are counted in
 overlapping bands of diagonals, bands below that bound are dropped, and the windows of the
-others are aligned within the band.
+others are compared, and aligned within the band if they differ.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from coppice.llm.text import LOWER, flat, powers, prefix_hash, text_slices
 
 #: Bytes of a q-gram; bytes of a window; edits per byte of a window.
 Q, WINDOW, EDITS = 10, 100, 0.07
-#: Items of fewer bytes, once reduced to words, are too short to tell a leak from chance.
+#: Words that are a window too, if they have fewer bytes than ``WINDOW``.
+WORDS = 13
+#: Items and windows of fewer bytes, once reduced to words, are too short to tell a leak from chance.
 LEAST_BYTES = 32
 #: Text of benchmark items in one index; more items take more indexes and passes.
 INDEX_BYTES = 4 << 20
@@ -59,6 +62,11 @@ def _codes(data: np.ndarray) -> np.ndarray:
     return (sums[Q:] - sums[:n]) * powers(len(sums))[1][:n]
 
 
+def _bound(lengths: np.ndarray) -> np.ndarray:
+    """The q-grams of a window that its edits leave intact at least."""
+    return lengths + 1 - Q * ((lengths * EDITS).astype(np.int64) + 1)
+
+
 def _slot(codes: np.ndarray) -> np.ndarray:
     return (codes * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(64 - _BITS)
 
@@ -86,7 +94,24 @@ class BenchmarkIndex:
         size = np.diff(self.offsets)
         self.window = np.minimum(size, WINDOW)
         self.edits = (self.window * EDITS).astype(np.int64)
-        self.bound = self.window + 1 - Q * (self.edits + 1)
+        # The least bound of an item's windows: what no band below it can hold.
+        self.bound = np.array([_bound(self.windows(i)[1]).min() for i in range(len(size))], np.int64)
+
+    def windows(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and lengths of all windows of an item."""
+        first, last = int(self.offsets[i]), int(self.offsets[i + 1])
+        starts = np.arange(first, last - self.window[i] + 1)
+        lengths = np.full(len(starts), self.window[i])
+        space = np.flatnonzero(self.data[first:last] == 32) + first
+        heads = np.concatenate(([first], space + 1))
+        stops = np.append(space, last)
+        heads, stops = heads[heads < last], stops[: np.count_nonzero(heads < last)]
+        if len(heads) >= WORDS:
+            end = np.maximum(np.arange(len(heads)) + WORDS - 1, np.searchsorted(stops, heads + LEAST_BYTES))
+            heads, end = heads[end < len(stops)], end[end < len(stops)]
+            size = stops[end] - heads
+            starts, lengths = np.append(starts, heads[size < WINDOW]), np.append(lengths, size[size < WINDOW])
+        return starts, lengths
 
     @classmethod
     def of(cls, ids: list, texts: list) -> BenchmarkIndex:
@@ -125,54 +150,72 @@ class BenchmarkIndex:
         width = np.maximum(self.edits[item], 1)
         # Band b covers the diagonals of two steps, so every diagonal lies in two bands.
         band = np.concatenate((diagonal // width, diagonal // width - 1))
-        doc, item, place = np.tile(doc, 2), np.tile(item, 2), np.tile(place, 2)
+        doc, item, place, diagonal = (np.tile(x, 2) for x in (doc, item, place, diagonal))
         order = np.lexsort((place, band, item, doc))
-        doc, item, band, place = doc[order], item[order], band[order], place[order]
+        doc, item, band, place, diagonal = (x[order] for x in (doc, item, band, place, diagonal))
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
         heads = np.flatnonzero(new)
         ends = np.append(heads[1:], len(doc))
         enough = ends - heads >= self.bound[item[heads]]
-        rows = []
+        rows, held, held_item = [], (), -1
         for low, high in zip(heads[enough], ends[enough], strict=True):
             i = item[low]
-            window, first, last = self.window[i], self.offsets[i], self.offsets[i + 1]
-            starts = np.append(np.arange(first, last - window, window // 2), last - window)
-            # Hits of the band inside each window, against the bound once more.
-            inside = np.searchsorted(place[low:high], starts + window - Q, "right") - np.searchsorted(place[low:high], starts)
-            for s in starts[inside >= self.bound[i]]:
-                rows.append((doc[low], i, s, band[low] * max(self.edits[i], 1) - len(self.data)))
+            if i != held_item:
+                held, held_item = self.windows(i), i
+            starts, lengths = held
+            # Hits of the band inside each window, against its bound once more.
+            before = np.searchsorted(place[low:high], starts)
+            inside = np.searchsorted(place[low:high], starts + lengths - Q, "right") - before
+            good = inside >= np.maximum(_bound(lengths), 1)
+            if good.any():
+                middle = diagonal[low + before[good] + inside[good] // 2]
+                s = starts[good]
+                lowest = band[low] * max(self.edits[i], 1)
+                rows.append(np.stack([np.full_like(s, doc[low]), np.full_like(s, i), s, lengths[good], np.full_like(s, lowest), middle], axis=1))
         if not rows:
             return none
-        return self._merged(self._aligned(data, offsets, np.array(rows, np.int64)))
+        rows = np.concatenate(rows)
+        rows[:, 4:] -= len(self.data)
+        return self._merged(np.concatenate([self._verified(data, offsets, rows[k : k + 4096]) for k in range(0, len(rows), 4096)]))
+
+    def _verified(self, data: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Rows of (document, item, window, length, lowest diagonal, likely diagonal) that hold within the edits."""
+        rows = rows[np.argsort(-rows[:, 3], kind="stable")]
+        doc, item, window, length, _, likely = rows.T
+        start = window + likely
+        same = (start >= offsets[doc]) & (start + length <= offsets[doc + 1])
+        lanes = np.arange(length.max())
+        beyond = lanes >= length[:, None]
+        column, place = np.clip(start[:, None] + lanes, 0, len(data) - 1), np.minimum(window[:, None] + lanes, len(self.data) - 1)
+        same &= (beyond | (data[column] == self.data[place])).all(axis=1)
+        exact = np.stack([doc, item, start, start + length, np.zeros_like(doc)], axis=1)[same]
+        return np.concatenate((exact, self._aligned(data, offsets, rows[~same]))) if not same.all() else exact
 
     def _aligned(self, data: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Rows of (document, item, window, diagonal) that align within the edits."""
-        found = []
-        for length in np.unique(self.window[rows[:, 1]]):
-            edits = int(length * EDITS)
-            group = rows[self.window[rows[:, 1]] == length]
-            for some in np.array_split(group, -(-len(group) // 4096)):
-                doc, item, window, diagonal = some.T
-                low = window + diagonal - edits
-                span = 2 * max(edits, 1) + 2 * edits + 1
-                lanes = np.arange(span)
-                cost = np.zeros((len(some), span), np.int64)
-                first, last = offsets[doc][:, None], offsets[doc + 1][:, None]
-                for i in range(length):
-                    column = low[:, None] + i + lanes
-                    inside = (column >= first) & (column < last)
-                    other = np.where(inside, data[np.clip(column, 0, len(data) - 1)], 0)
-                    best = cost + (other != self.data[window + i][:, None])
-                    best[:, :-1] = np.minimum(best[:, :-1], cost[:, 1:] + 1)
-                    cost = np.minimum.accumulate(best - lanes, axis=1) + lanes
-                lane = cost.argmin(axis=1)
-                least = cost[np.arange(len(some)), lane]
-                stop = np.minimum(low + length + lane, last[:, 0])
-                start = np.maximum(stop - length, first[:, 0])
-                good = least <= edits
-                found.append(np.stack([doc, item, start, stop, least], axis=1)[good])
-        return np.concatenate(found)
+        """The same of rows in falling order of length, by alignment in the band."""
+        doc, item, window, length, diagonal, _ = rows.T
+        edits = (length * EDITS).astype(np.int64)
+        low = window + diagonal - edits
+        # The band of the item and what the edits may leave it by; of short windows more.
+        span = int((2 * np.maximum(self.edits[item], 1) + 2 * edits).max()) + 1
+        lanes = np.arange(span)
+        steps = lanes.astype(np.int16)
+        cost = np.zeros((len(rows), span), np.int16)
+        first, last = offsets[doc][:, None], offsets[doc + 1][:, None]
+        for i in range(length[0]):
+            n = np.searchsorted(-length, -i)
+            column = low[:n, None] + i + lanes
+            inside = (column >= first[:n]) & (column < last[:n])
+            other = np.where(inside, data[np.clip(column, 0, len(data) - 1)], 0)
+            best = cost[:n] + (other != self.data[window[:n] + i][:, None])
+            best[:, :-1] = np.minimum(best[:, :-1], cost[:n, 1:] + np.int16(1))
+            cost[:n] = np.minimum.accumulate(best - steps, axis=1) + steps
+        lane = cost.argmin(axis=1)
+        least = cost[np.arange(len(rows)), lane]
+        stop = np.minimum(low + length + lane, last[:, 0])
+        start = np.maximum(stop - length, first[:, 0])
+        return np.stack([doc, item, start, stop, least], axis=1)[least <= edits]
 
     @staticmethod
     def _merged(rows: np.ndarray) -> np.ndarray:
@@ -204,8 +247,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     """One row for each region of a document that holds a passage of a benchmark item.
 
     Returns doc_id, item_id, start and stop (bytes of the text, the start up to the allowed
-    edits off) and edits of the best window. A leak is a window of ``WINDOW`` bytes, or a
-    whole shorter item, with up to ``EDITS`` edits per byte. Null and empty texts and items
+    edits off) and edits of the best window. A leak is any ``WINDOW`` bytes of an item, any
+    ``WORDS`` words that are shorter (with the words after them that ``LEAST_BYTES`` need),
+    or a whole shorter item, with up to ``EDITS`` edits per byte. Null and empty texts and items
     and items of fewer than ``LEAST_BYTES`` have none; repeated rows and items are reported
     each; ids pass as they are. Texts are searched whole.
     """

@@ -79,6 +79,58 @@ def test_leak_bound_against_alignment():
         assert bool(len(index.matches(data, ends))) == expected
 
 
+def windows_by_brute_force(item: bytes) -> set[tuple[int, int]]:
+    """Starts and lengths: 100 bytes at any start, and 13 words where they are shorter."""
+    out = {(s, min(len(item), 100)) for s in range(max(len(item) - 100, 0) + 1)}
+    words = [(m.start(), m.end()) for m in re.finditer(b"[^ ]+", item)]
+    for (a, _), (_, b) in zip(words, words[12:], strict=False):
+        if b - a < 100:
+            out.add((a, next((e for _, e in words if e >= b and e - a >= 32), b) - a))
+    return {(s, n) for s, n in out if n >= 32}
+
+
+def test_every_window_of_an_item():
+    """Passages at any start, also short ones and edited ones, by full alignment."""
+    rng = np.random.default_rng(8)
+    short = "the cat sat on a mat as it was so very tired of all the old red dogs we saw out in a big bare yard of his by an oak"
+    for item in (prose(40, 9), short, short[:70], "0 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22 23"):
+        index = BenchmarkIndex.of([1], [item])
+        base = index.data.tobytes()
+        windows = windows_by_brute_force(base)
+        starts, lengths = index.windows(0)
+        assert set(zip(starts.tolist(), lengths.tolist(), strict=True)) == windows
+        outcomes = set()
+        for trial in range(30):
+            start, length = sorted(windows)[rng.integers(0, len(windows))]
+            copy = bytearray(base[start : start + length])
+            for _ in range(rng.integers(0, length // 8) if trial % 3 else 0):
+                at, kind = rng.integers(0, len(copy)), rng.integers(0, 3)
+                if kind == 0:
+                    copy[at] = 97 + rng.integers(0, 26)
+                elif kind == 1:
+                    del copy[at]
+                else:
+                    copy.insert(at, 97 + rng.integers(0, 26))
+            data, _, ends = reduced(*flat(pa.array([prose(4, 1) + " ", prose(6, 1) + " " + copy.decode() + " " + prose(6, 2)])))
+            text = data[ends[1] :].tobytes()
+            expected = any(edit_distance_inside(base[s : s + n], text) <= int(n * 0.07) for s, n in windows)
+            found = index.matches(data, ends)
+            assert bool(len(found)) == expected and (found[:, 0] == 1).all()
+            if trial % 3 == 0:
+                assert expected and (found[:, 4] == 0).any()
+            outcomes.add(expected)
+        assert outcomes == {True, False}
+
+
+def test_leaks_of_thirteen_words_and_between_steps(spark):
+    item = " ".join(f"{w}ly" for w in prose(60, 78).translate(str.maketrans("", "", "0123456789")).split())
+    at = item.index(" ", 10) + 1
+    texts = [prose(20, 1) + " " + " ".join(item.split()[5:18]) + " " + prose(20, 2), prose(20, 3) + " " + item[at : at + 130] + " " + prose(9, 4)]
+    benchmark = spark.createDataFrame([(5, item)], "item_id int, text string")
+    assert {r.doc_id for r in find_leaks(docs_of(spark, texts), benchmark).collect()} == {0, 1}
+    assert without_leaks(docs_of(spark, texts), benchmark).count() == 0
+
+
 def test_leaks_on_awkward_rows(awkward, nothing, spark):
     benchmark = spark.createDataFrame([(1, PASSAGE)], "item_id int, text string")
     assert {r.doc_id for r in find_leaks(awkward, benchmark).collect()} == {9, 10}
