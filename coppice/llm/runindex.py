@@ -373,12 +373,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
     ids = docs.select(key.alias("k1")).groupBy("k1").count().filter("count > 1")
     repeated_ids = ids.limit(1).count() > 0
-    # Where ids repeat, a hash of the text tells their rows apart.
-    second = F.hash(text) if repeated_ids else F.lit(0)
+    # Where ids repeat, a digest of the text tells their rows apart. 32 or 64 bits would not:
+    # rows taken for one lose each other's spans.
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    second = digest if repeated_ids else F.lit(0)
     keys = ["k1", "k2"] if repeated_ids else ["k1"]
     texts = docs.select(F.col(doc_id).alias("doc_id"), key.alias("k1"), second.alias("k2"), F.col(text).alias("text"))
     found = texts.select("k1", "k2", "text").mapInArrow(
-        _anchor_rows, "anchor long, digest long, k1 long, k2 int, place long"
+        _anchor_rows, f"anchor long, digest long, k1 long, k2 {'binary' if repeated_ids else 'int'}, place long"
     )
     twice = found.groupBy("anchor").count().filter("count > 1").select("anchor")
     # A hot anchor's rows may be split, so this is a join and not a window.

@@ -176,6 +176,21 @@ def test_repeats_on_awkward_rows(awkward, nothing):
     assert runindex.remove_repeats(nothing).count() == 0
 
 
+def test_repeats_of_rows_with_one_id_and_equal_hashes(spark):
+    """Texts under one id that 32-bit hashes take for each other are rows of their own."""
+    head = F.when(F.col("id") % 2 == 0, prose(40, 21) + PASSAGE).otherwise(PASSAGE[:250])
+    many = spark.range(400000).select("id", F.concat(head, F.col("id").cast("string")).alias("text"))
+    pair = (
+        many.groupBy(F.hash("text").alias("h")).agg(F.count_if(F.col("id") % 2 == 0).alias("even"), F.collect_list("id").alias("ids"))
+        .filter("even = 1 AND size(ids) = 2").orderBy("h").first()["ids"]
+    )
+    texts = [r.text for r in many.filter(F.col("id").isin(pair)).collect()] + [None, "", prose(90, 8)]
+    for i in (None, 7):
+        docs = spark.createDataFrame([(i, t) for t in texts], "doc_id long, text string")
+        got = Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in runindex.remove_repeats(docs).collect())
+        assert got == Counter(kept_by_brute_force(texts))
+
+
 def test_suffix_order_and_matches():
     rng = np.random.default_rng(3)
     parts = [bytes(rng.integers(97, 99, rng.integers(1, 60)).astype(np.uint8)) for _ in range(30)]
