@@ -1,7 +1,7 @@
 """URL filter: rules for hosts and paths, else the purity of a page's path template.
 
-For each host the paths form a tree. Level by level, a segment stays as it is if it is
-frequent below its parent; all others become one wildcard. Sibling branches whose labelled
+For each host the paths form a tree. Level by level, a segment stays as it is if it has
+enough pages, however many its parent has; all others become one wildcard. Sibling branches whose labelled
 purity does not differ significantly are merged. What is left is rejected if its purity,
 smoothed towards that of all labelled pages, is too low.
 """
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from coppice.llm.tables import Stored
 
-#: A literal segment occurs so often, and in one of so many pages of its parent at least.
-LEAST_PAGES, LEAST_SHARE = 5, 50
-#: What lies deeper than this is one wildcard.
+#: A literal segment has so many pages below its parent.
+LEAST_PAGES = 5
+#: Deeper than this, a branch with fewer pages is one wildcard; ``template`` shows so many levels.
 MAX_DEPTH = 8
 #: Standard errors that separate branches; weight of the overall purity; least purity.
 APART, WEIGHT, LEAST_PURITY = 1.96, 20.0, 0.8
@@ -44,40 +44,32 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
     return rule, verdict
 
 
-def _with_templates(pages: DataFrame) -> Stored:
-    """Pages with their template; one round for each level of the deepest path."""
-    segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    pages = Stored(
-        pages.withColumn("segments", F.slice(segments, 1, MAX_DEPTH))
-        .withColumn("deeper", F.size(segments) > MAX_DEPTH)
-        .withColumn("template", F.lit("")),
-        "templates",
-    )
-    depth = pages.df.agg(F.max(F.size("segments"))).first()[0] or 0
-    for d in range(depth):
-        here = pages.df.withColumn("segment", F.try_element_at("segments", F.lit(d + 1)))
-        children = (
-            here.filter("segment IS NOT NULL")
-            .groupBy("host", "template", "segment")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        parents = children.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        literal = (
-            children.filter(F.col("n") >= LEAST_PAGES)
-            .join(parents, ["host", "template"])
-            .filter(F.col("n") * LEAST_SHARE >= F.col("total"))
-            .select("host", "template", "segment", F.lit(True).alias("literal"))
-        )
+def _with_templates(pages: DataFrame) -> DataFrame:
+    """Pages with their template; one round for each level that enough pages reach.
+
+    A round reads the pages that go deeper and leaves the others where they are.
+    """
+    pages = pages.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != ""))
+    pages = pages.withColumn("depth", F.size("segments")).withColumn("template", F.lit(""))
+    level, at = Stored(pages, "templates").df, 0
+    placed = level.filter("depth = 0")
+    while not (here := level.filter(F.size("segments") > at)).isEmpty():
+        here = here.withColumn("segment", F.element_at("segments", at + 1))
+        children = here.groupBy("host", "template", "segment").agg(F.count(F.lit(1)).alias("n"))
+        literal = children.filter(F.col("n") >= LEAST_PAGES).select("host", "template", "segment", F.lit(True).alias("literal"))
+        following = here.join(literal, ["host", "template", "segment"], "left")
         part = F.when(F.col("literal"), F.col("segment")).otherwise("*")
-        following = Stored(
-            here.join(literal, ["host", "template", "segment"], "left")
-            .withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), part)))
-            .drop("segment", "literal"),
-            "templates",
-        )
-        pages.drop()
-        pages = following
-    return pages
+        if at >= MAX_DEPTH:
+            # Nothing below so few pages is literal: they end here.
+            few = children.groupBy("host", "template").agg((F.sum("n") < LEAST_PAGES).alias("few")).filter("few")
+            following = following.join(few, ["host", "template"], "left")
+            part = F.when(F.col("few"), "**").otherwise(part)
+            ends = F.when(F.col("few"), F.slice("segments", 1, at + 1)).otherwise(F.col("segments"))
+            following = following.withColumn("segments", ends)
+        following = following.withColumn("template", F.concat("template", F.lit("/"), part))
+        level, at = Stored(following.select(*pages.columns), "templates").df, at + 1
+        placed = placed.unionByName(level.filter(F.size("segments") == at))
+    return placed.drop("segments")
 
 
 def _smoothed(good: Column, labelled: Column, overall: Column) -> Column:
@@ -87,6 +79,7 @@ def _smoothed(good: Column, labelled: Column, overall: Column) -> Column:
 def _merged(templates: DataFrame, depth: int) -> DataFrame:
     """Each template with the branch it belongs to once similar siblings are merged."""
     templates = templates.withColumn("branch", F.lit("")).withColumn("parts", F.split(F.substring("template", 2, 1 << 30), "/"))
+    stored = None
     for d in range(depth):
         part = F.when(F.col("template") != "", F.try_element_at("parts", F.lit(d + 1)))
         templates = templates.withColumn("part", part)
@@ -96,7 +89,10 @@ def _merged(templates: DataFrame, depth: int) -> DataFrame:
             .agg(F.sum("labelled").alias("l"), F.sum("good").alias("g"))
             .withColumn("purity", _smoothed(F.col("g"), F.col("l"), F.col("overall")))
         )
-        # A parent has LEAST_SHARE literal children and a wildcard at most.
+        # Siblings of equal counts are one class, so a window has far fewer rows than a parent
+        # has children: n labels make about n ** (2 / 3) different counts at most.
+        counts = ["host", "branch", "l", "g"]
+        classes = siblings.groupBy(*counts, "purity").agg(F.min("part").alias("part"))
         family = Window.partitionBy("host", "branch").orderBy(F.col("l") == 0, "purity", "part")
         before = {c: F.lag(c).over(family) for c in ("l", "g")}
         here, left = F.nullif(F.col("l"), F.lit(0)), F.nullif(before["l"], F.lit(0))
@@ -105,16 +101,22 @@ def _merged(templates: DataFrame, depth: int) -> DataFrame:
         gap = F.abs(F.col("g") / here - before["g"] / left)
         # Branches without labels come last and are one: nothing tells them apart.
         first_bare = ((F.col("l") == 0) & (before["l"] > 0)).cast("int")
-        siblings = siblings.withColumn("apart", F.coalesce((gap > APART * error).cast("int"), first_bare, F.lit(0)))
+        classes = classes.withColumn("apart", F.coalesce((gap > APART * error).cast("int"), first_bare, F.lit(0)))
         running = family.rowsBetween(Window.unboundedPreceding, 0)
-        siblings = siblings.withColumn("group", F.sum("apart").over(running))
+        classes = classes.withColumn("group", F.sum("apart").over(running))
         named = F.min("part").over(Window.partitionBy("host", "branch", "group"))
-        siblings = siblings.withColumn("name", named).select("host", "branch", "part", "name")
+        classes = classes.withColumn("name", named).select(*counts, "name")
+        siblings = siblings.join(classes, counts).select("host", "branch", "part", "name")
         templates = (
             templates.join(siblings, ["host", "branch", "part"], "left")
             .withColumn("branch", F.when(F.col("part").isNull(), F.col("branch")).otherwise(F.concat("branch", F.lit("/"), "name")))
             .drop("part", "name")
         )
+        # Each level reads the one before several times, so a plan of many would not end.
+        before, stored = stored, Stored(templates, "template-levels")
+        templates = stored.df
+        if before is not None:
+            before.drop()
     return templates.drop("parts")
 
 
@@ -126,7 +128,8 @@ def judge_urls(
     ``labels`` has doc_id (the page's id) and quality, 1 for good; null qualities and
     pages without a label count for nothing, several labels of a page count each. Null urls
     and urls without ``://`` have an empty host and path, fall under no rule and share one
-    template. A host without labels has the overall purity; without any label that is 1.
+    template. ``template`` shows ``MAX_DEPTH`` levels, ``branch`` and ``purity`` follow the whole
+    path. A host without labels has the overall purity; without any label that is 1.
     Repeated pages are pages of their own; other columns of ``pages`` are ignored.
     """
     host, path = host_and_path(F.col("url"))
@@ -139,9 +142,7 @@ def judge_urls(
         .join(known, "page_id", "left")
         .fillna(0, ["labelled", "good"])
     )
-    placed = _with_templates(pages).df
-    tail = F.when(F.col("deeper"), F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    placed = placed.withColumn("template", tail)
+    placed = _with_templates(pages)
     counted = Stored(
         placed.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good")),
         "template-counts",
@@ -156,6 +157,8 @@ def judge_urls(
     )
     judged = merged.join(purity, ["host", "branch"]).select("host", "template", "branch", "purity")
     found = F.when(F.col("purity") < least_purity, "block").otherwise("allow")
+    upper = F.concat(F.substring_index("template", "/", MAX_DEPTH + 1), F.lit("/**"))
+    shown = F.when(F.col("depth") > MAX_DEPTH, upper).otherwise(F.col("template"))
     return placed.join(judged, ["host", "template"], "left").select(
-        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, found).alias("verdict"), "template", "branch", "purity"
+        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, found).alias("verdict"), shown.alias("template"), "branch", "purity"
     )

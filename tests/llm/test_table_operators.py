@@ -156,6 +156,21 @@ def test_templates_generalise_merge_and_reject(spark):
     assert branches["/good/*"] == branches["/fine/*"] != branches["/spam/*"]
 
 
+def test_templates_of_many_sections_and_deep_paths(spark):
+    """A section is judged by its own labels, however small its share and deep its place."""
+    urls = [(i, f"http://s.org/section{i % 80}/{i}.html") for i in range(3200)]
+    deep = "/".join("abcdefghijk")
+    urls += [(10000 + i, f"http://d.org/{deep}/{('good', 'spam')[i % 2]}/{i}") for i in range(80)]
+    # A rare path has no rounds of its own.
+    urls += [(20000, "http://d.org/" + "/".join(str(i) for i in range(300)))]
+    bad = {i for i, u in urls if "/section7/" in u or "/spam/" in u}
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i, _ in urls if i != 20000], "doc_id long, quality int")
+    rows = templates.judge_urls(pages, labels, []).collect()
+    assert {r.page_id for r in rows if r.verdict == "block"} == bad and len(rows) == len(urls)
+    assert len({r.branch for r in rows if r.host == "s.org"}) == 2
+
+
 # pipeline
 
 
