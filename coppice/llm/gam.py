@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from coppice.llm.text import LOWER, prefix_hash, span_hash, text_slices, word_spans
 
@@ -213,7 +213,8 @@ def held_out(doc_id: Column) -> Column:
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> AdditiveModel:
     """Fit on up to ``rows`` labelled texts outside the held-out fold.
 
-    Null labels and ids are left out, labels other than 1 count as bad. Without two kinds
+    Null labels and ids are left out, labels other than 1 count as bad. Rows that share an
+    id count once, with the least features of their texts. Without two kinds
     of labels the model gives every text the same score.
     """
     sample = (
@@ -222,17 +223,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Add
         .orderBy(F.xxhash64("doc_id"), "doc_id", "good")
         .limit(rows)
     )
-    # The sample has at most ``rows`` rows of an id and a flag.
-    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "good")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_slices(batch, "text"):
                 found = text_features(data, offsets)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([lists, part.column(1)], names=["f", "good"])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "f"])
 
-    got = joined.mapInArrow(features, "f array<double>, good boolean").orderBy("f", "good").toArrow()
+    # One row of an id, so that the driver gets no more rows than the sample has.
+    schema = StructType([docs.schema["doc_id"], StructField("f", ArrayType(DoubleType()))])
+    single = texts.mapInArrow(features, schema).groupBy("doc_id").agg(F.min("f").alias("f"))
+    got = single.join(F.broadcast(sample), "doc_id").select("f", "good").orderBy("f", "good").toArrow()
     found = got["f"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     return AdditiveModel(found, got["good"].to_numpy())
 

@@ -443,6 +443,20 @@ def test_held_out_labels_have_no_effect(spark):
     assert scores[0] == scores[1]
 
 
+def test_repeated_id_is_one_text_of_the_fit(spark, monkeypatch):
+    """The fit gets one row of a sampled id, whatever its share of the documents."""
+    sizes = []
+    monkeypatch.setattr(gam, "AdditiveModel", lambda features, good: sizes.append((features.shape, len(good))))
+    docs = docs_of(spark, [prose(30, i) for i in range(60)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    free = labels.filter(~gam.held_out(F.col("doc_id")))
+    hot = free.first()["doc_id"]
+    copies = spark.range(500).select(F.lit(hot).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    gam.fit_quality(docs.union(copies), labels)
+    gam.fit_quality(docs.union(copies), labels, 10)
+    assert sizes == [((n, len(gam.FEATURES)), n) for n in (free.count(), 10)]
+
+
 def test_quality_pairs_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
