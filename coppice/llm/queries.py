@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coppice.llm.align import align_tokens, link_counts
 from coppice.llm.chunks import dedup_chunks
 from coppice.llm.decontaminate import find_leaks
 from coppice.llm.gam import fit_quality, held_out, with_quality
@@ -15,14 +16,18 @@ from coppice.llm.grammar import read_ids, write_ids
 from coppice.llm.histsort import histogram_sort
 from coppice.llm.minhash import near_duplicates
 from coppice.llm.normsearch import integer_vectors, top_k_products
+from coppice.llm.packing import pack_documents
 from coppice.llm.pieces import encode_pieces
 from coppice.llm.runindex import remove_repeats
 from coppice.llm.tables import table
 from coppice.llm.templates import judge_urls
+from coppice.llm.trie import ordered_turns, prefix_trie, shared_starts
 
 N_SHARDS = 40
 LEAST_QUALITY = 0.7
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+SEQUENCE_IDS = 2048
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 DROPOUT, SEED = 0.1, 17
 URL_RULES = [
@@ -125,3 +130,23 @@ def op4_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of documents without byte strings that occur more than once."""
     return remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
+@query
+def op11_interval_coalescing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens that two tokenizers make of every whole text."""
+    aligned = align_tokens(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+    return link_counts(aligned.df)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of conversations that share starts."""
+    turns, convs = ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie(*shared_starts(turns, convs, every=20, most=3))
+
+
+@query
+def op13_bound_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 ids."""
+    return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, SEQUENCE_IDS).rows

@@ -116,3 +116,50 @@ ORACLES["op9_path_templates"] = path_templates_sql(
     [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")],
     depth=8, least_pages=5, least_share=50, apart=1.96, weight=20.0, least_purity=0.8,
 )
+
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+        lambda s: [ascii(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+ORACLES["op12_prefix_trie"] = f"""
+WITH placed AS MATERIALIZED (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), told AS MATERIALIZED (
+    SELECT conv_id, pos, dense_rank() OVER (ORDER BY role, text) AS k,
+           len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM placed
+), convs AS MATERIALIZED (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, ({_CRC32} % 4) AS h FROM (SELECT DISTINCT conv_id FROM placed)
+), rebuilt AS MATERIALIZED (
+    SELECT c.conv_id, 0 AS own, t.pos, t.k, t.words FROM convs c JOIN told t ON t.conv_id = c.base AND t.pos <= c.h
+    UNION ALL
+    SELECT c.conv_id, 1, t.pos, t.k, t.words FROM convs c JOIN told t ON t.conv_id = c.conv_id AND t.pos > c.h
+), whole AS MATERIALIZED (
+    SELECT c.conv_id, coalesce(s, []) AS s, coalesce(w, []) AS w FROM convs c LEFT JOIN (
+        SELECT conv_id, list(k ORDER BY own, pos) AS s, list(words ORDER BY own, pos) AS w FROM rebuilt GROUP BY conv_id
+    ) USING (conv_id)
+), members AS MATERIALIZED (
+    SELECT conv_id, d, s[1:d] AS p, coalesce(w[d], 0) AS words, len(s) = d AS ended
+    FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM whole)
+), nodes AS MATERIALIZED (
+    SELECT d, p, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+    FROM members GROUP BY d, p
+), named AS MATERIALIZED (
+    SELECT m.conv_id AS member, m.d, n.conv_id AS node FROM members m JOIN nodes n USING (d, p)
+), parents AS MATERIALIZED (
+    SELECT n.*, a.node AS parent FROM nodes n LEFT JOIN named a ON a.member = n.conv_id AND a.d = n.d - 1
+), children AS MATERIALIZED (
+    SELECT parent, d - 1 AS d, count(*) AS n_children FROM parents WHERE d > 0 GROUP BY ALL
+), sums AS (
+    SELECT a.node, a.d, sum((n.n - 1) * n.words) AS saved, count(*) FILTER (c.n_children IS NULL) AS leaves
+    FROM nodes n JOIN named a ON a.member = n.conv_id AND a.d <= n.d LEFT JOIN children c ON c.parent = n.conv_id AND c.d = n.d
+    GROUP BY ALL
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, n.parent AS parent_conv_id, n.n AS n_convs,
+       coalesce(c.n_children, 0)::BIGINT AS n_children, s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM parents n JOIN sums s ON s.node = n.conv_id AND s.d = n.d LEFT JOIN children c ON c.parent = n.conv_id AND c.d = n.d
+"""
