@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from coppice.llm.tables import Stored
 from coppice.llm.text import list_array, released, text_slices
 
-#: Characters of the units a worker remembers; beyond that it starts afresh.
-CACHE_CHARACTERS = 24 << 20
+#: Characters of the units a worker remembers; beyond that it forgets those it met once.
+CACHE_CHARACTERS = 6 << 20
 #: Pairs of ids that are sent to every executor at most; more are joined by a shuffle.
 BROADCAST_PAIRS = 1 << 21
 
@@ -143,6 +143,22 @@ class Aligner:
         #: Of each unit: tokens of A, tokens of B, groups, links, place and number of its pairs.
         self.counts = np.zeros((0, 6), np.int64)
         self.pair, self.pair_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the units met more than once, unless even they take over half of the room."""
+        units = [u for u, n in zip(self.number, self.uses.tolist(), strict=True) if n > 1]
+        if 2 * sum(map(len, units)) > CACHE_CHARACTERS:
+            self.clear()
+            return
+        kept = np.flatnonzero(self.uses > 1)
+        self.number, self.held = _Numbers(), sum(map(len, units))
+        self.number.update(zip(units, range(len(units)), strict=True))
+        self.strings = [self.strings[i] for i in kept.tolist()]
+        self.good, self.counts, self.uses = self.good[kept], self.counts[kept], self.uses[kept]
+        at = places(self.counts[:, 4], self.counts[:, 5])
+        self.pair, self.pair_n = self.pair[at], self.pair_n[at]
+        self.counts[:, 4] = np.cumsum(self.counts[:, 5]) - self.counts[:, 5]
 
     def _pieces(self, units: list[str]) -> list[list[int]]:
         """B's pieces of units; the library itself puts a space before a text, but not before none."""
@@ -228,7 +244,7 @@ class Aligner:
     def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Counts (tokens of A and B, groups, links) and digest of each text; then the text, pair and number of links."""
         if self.held > CACHE_CHARACTERS:
-            self.clear()
+            self._forget()
         look = self.number.__getitem__
         index: list[int] = []
         stops = [0]
@@ -239,6 +255,9 @@ class Aligner:
         self._learn()
         unit = np.array(index, np.int64)
         number = np.diff(stops)
+        met = np.bincount(unit, minlength=len(self.good))
+        met[: len(self.uses)] += self.uses
+        self.uses = met
         owner = np.repeat(np.arange(len(texts)), number)
         whole = np.bincount(owner[~self.good[unit]], minlength=len(texts)) == 0
         strings = self.strings

@@ -83,11 +83,14 @@ def test_alignment_query(spark):
 def test_alignment_forgets_units(monkeypatch):
     texts = [prose(60, i) for i in range(6)] + TEXTS
     whole = align.Aligner(BYTE_VOCABULARY, PIECE_MODEL)
-    counts, digests, *_ = whole.align([t or "" for t in texts])
-    monkeypatch.setattr(align, "CACHE_CHARACTERS", 10)
-    short = align.Aligner(BYTE_VOCABULARY, PIECE_MODEL)
-    each = [short.align([t or ""]) for t in texts]
-    assert [e[1][0] for e in each] == digests and np.array_equal(np.concatenate([e[0] for e in each]), counts)
+    counts, digests, doc, pair, n = whole.align([t or "" for t in texts])
+    for room in (10, 1500, 4000):
+        monkeypatch.setattr(align, "CACHE_CHARACTERS", room)
+        short = align.Aligner(BYTE_VOCABULARY, PIECE_MODEL)
+        for some in (texts, texts[::-1]):
+            each = [short.align([t or ""]) for t in some][:: 1 if some is texts else -1]
+            assert [e[1][0] for e in each] == digests and np.array_equal(np.concatenate([e[0] for e in each]), counts)
+            assert [(e[3].tolist(), e[4].tolist()) for e in each] == [(pair[doc == i].tolist(), n[doc == i].tolist()) for i in range(len(texts))]
 
 
 def test_groups_break_where_a_start_reaches_all_ends():
