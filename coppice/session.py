@@ -58,6 +58,20 @@ def write_scratch(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class ScratchTable:
+    """A table stored in the scratch folder, which can be deleted when no plan reads it."""
+
+    def __init__(self, df: DataFrame, label: str):
+        self.spark = df.sparkSession
+        self.path = scratch_path(self.spark, label)
+        df.write.parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Deal out a table that lies in fewer blocks than there are cores.
 
