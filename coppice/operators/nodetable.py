@@ -8,12 +8,13 @@ the number of levels reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from coppice.operators.columns import col
 from coppice.operators.profile import is_number, missing_to_null
@@ -148,6 +149,80 @@ def _question_columns(df: DataFrame, features: Sequence[str]) -> list[Column]:
     ]
 
 
+class _Forest:
+    """Nodes of some trees as arrays; questions point to features by number."""
+
+    def __init__(self, table: pa.Table, features: Sequence[str]):
+        tree, node = table.column("tree_id").to_numpy(), table.column("node_id").to_numpy()
+        index = {f: i for i, f in enumerate(features)}
+        self.asked = np.array([index.get(f, -1) for f in table.column("feature").to_pylist()], np.int64)
+        self.upto = np.array([o == "<=" for o in table.column("op").to_pylist()], bool)
+        self.num = np.array([np.nan if v is None else v for v in table.column("value_num").to_pylist()], float)
+        self.text = np.array(table.column("value_str").to_pylist(), object)
+        self.label = np.array(table.column("label").to_pylist(), object)
+        self.trees, first = np.unique(tree, return_index=True)
+        self.root, self.yes, self.no = np.zeros(len(first), np.int64), np.zeros(len(tree), np.int64), np.zeros(len(tree), np.int64)
+        below = [table.column(c).fill_null(ROOT).to_numpy() for c in ("yes_id", "no_id")]
+        for i, (start, stop) in enumerate(zip(first, [*first[1:], len(tree)], strict=True)):
+            ids = node[start:stop]  # the table is sorted by tree and node
+            self.root[i] = start + np.searchsorted(ids, ROOT)
+            for out, c in zip((self.yes, self.no), below, strict=True):
+                out[start:stop] = start + np.searchsorted(ids, c[start:stop])
+
+    def leaves(self, root: int, values: list[np.ndarray], n: int) -> np.ndarray:
+        """Labels of the leaves that n rows reach from ``root``, all rows a level at a time."""
+        at, rows = np.full(n, root), np.arange(n)
+        while len(rows):
+            rows = rows[self.asked[at[rows]] >= 0]
+            here = at[rows]
+            feature, answer = self.asked[here], np.zeros(len(rows), bool)
+            for i, x in enumerate(values):
+                some = np.flatnonzero(feature == i)
+                if not len(some):
+                    continue
+                x, node = x[rows[some]], here[some]
+                if x.dtype == object:
+                    answer[some] = x == self.text[node]
+                else:
+                    answer[some] = np.where(self.upto[node], x <= self.num[node], x == self.num[node])
+            at[rows] = np.where(answer, self.yes[here], self.no[here])
+        return self.label[at]
+
+
+def _values(batch: pa.RecordBatch, first: int, n: int) -> list[np.ndarray]:
+    out = []
+    for i in range(first, first + n):
+        column = batch.column(i)
+        is_text = pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+        out.append(column.to_numpy(zero_copy_only=False).astype(object if is_text else np.float64))
+    return out
+
+
+def _asked_features(nodes: DataFrame) -> list[str]:
+    return [r[0] for r in nodes.filter("feature IS NOT NULL").select("feature").distinct().orderBy("feature").collect()]
+
+
+def _tree_batches(nodes: DataFrame, trees: Sequence[int] | None) -> tuple[list[list[int]], list[int]]:
+    """Trees in batches of at most ``WALK_NODES`` nodes, and trees that have more by themselves."""
+    sizes = {r[0]: r[1] for r in nodes.groupBy("tree_id").count().collect()}  # a number for each tree
+    batches, large, held = [], [], 0
+    for t in sorted(sizes if trees is None else [t for t in trees if t in sizes]):
+        if sizes[t] > WALK_NODES:
+            large.append(t)
+            continue
+        if not batches or held + sizes[t] > WALK_NODES:
+            batches.append([])
+            held = 0
+        batches[-1].append(t)
+        held += sizes[t]
+    return batches, large
+
+
+def _forest(df: DataFrame, nodes: DataFrame, trees: list[int], features: list[str]):
+    chosen = nodes.filter(F.col("tree_id").isin(trees)).select("tree_id", "node_id", *_CONTENT)
+    return df.sparkSession.sparkContext.broadcast(_Forest(chosen.orderBy("tree_id", "node_id").toArrow(), features))
+
+
 def predict_by_nodes(
     df: DataFrame, nodes: DataFrame, name: str = "prediction", label_type: str = "string", tree_id: int = 0
 ) -> DataFrame:
@@ -157,67 +232,80 @@ def predict_by_nodes(
     walk down together; larger ones are joined with the rows level by level. A missing value
     answers no. Without nodes the prediction is null.
     """
-    tree = nodes.filter(F.col("tree_id") == tree_id).drop("tree_id")
-    features = [r[0] for r in tree.filter("feature IS NOT NULL").select("feature").distinct().orderBy("feature").collect()]
-    if tree.count() <= WALK_NODES:
-        scored = _walk_in_tasks(df, tree, features, name)
-    else:
-        scored = _walk_by_joins(df, tree, features, name)
-    return scored.withColumn(name, F.col(name).cast(label_type))
-
-
-def _walk_in_tasks(df: DataFrame, tree: DataFrame, features: list[str], name: str) -> DataFrame:
-    table = tree.select("node_id", "feature", "op", "value_num", "value_str", "yes_id", "no_id", "label").orderBy("node_id").toArrow()
-    ids = table.column("node_id").to_numpy()
-
-    def place(c: str) -> np.ndarray:
-        return np.searchsorted(ids, table.column(c).fill_null(ROOT).to_numpy())
-
-    index = {f: i for i, f in enumerate(features)}
-    asked = np.array([index.get(f, -1) for f in table.column("feature").to_pylist()], np.int64)
-    held = df.sparkSession.sparkContext.broadcast(
-        (
-            asked,
-            np.array([o == "<=" for o in table.column("op").to_pylist()], bool),
-            np.array([np.nan if v is None else v for v in table.column("value_num").to_pylist()], float),
-            np.array(table.column("value_str").to_pylist(), object),
-            place("yes_id"), place("no_id"),
-            np.array(table.column("label").to_pylist(), object),
-            int(np.searchsorted(ids, ROOT)),
-        )
-    )
-    n_columns = len(df.columns)
-    schema = StructType([*[StructField(f.name, f.dataType) for f in df.schema], StructField(name, StringType())])
-
-    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, upto, num, text, yes, no, label, root = held.value
-        for batch in batches:
-            values = []
-            for i in range(len(features)):
-                column = batch.column(n_columns + i)
-                is_text = pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
-                values.append(column.to_numpy(zero_copy_only=False).astype(object if is_text else np.float64))
-            at = np.full(batch.num_rows, root)
-            rows = np.arange(batch.num_rows) if len(asked) else np.zeros(0, np.int64)
-            while len(rows):
-                rows = rows[asked[at[rows]] >= 0]
-                here = at[rows]
-                feature, answer = asked[here], np.zeros(len(rows), bool)
-                for i, x in enumerate(values):
-                    some = np.flatnonzero(feature == i)
-                    if not len(some):
-                        continue
-                    x, node = x[rows[some]], here[some]
-                    if x.dtype == object:
-                        answer[some] = x == text[node]
-                    else:
-                        answer[some] = np.where(upto[node], x <= num[node], x == num[node])
-                at[rows] = np.where(answer, yes[here], no[here])
-            found = pa.array(label[at], pa.string()) if len(asked) else pa.nulls(batch.num_rows, pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n_columns], found], names=schema.names)
+    if nodes.filter(F.col("tree_id") == tree_id).isEmpty():
+        return df.withColumn(name, F.lit(None).cast(label_type))
+    return predict_each_by_nodes(df, nodes, name, label_type, [tree_id]).drop("tree_id")
+
+
+def predict_each_by_nodes(
+    df: DataFrame, nodes: DataFrame, name: str = "prediction", label_type: str = "string", trees: Sequence[int] | None = None
+) -> DataFrame:
+    """Every row with every tree (or those of ``trees``): ``(..., tree_id, prediction)``.
 
+    Rows never meet trees by a join on the root, so no key holds all rows: trees go to the
+    executors in batches of at most ``WALK_NODES`` nodes. Only a tree larger than that by itself
+    is joined, level by level.
+    """
+    features, n_columns = _asked_features(nodes), len(df.columns)
+    schema = StructType([*df.schema.fields, StructField("tree_id", IntegerType()), StructField(name, StringType())])
     rows = df.select(*[col(c) for c in df.columns], *_question_columns(df, features))
-    return rows.mapInArrow(walked, schema)
+    batches, large = _tree_batches(nodes, trees)
+    parts = []
+    for some in batches:
+        held = _forest(df, nodes, some, features)
+
+        def walked(arrow: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            forest = held.value
+            for batch in arrow:
+                values = _values(batch, n_columns, len(features))
+                for tree, root in zip(forest.trees.tolist(), forest.root.tolist(), strict=True):
+                    found = pa.array(forest.leaves(root, values, batch.num_rows), pa.string())
+                    ids = pa.array(np.full(batch.num_rows, tree, np.int32))
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:n_columns], ids, found], names=schema.names)
+
+        parts.append(rows.mapInArrow(walked, schema))
+    for t in large:
+        one = _walk_by_joins(df, nodes.filter(F.col("tree_id") == t).drop("tree_id"), features, name)
+        parts.append(one.select(*[col(c) for c in df.columns], F.lit(t).alias("tree_id"), name))
+    if not parts:
+        return df.limit(0).withColumns({"tree_id": F.lit(None).cast("int"), name: F.lit(None).cast(label_type)})
+    return reduce(DataFrame.unionByName, parts).withColumn(name, F.col(name).cast(label_type))
+
+
+def accuracies_by_nodes(df: DataFrame, nodes: DataFrame, label: str, trees: Sequence[int] | None = None) -> DataFrame:
+    """Share of rows that each tree gets right: tree_id, accuracy.
+
+    Tasks count the hits of each tree on their rows, so rows times trees exist nowhere as rows.
+    A row without a label is no hit.
+    """
+    features = _asked_features(nodes)
+    rows = df.select(col(label).cast("string").alias("_y"), *_question_columns(df, features))
+    batches, large = _tree_batches(nodes, trees)
+    parts = []
+    for some in batches:
+        held = _forest(df, nodes, some, features)
+
+        def counted(arrow: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            forest, hits, n = held.value, np.zeros(len(held.value.trees), np.int64), 0
+            for batch in arrow:
+                values, y = _values(batch, 1, len(features)), batch.column(0).to_numpy(zero_copy_only=False)
+                known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                for i, root in enumerate(forest.root.tolist()):
+                    hits[i] += int(((forest.leaves(root, values, len(y)) == y) & known).sum())
+                n += len(y)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(forest.trees.astype(np.int32)), pa.array(hits), pa.array(np.full(len(hits), n))], names=["tree_id", "hits", "n"]
+            )
+
+        parts.append(rows.mapInArrow(counted, "tree_id int, hits bigint, n bigint"))
+    for t in large:
+        scored = _walk_by_joins(df, nodes.filter(F.col("tree_id") == t).drop("tree_id"), features, "_found")
+        hit = F.coalesce(F.col("_found") == col(label).cast("string"), F.lit(False))
+        parts.append(scored.agg(F.lit(t).alias("tree_id"), F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("n")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "tree_id int, accuracy double")
+    sums = reduce(DataFrame.unionByName, parts).groupBy("tree_id").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
+    return sums.select("tree_id", F.try_divide(F.col("hits").cast("double"), "n").alias("accuracy"))
 
 
 def _walk_by_joins(df: DataFrame, tree: DataFrame, features: list[str], name: str) -> DataFrame:

@@ -91,24 +91,33 @@ def values_per_key(
 ) -> DataFrame:
     """Values listed per key, sorted, as ``(key, chunk, values)``.
 
-    A list is one cell, so keys with more than ``chunk_rows`` rows are spread over
-    several chunks; all others have chunk 0 only.
+    A list is one cell, so the sorted values of a key are cut every ``chunk_rows`` values: the
+    chunks are the same on any layout of the rows, and ascend. Missing values are in no list;
+    a key without any other has an empty one.
     """
     pairs = df.select(col(key).alias(key), col(value).alias(value))
     hot = (
-        pairs.groupBy(col(key)).count().filter(F.col("count") > chunk_rows)
-        .select(col(key).alias("_hot"), F.ceil(F.col("count") / chunk_rows).alias("_chunks"))
+        pairs.groupBy(col(key)).agg(F.count(col(value)).alias("count")).filter(F.col("count") > chunk_rows)
+        .select(col(key).alias("_hot"), F.lit(True).alias("_is_hot"))
     )
-    hot_keys = hot.limit(BROADCAST_ROWS + 1).count()
-    if hot_keys == 0:
+    n_hot = hot.limit(BROADCAST_ROWS + 1).count()
+    if n_hot == 0:
         chunked = pairs.withColumn("chunk", F.lit(0).cast("bigint"))
     else:
-        side = F.broadcast(hot) if hot_keys <= BROADCAST_ROWS else hot
-        salted = pairs.withColumn("_row", F.monotonically_increasing_id())
+
+        def side(table: DataFrame) -> DataFrame:
+            return F.broadcast(table) if n_hot <= BROADCAST_ROWS else table
+
         # Null is a key like any other.
-        chunked = salted.join(side, col(key).eqNullSafe(F.col("_hot")), "left").withColumn(
-            "chunk", F.coalesce(F.pmod("_row", "_chunks"), F.lit(0).cast("bigint"))
-        )
+        marked = pairs.join(side(hot), col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
+        listed = F.col("_is_hot").isNotNull() & col(value).isNotNull()
+        # The range shuffle also cuts by value, so no task gets a whole hot key.
+        numbered = row_index(marked.filter(listed).drop("_is_hot"), [col(key), col(value)], "_row")
+        first = numbered.groupBy(col(key).alias("_hot")).agg(F.min("_row").alias("_first"))
+        placed = numbered.join(side(first), col(key).eqNullSafe(F.col("_hot")))
+        chunk = F.floor((F.col("_row") - F.col("_first")) / chunk_rows).cast("bigint")
+        rest = marked.filter(~listed).select(col(key), col(value), F.lit(0).cast("bigint").alias("chunk"))
+        chunked = placed.select(col(key), col(value), chunk.alias("chunk")).union(rest)
     return chunked.groupBy(col(key), "chunk").agg(
         F.sort_array(F.collect_list(col(value))).alias(name)
     )

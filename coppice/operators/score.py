@@ -1,73 +1,30 @@
 """Scoring rows by trees, and accuracy.
 
 Shallow small models become conditions of the plan: no join, no Python. Deep ones, and many
-trees, would make plans that Spark cannot compile, so rows walk down the node table instead:
-a join for each level, with the nodes of that level. Both give the same labels.
+trees, would make plans that Spark cannot compile, so rows walk down the node table instead.
+Both give the same labels.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coppice.operators.columns import col
-from coppice.operators.treemodel import ROOT, TreeModel
-from coppice.session import write_scratch
+from coppice.operators.nodetable import accuracies_by_nodes, predict_each_by_nodes
+from coppice.operators.treemodel import TreeModel
 
 #: Depth and number of nodes up to which a model is compiled into the plan.
 COMPILED_DEPTH, COMPILED_NODES = 30, 2000
-#: Levels walked before the rows are stored, which cuts their lineage.
-STORED_LEVELS = 20
 
 
 def compiles(model: TreeModel) -> bool:
     return model.depth <= COMPILED_DEPTH and model.size <= COMPILED_NODES
 
 
-def _answer(df: DataFrame, model: TreeModel) -> Column:
-    """Whether a row answers its node's question (``_feature``, ``_op``, ``_num``, ``_str``) with yes."""
-    types = dict(df.dtypes)
-    features = sorted({n.feature for n in model.nodes() if not n.is_leaf})
-    numbers, texts = F.lit(None).cast("double"), F.lit(None).cast("string")
-    for f in features:
-        number = col(f).try_cast("double") if types[f] == "string" else col(f).cast("double")
-        number = F.when(~F.isnan(number), number)
-        numbers = F.when(F.col("_feature") == f, number).otherwise(numbers)
-        texts = F.when(F.col("_feature") == f, col(f).cast("string")).otherwise(texts)
-    by_number = F.when(F.col("_op") == "<=", numbers <= F.col("_num")).otherwise(numbers == F.col("_num"))
-    return F.coalesce(F.when(F.col("_num").isNotNull(), by_number).otherwise(texts == F.col("_str")), F.lit(False))
-
-
 def walk(df: DataFrame, model: TreeModel, trees: list[int], name: str = "prediction") -> DataFrame:
-    """Every row with each of ``trees``: ``(..., tree_id, prediction)``, level by level."""
-    spark = df.sparkSession
-    rows = [n.row()[:2] + n.row()[3:] + (n.depth,) for t in trees for n in model.trees[t].values()]
-    schema = (
-        "_tree int, _node bigint, _feature string, _op string, _num double, _str string, _yes bigint, "
-        "_no bigint, _label string, _n bigint, _depth int"
-    )
-    nodes = spark.createDataFrame(rows, schema).drop("_n")
-    ids = spark.createDataFrame([(t,) for t in trees], "_tree int")
-    left = df.crossJoin(ids).withColumn("_node", F.lit(ROOT).cast("bigint")).withColumn("_found", F.lit(None).cast("string"))
-    answer = _answer(df, model)
-    deepest = max(n.depth for t in trees for n in model.trees[t].values())
-    for level in range(deepest + 1):
-        here = nodes.filter(F.col("_depth") == level).drop("_depth")
-        joined = left.join(here, ["_tree", "_node"], "left")
-        following = F.when(F.col("_feature").isNotNull(), F.when(answer, F.col("_yes")).otherwise(F.col("_no")))
-        left = joined.select(
-            *[col(c) for c in df.columns],
-            "_tree",
-            following.alias("_node"),
-            F.coalesce("_found", "_label").alias("_found"),
-        )
-        if level % STORED_LEVELS == STORED_LEVELS - 1 and level < deepest:
-            left = write_scratch(left, "tree-walk")
-    return left.select(
-        *[col(c) for c in df.columns],
-        F.col("_tree").alias("tree_id"),
-        F.col("_found").cast(model.label_type).alias(name),
-    )
+    """Every row with each of ``trees``: ``(..., tree_id, prediction)``, by the node table."""
+    return predict_each_by_nodes(df, model.to_table(df.sparkSession), name, model.label_type, trees)
 
 
 def predict(
@@ -99,8 +56,7 @@ def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "target
 def tree_accuracies(df: DataFrame, model: TreeModel, label: str = "target") -> DataFrame:
     """Accuracy of each tree on the same rows, in one pass over them."""
     if not compiles(model):
-        hit = F.coalesce(F.col("prediction") == col(label), F.lit(False))
-        return predict_each(df, model).groupBy("tree_id").agg(F.avg(hit.cast("double")).alias("accuracy"))
+        return accuracies_by_nodes(df, model.to_table(df.sparkSession), label)
     hits = {
         t: F.coalesce(model.prediction(df, t) == col(label), F.lit(False)) for t in model.tree_ids
     }

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from coppice.operators.columns import col
 from coppice.operators.encode import assemble
+from coppice.operators.growth import grow_nodes
+from coppice.operators.nodetable import predict_by_nodes
 
 
 def with_vector(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
@@ -31,8 +33,8 @@ def fit_vector_tree(
 
     Candidates are quantile bins, ``max_bins`` per feature; memory per node grows with
     features, bins and labels, so an unbounded number of bins does not scale. For
-    every observed value as a candidate, or a tree without a depth limit (MLlib stops at
-    30), use ``coppice.operators.tree``.
+    every observed value as a candidate use ``coppice.operators.tree``, and for a tree without
+    a depth limit (MLlib stops at 30) ``coppice.operators.growth``.
     """
     learner = DecisionTreeClassifier(
         labelCol="_label",
@@ -68,15 +70,20 @@ def compare_criteria(
     test: DataFrame,
     features: Sequence[str],
     label: str = "target",
-    settings: Sequence[tuple[str, int]] = (("gini", 30), ("entropy", 3)),
+    settings: Sequence[tuple[str, int | None]] = (("gini", None), ("entropy", 3)),
     max_bins: int = 256,
 ) -> DataFrame:
-    """Holdout accuracy per ``(criterion, max_depth)`` as a table."""
+    """Holdout accuracy per ``(criterion, max_depth)`` as a table.
+
+    Trees with a depth are binned; ``None`` grows one without a limit, which asks ``<=`` of every
+    value of a number.
+    """
     result = []
     for criterion, depth in settings:
-        model = fit_vector_tree(train, features, label, criterion, depth, max_bins)
-        share = vector_accuracy(predict_vector(test, model, features), label=label)
-        result.append((criterion, depth, share))
-    return train.sparkSession.createDataFrame(
-        result, "criterion string, max_depth int, accuracy double"
-    )
+        if depth is None:
+            nodes = grow_nodes(train, features, label, criterion, category_values=0)
+            scored = predict_by_nodes(test, nodes.df, label_type="double")
+        else:
+            scored = predict_vector(test, fit_vector_tree(train, features, label, criterion, depth, max_bins), features)
+        result.append((criterion, depth, vector_accuracy(scored, label=label)))
+    return train.sparkSession.createDataFrame(result, "criterion string, max_depth int, accuracy double")

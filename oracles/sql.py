@@ -14,6 +14,7 @@ from coppice.plans.schemas import (
     raw_schema,
 )
 from coppice.plans.wide import wide_expressions
+from oracles.cell_trees import cell_tree_ctes
 from oracles.tree_sql import NODE_COLUMNS, tree_ctes
 
 ORACLES: dict[str, str] = {}
@@ -209,6 +210,7 @@ rows("opening_hours", f'SELECT "{KEY}" AS row_key, ' + ", ".join(
     f"{hours(d, 2)} AS {d}_2, {hours(d, 1, True)} AS {d}_1, {hours(d, 2, False, True)} AS {d}_wrapped"
     for d in WEEKDAYS) + f" FROM ({WIDE})")
 rows("rounding_modes", """SELECT l_orderkey, printf('%.1f', l_orderkey / 20.0::double)::double AS even,
+  floor((l_orderkey + 1) / 2.0::double) / 10 AS half_up,
   round(log2(l_quantity), 6) AS log2 FROM lineitem""")
 
 # Samples and order -----------------------------------------------------------------------
@@ -240,8 +242,9 @@ rows("file_order_zip", f"""SELECT CASE WHEN {hash_unit('id', 4)} < 0.1 THEN 1.0:
   count(*) AS n_rows FROM (SELECT row_number() OVER () - 1 AS id FROM orders) GROUP BY 1""")
 rows("collect_per_key", """SELECT o_custkey, 0::bigint AS chunk,
   string_agg(o_orderkey::varchar, ',' ORDER BY o_orderkey) AS order_keys FROM orders GROUP BY o_custkey""")
-rows("collect_per_hot_key", """SELECT l_returnflag, count(*) AS n_values, true AS bounded,
-  max(l_extendedprice) AS largest FROM lineitem GROUP BY l_returnflag""")
+rows("collect_per_hot_key", """SELECT l_returnflag, chunk, count(*) AS n_values, min(l_extendedprice) AS least,
+  max(l_extendedprice) AS largest FROM (SELECT l_returnflag, l_extendedprice,
+  (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1) // 500 AS chunk FROM lineitem) GROUP BY ALL""")
 
 # Encoding ------------------------------------------------------------------------------------
 
@@ -397,9 +400,73 @@ rows("stream_scoring", trained_flow("true", 5)
 for _name in ("random_split", "random_tags", "synth_labels_random"):
     rows(_name, "SELECT count(*) AS n_rows, true AS near FROM orders")
 
-# Binned trees: the holdout, by key -------------------------------------------------------------
+# Binned and unlimited trees: what the holdout, by key, gets ---------------------------------------
 
-_HELD_OUT = f"SELECT count(*) AS n_rows, true AS useful FROM lineitem WHERE NOT ({hash_unit('l_orderkey || chr(45) || l_linenumber', 42)} < 0.7)"
-for _name in ("vector_tree", "vector_tree_default", "vector_tree_gini"):
-    rows(_name, _HELD_OUT)
-rows("impurity_compare", "SELECT * FROM (VALUES ('gini', 30, true), ('entropy', 3, true)) t(criterion, max_depth, plausible)")
+_BINNED = ["l_quantity", "l_discount", "l_tax", "l_linestatus"]
+_COARSE = ["l_linenumber", "quantity_pair", "l_discount", "l_tax", "l_linestatus"]
+_TRAINED = f"({hash_unit('l_orderkey || chr(45) || l_linenumber', 42)} < 0.7)"
+#: More levels than an unlimited tree on these few-valued features has.
+_LEVELS = 48
+
+
+def line_cells(features: list[str]) -> str:
+    values = ", ".join(f"{'s.code' if c == 'l_linestatus' else f'ceil(l_quantity / 2)' if c == 'quantity_pair' else c}::double AS f{i}"
+                       for i, c in enumerate(features))
+    names = ", ".join(f"f{i}" for i in range(len(features)))
+    return (
+        f"SELECT row_number() OVER () AS cid, * FROM (SELECT {names}, y, count(*) FILTER (trained) AS w, count(*) FILTER (NOT trained) AS v "
+        f"FROM (SELECT {values}, r.code::int AS y, {_TRAINED} AS trained FROM lineitem "
+        f"JOIN {frequency_code('l_linestatus', 'lineitem')} s ON s.value = l_linestatus "
+        f"JOIN {frequency_code('l_returnflag', 'lineitem')} r ON r.value = l_returnflag) GROUP BY ALL)"
+    )
+
+
+def held_out_labels(features: list[str], depth: int, criterion: str, binned: bool) -> str:
+    ctes = cell_tree_ctes(line_cells(features), len(features), [0, 1, 2], depth, criterion, binned)
+    return (
+        f"WITH {ctes} SELECT y::double AS l_returnflag, label::double AS prediction, sum(v)::bigint AS n_rows "
+        "FROM placed JOIN cells USING (cid) WHERE v > 0 GROUP BY 1, 2"
+    )
+
+
+rows("vector_tree", held_out_labels(_BINNED, 4, "entropy", True))
+rows("vector_tree_default", held_out_labels(_COARSE, 5, "entropy", True))
+rows("vector_tree_gini", held_out_labels(_BINNED, _LEVELS, "gini", False))
+_SHARE = "round(sum(CASE WHEN y = label THEN v ELSE 0 END)::double / sum(v)::double, 8) AS accuracy"
+rows("impurity_compare", "WITH " + cell_tree_ctes(line_cells(_BINNED), 4, [0, 1, 2], _LEVELS, "gini", False, "g")
+     + ",\n" + cell_tree_ctes(line_cells(_BINNED), 4, [0, 1, 2], 3, "entropy", True, "e")
+     + f" SELECT 'gini' AS criterion, NULL::int AS max_depth, {_SHARE} FROM gplaced JOIN gcells USING (cid)"
+     + f" UNION ALL SELECT 'entropy', 3, {_SHARE} FROM eplaced JOIN ecells USING (cid)")
+
+# The stored tree, merged and rendered -----------------------------------------------------------
+
+
+def merged_tree(depth: int) -> str:
+    """CTEs after ``node_rows``: texts from the deepest level up, then the nodes that stay."""
+    quoted = "('''' || a.label || '''')"
+    nested = "'{''' || a.question || ''': [' || y.text || ', ' || o.text || ']}'"
+    steps = [
+        "asked AS MATERIALIZED (SELECT path, label, n, feature || ' ' || op || ' ' || coalesce(value_num::varchar, value_str) AS question FROM node_rows)",
+        f"up{depth} AS MATERIALIZED (SELECT a.path, {quoted} AS text, a.path AS source FROM asked a WHERE length(a.path) = {depth})",
+    ]
+    for d in range(depth - 1, -1, -1):
+        steps.append(
+            f"up{d} AS MATERIALIZED (SELECT a.path, CASE WHEN a.question IS NULL THEN {quoted} WHEN y.text = o.text THEN y.text ELSE {nested} END AS text, "
+            "CASE WHEN a.question IS NOT NULL AND y.text = o.text THEN y.source ELSE a.path END AS source "
+            f"FROM asked a LEFT JOIN up{d + 1} y ON y.path = a.path || 'y' LEFT JOIN up{d + 1} o ON o.path = a.path || 'n' WHERE length(a.path) = {d})"
+        )
+    every = " UNION ALL ".join(f"SELECT * FROM up{d}" for d in range(depth + 1))
+    steps += [f"merged AS MATERIALIZED ({every})", "kept0 AS MATERIALIZED (SELECT '' AS path, '' AS at)"]
+    for d in range(depth):
+        steps.append(
+            f"kept{d + 1} AS MATERIALIZED (SELECT k.path || s.side AS path, m.source || s.side AS at FROM kept{d} k JOIN merged m ON m.path = k.at "
+            "JOIN asked a ON a.path = m.source AND a.question IS NOT NULL CROSS JOIN (VALUES ('y'), ('n')) s(side))"
+        )
+    kept = " UNION ALL ".join(f"SELECT * FROM kept{d}" for d in range(depth + 1))
+    return (
+        ", " + ", ".join(steps) + f" SELECT k.path, length(k.path)::int AS depth, c.question, c.label, t.n, m.text FROM ({kept}) k "
+        "JOIN merged m ON m.path = k.at JOIN asked c ON c.path = m.source JOIN asked t ON t.path = k.at"
+    )
+
+
+rows("tree_stored", tree_ctes(_LINE, _LINE_FEATURES, _LABELS, 5) + merged_tree(5))

@@ -89,3 +89,24 @@ def test_scores_of_node_tables(spark, monkeypatch, most):
     assert sorted(map(str, ((*[r[k] for k in key], r.prediction) for r in scored))) == sorted(
         map(str, ((*[r[k] for k in key], score(r, tree, types)) for r in others))
     )
+
+
+@pytest.mark.parametrize("most", [nodetable.WALK_NODES, 60, 0])
+def test_many_trees_in_batches(spark, monkeypatch, most):
+    """Each tree by itself, whatever batches of trees go to the executors together."""
+    monkeypatch.setattr(nodetable, "WALK_NODES", most)
+    rows = make_rows(9, missing=0.1)
+    df = as_df(spark, rows)
+    trees = [grow_nodes(df.filter(F.col("s") == s), FEATURES, "y", max_depth=4).df.withColumn("tree_id", F.lit(s + 3)) for s in range(3)]
+    nodes = trees[0].union(trees[1]).union(trees[2])
+    scored = nodetable.predict_each_by_nodes(df, nodes).select("tree_id", "y", "prediction").collect()
+    assert len(scored) == 3 * len(rows)
+    shares = {r.tree_id: r.accuracy for r in nodetable.accuracies_by_nodes(df, nodes, "y").collect()}
+    for s in range(3):
+        own = [r for r in rows if r["s"] == s]
+        tree, types = grow(own, FEATURES, "y", max_depth=4, criterion="gini"), kinds(own, FEATURES)
+        wanted = sorted((r["y"], score(r, tree, types)) for r in rows)
+        assert sorted((r.y, r.prediction) for r in scored if r.tree_id == s + 3) == wanted
+        assert shares[s + 3] == pytest.approx(sum(a == b for a, b in wanted) / len(rows))
+    assert nodetable.accuracies_by_nodes(df, nodes.limit(0), "y").count() == 0
+    assert nodetable.predict_each_by_nodes(df, nodes, trees=[4]).select("tree_id").distinct().collect()[0][0] == 4

@@ -207,3 +207,17 @@ def test_row_numbers_of_shuffled_rows(spark):
     df = spark.range(500).repartition(7).groupBy("id").count()
     numbered = ordering.row_index(df)
     assert sorted(r.row_index for r in numbered.collect()) == list(range(1, 501))
+
+
+def test_values_per_key_chunks_do_not_show_the_layout(spark):
+    rows = [(None if i % 5 == 0 else "hot", i * 7 % 400) for i in range(400)] + [("cold", 1), ("cold", None), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    found = []
+    for parts in (1, 5):
+        listed = sampling.values_per_key(df.repartition(parts), "k", "v", chunk_rows=50).collect()
+        found.append({(r.k, r.chunk): r["values"] for r in listed})
+    assert found[0] == found[1] and max(map(len, found[0].values())) == 50
+    for key in (None, "hot"):
+        whole = [v for (k, _), some in sorted(found[0].items(), key=lambda c: (str(c[0][0]), c[0][1])) if k == key for v in some]
+        assert whole == sorted(v for k, v in rows if k == key)
+    assert found[0]["cold", 0] == [1] and found[0]["none", 0] == []
