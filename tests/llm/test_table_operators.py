@@ -191,7 +191,7 @@ def test_pipeline_keeps_clean_documents(spark):
     passed = docs.filter(F.col("doc_id").isin([d for d, p in scored.items() if p]))
     from coppice.llm.minhash import near_duplicates
 
-    first = {r.doc_id for r in near_duplicates(passed).filter("kept").collect()}
+    first = {r.doc_id for r in near_duplicates(passed, percent=corpus_pipeline.NEAR_PERCENT).filter("kept").collect()}
     assert kept <= first
     from coppice.llm.chunks import dedup_chunks
     from coppice.llm.decontaminate import find_leaks
