@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from coppice.functions.text import as_column
 from coppice.operators.columns import col
 from coppice.session import scratch_root, write_scratch
 
+#: Files whose offsets are sent to all executors.
+BROADCAST_FILES = 200_000
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition number above, row below
 
 
@@ -35,6 +38,41 @@ def _shuffles(df: DataFrame) -> bool:
     return "Exchange" in plan or "FileScan" not in plan
 
 
+def _plan_nodes(df: DataFrame) -> list[str]:
+    """Names of the logical operators of ``df`` down to its table; empty if it joins or unites some."""
+    node, names = df._jdf.queryExecution().analyzed(), []
+    while True:
+        names.append(node.nodeName())
+        children = node.children()
+        if children.size() != 1:
+            return names if children.size() == 0 else []
+        node = children.head()
+
+
+def _file_places(df: DataFrame) -> DataFrame | None:
+    """``df`` with the file (``_file``) and the row in it (``_place``), if a scan can tell them."""
+    if not set(_plan_nodes(df)) <= {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}:
+        return None
+    try:
+        place = F.col("_metadata.row_index").alias("_place")
+        return df.select("*", F.col("_metadata.file_path").alias("_file"), place)
+    except AnalysisException:  # formats without row numbers, and tables that are no files
+        return None
+
+
+def _number_by_files(df: DataFrame, placed: DataFrame, name: str) -> DataFrame:
+    """Rows by the path of their file and their place in it, whatever splits the scan makes."""
+    if "Filter" in _plan_nodes(df):
+        return row_index(placed, ["_file", "_place"], name).drop("_file", "_place")
+    # A whole scan: places have no gaps, so only the sizes of files are needed.
+    sizes = placed.groupBy("_file").agg((F.max("_place") + 1).alias("_size"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    few = offsets.count() <= BROADCAST_FILES
+    joined = placed.join(F.broadcast(offsets) if few else offsets, "_file")
+    return joined.withColumn(name, F.col("_offset") + F.col("_place") + 1).drop("_file", "_place", "_offset")
+
+
 def row_index(
     df: DataFrame, order_by: Sequence[Column | str] | None = None, name: str = "row_index"
 ) -> DataFrame:
@@ -44,9 +82,14 @@ def row_index(
     then partition offsets. Add enough columns to make the order total; they also
     let the range shuffle cut through a key that holds many rows.
 
-    Without: the order of the stored rows. Only a file scan repeats it, so rows that come
-    out of a shuffle are written first.
+    Without: the order of the stored rows. Scans of files that know the rows' places (Parquet)
+    are numbered by path and place, so numbers do not depend on how the files are split or on
+    retries; a filter in between takes a range shuffle by them. Of anything else only a file
+    scan repeats its order, so rows that come out of a shuffle are written first.
     """
+    by_file = None if order_by else _file_places(df)
+    if by_file is not None:
+        return _number_by_files(df, by_file, name)
     order = [as_column(c) for c in order_by] if order_by else []
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     tagged = placed.select(

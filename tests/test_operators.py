@@ -221,3 +221,23 @@ def test_values_per_key_chunks_do_not_show_the_layout(spark):
         whole = [v for (k, _), some in sorted(found[0].items(), key=lambda c: (str(c[0][0]), c[0][1])) if k == key for v in some]
         assert whole == sorted(v for k, v in rows if k == key)
     assert found[0]["cold", 0] == [1] and found[0]["none", 0] == []
+
+
+def test_row_numbers_of_files_do_not_depend_on_splits(spark, tmp_path):
+    for i, n in enumerate([300, 7, 120]):
+        spark.range(1000 * i, 1000 * i + n).coalesce(1).write.parquet(str(tmp_path / "t" / f"part={i}"))
+    df = spark.read.parquet(str(tmp_path / "t")).select("id")
+    wanted = {v: n + 1 for n, v in enumerate([*range(300), *range(1000, 1007), *range(2000, 2120)])}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("134217728", "700"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert {r.id: r.row_index for r in ordering.row_index(df).collect()} == wanted
+            even = ordering.row_index(df.filter("id % 2 = 0"), name="n")
+            assert {r.id: r.n for r in even.collect()} == {v: n + 1 for n, v in enumerate(v for v in wanted if v % 2 == 0)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    again = ordering.zip_rows(df, df.withColumnRenamed("id", "other"))
+    assert again.filter("id <> other").isEmpty() and again.count() == len(wanted)
+    assert ordering.row_index(df.limit(0)).count() == 0
+    assert ordering.row_index(df.orderBy(F.desc("id"))).filter("row_index = 1").first().id == 2119
