@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from coppice.operators.columns import col
 from coppice.operators.ordering import row_index
@@ -20,6 +21,8 @@ SMALL_DICTIONARY = 20_000
 # The most frequent values of a large dictionary, which are broadcast.
 DICTIONARY_HEAD = 100_000
 SALTS = 1024
+# A value with more than this share of the rows to be coded is broadcast with its code.
+HOT_SHARE = 0.001
 
 
 def _dictionary(df: DataFrame, column: str, order: str) -> DataFrame:
@@ -32,19 +35,36 @@ def _dictionary(df: DataFrame, column: str, order: str) -> DataFrame:
     )
 
 
+def _hot_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Values that hold more than ``HOT_SHARE`` of the rows, among at most 1 / ``HOT_SHARE`` others.
+
+    One pass for all columns, with counters of that number only.
+    """
+    staged = df.select(*[col(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    found = staged.stat.freqItems(staged.columns, HOT_SHARE).first()
+    return {c: [v for v in (found[i] or []) if v is not None] for i, c in enumerate(columns)}
+
+
 def _join_codes(
-    df: DataFrame, column: str, dictionary: DataFrame, dictionary_rows: int, unseen: float
+    df: DataFrame, column: str, dictionary: DataFrame, dictionary_rows: int, unseen: float, hot: Sequence = ()
 ) -> DataFrame:
     """Replace a column by its code from a large dictionary.
 
-    Frequent values get their code from the broadcast head. Only the others meet the
-    rest of the dictionary; rows that are done are spread over salts that match
+    Frequent values get their code from the broadcast head: those frequent in the learned
+    table, and ``hot`` ones of this table, whether they were learned or not. Only the others
+    meet the rest of the dictionary; rows that are done are spread over salts that match
     nothing, so no value, however frequent, gathers in one task.
     """
     names = df.columns
     # Fewer than DICTIONARY_HEAD values can each hold more than this share of the rows.
     heavy = F.col("count") > dictionary_rows / DICTIONARY_HEAD
     head = dictionary.filter(heavy).select(F.col("value").alias("_head"), F.col("code").alias("_head_code"))
+    if hot:
+        schema = StructType([StructField("_head", dictionary.schema["value"].dataType)])
+        listed = F.broadcast(df.sparkSession.createDataFrame([(v,) for v in hot], schema))
+        known = dictionary.join(listed, F.col("value") == F.col("_head"), "left_semi").select(F.col("value").alias("_head"), "code")
+        codes = listed.join(known, "_head", "left").select("_head", F.coalesce("code", F.lit(unseen)).alias("_head_code"))
+        head = head.union(codes).dropDuplicates(["_head"])
     tail = dictionary.select(
         F.col("value").alias("_tail"), F.lit(-1).alias("_tail_salt"), F.col("code").alias("_tail_code")
     )
@@ -90,8 +110,9 @@ class TextCodes:
         large = [c for c in self.large if c in names]
         if keep:
             df = df.withColumns({f"_keep_{i}": col(c) for i, c in enumerate(large)})
+        hot = _hot_values(df, large) if large else {}
         for c in large:
-            df = _join_codes(df, c, *self.large[c])
+            df = _join_codes(df, c, *self.large[c], hot=hot[c])
         if not keep:
             return df.select(*[coded[c].alias(c, metadata={}) if c in coded else col(c) for c in names])
         originals = {c: F.col(f"_keep_{i}") for i, c in enumerate(large)}

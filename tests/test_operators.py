@@ -241,3 +241,18 @@ def test_row_numbers_of_files_do_not_depend_on_splits(spark, tmp_path):
     assert again.filter("id <> other").isEmpty() and again.count() == len(wanted)
     assert ordering.row_index(df.limit(0)).count() == 0
     assert ordering.row_index(df.orderBy(F.desc("id"))).filter("row_index = 1").first().id == 2119
+
+
+def test_hot_values_that_were_not_learned(spark, monkeypatch):
+    monkeypatch.setattr(encode, "DICTIONARY_HEAD", 2)
+    monkeypatch.setattr(encode, "HOT_SHARE", 0.05)
+    learned = spark.createDataFrame([(f"v{i % 40}",) for i in range(400)], "t string")
+    codes = encode.learn_codes(learned, small=0)
+    rows = [("new",)] * 900 + [("v7",)] * 300 + [(f"v{i % 45}",) for i in range(90)] + [(None,)] * 200
+    df = spark.createDataFrame(rows, "t string")
+    hot = encode._hot_values(df, ["t"])["t"]
+    assert {"new", "v7"} <= set(hot) and len(hot) <= 20
+    ranked = {v: float(i) for i, v in enumerate(sorted(f"v{i}" for i in range(40)))}
+    got = codes.apply(df, keep=True).collect()
+    assert len(got) == len(rows) and all(r.t_index == ranked.get(r.t, 40.0) for r in got)
+    assert codes.apply(df.limit(0)).count() == 0
