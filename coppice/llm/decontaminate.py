@@ -30,6 +30,9 @@ WORDS = 13
 LEAST_BYTES = 32
 #: Text of benchmark items in one index; more items take more indexes and passes.
 INDEX_BYTES = 4 << 20
+#: Pairs of places in texts and items that are held at once, and bytes by which blocks overlap:
+#: several times what the hits of a window in a band span.
+MOST_PAIRS, OVERLAP = 1 << 20, 512
 _BITS = 22
 
 _WORD = np.zeros(256, bool)
@@ -89,6 +92,9 @@ class BenchmarkIndex:
         self.starts = starts[order]
         self.codes, first = np.unique(codes[order], return_index=True)
         self.first = np.append(first, len(order))
+        #: Places of each q-gram, ascending, as one sorted array.
+        self.stride = len(self.data) + 1
+        self.keys = np.repeat(np.arange(len(self.codes)), np.diff(self.first)) * self.stride + self.starts
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[_slot(self.codes)] = True
         size = np.diff(self.offsets)
@@ -123,7 +129,7 @@ class BenchmarkIndex:
         return cls([ids[i] for i in keep], np.concatenate(parts) if parts else np.zeros(0, np.uint8), ends)
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of q-grams in the texts, and where they lie in the items."""
+        """Places of q-grams in the texts, ascending, and which q-grams of the items they are."""
         codes = _codes(data)
         at = np.flatnonzero(self.seen[_slot(codes)])
         found = np.searchsorted(self.codes, codes[at])
@@ -132,16 +138,49 @@ class BenchmarkIndex:
         at, found = at[good], found[good]
         doc = np.searchsorted(offsets, at, "right") - 1
         inside = at + Q <= offsets[doc + 1]
-        at, found = at[inside], found[inside]
-        many = self.first[found + 1] - self.first[found]
-        ends = np.cumsum(many)
-        step = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many, many)
-        return np.repeat(at, many), self.starts[np.repeat(self.first[found], many) + step]
+        return at[inside], found[inside]
+
+    def _blocks(self, at: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Ranges of hits and of item places with at most ``MOST_PAIRS`` pairs each, or too short to cut.
+
+        Neighbours overlap by more than the hits of a window in a band can span, so one block
+        has all of them.
+        """
+        whole = len(self.data)
+        upto = np.concatenate(([0], np.cumsum(self.first[found + 1] - self.first[found]))) if len(at) else np.zeros(1, np.int64)
+        waiting = [(0, len(at))]
+        while waiting:
+            low, high = waiting.pop()
+            if upto[high] - upto[low] <= MOST_PAIRS:
+                if high > low:
+                    yield low, high, 0, whole
+            elif at[high - 1] - at[low] > 2 * OVERLAP:
+                middle = (at[low] + at[high - 1]) // 2
+                waiting.append((low, int(np.searchsorted(at, middle + OVERLAP // 2))))
+                waiting.append((int(np.searchsorted(at, middle - OVERLAP // 2)), high))
+            else:
+                for start in range(0, whole, OVERLAP):
+                    yield low, high, start, min(start + 2 * OVERLAP, whole)
 
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Verified regions: document, item, start, stop (of ``data``), edits; merged."""
+        """Verified regions: document, item, start, stop (of ``data``), edits; merged.
+
+        Texts that repeat what an item repeats too have very many pairs of places; those are
+        gone through in blocks, so memory stays bounded.
+        """
+        at, found = self.hits(data, offsets)
+        parts = [np.zeros((0, 5), np.int64)]
+        for low, high, start, stop in self._blocks(at, found):
+            first = np.searchsorted(self.keys, found[low:high] * self.stride + start)
+            many = np.searchsorted(self.keys, found[low:high] * self.stride + stop) - first
+            ends = np.cumsum(many)
+            step = np.arange(ends[-1]) - np.repeat(ends - many, many)
+            parts.append(self._regions(data, offsets, np.repeat(at[low:high], many), self.starts[np.repeat(first, many) + step]))
+        return self._merged(np.concatenate(parts)) if len(parts) > 2 else parts[-1]
+
+    def _regions(self, data: np.ndarray, offsets: np.ndarray, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The same for pairs of places in the texts and in the items."""
         none = np.zeros((0, 5), np.int64)
-        at, place = self.hits(data, offsets)
         if not len(at):
             return none
         doc = np.searchsorted(offsets, at, "right") - 1
