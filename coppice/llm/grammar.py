@@ -1,10 +1,11 @@
 """Token ids in grammar-compressed files.
 
 Texts are encoded in the order of their ids, cut into blocks, and each block is compressed
-by Re-Pair: frequent pairs of neighbouring symbols become nonterminals, round by round. A
-round takes pairs from the most frequent on, as long as no symbol is a left side of one and
-a right side of another: such pairs cannot overlap, so replacing them together is the same
-as one after the other. Pairs never cross documents. A block stores its rules, the length
+by Re-Pair: frequent pairs of neighbouring symbols become nonterminals, round by round,
+until no pair is frequent. A round takes pairs from the most frequent on, as long as no
+symbol is a left side of one and a right side of another: such pairs cannot overlap, so
+replacing them together is the same as one after the other. Pairs of one symbol are replaced
+from the left. Pairs never cross documents. A block stores its rules, the length
 each symbol expands to, and where documents begin, so one of them is decoded by itself.
 """
 
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 import itertools
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,19 +23,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coppice.llm.tables import Stored
-from coppice.llm.text import list_array, text_slices
+from coppice.llm.text import flat, list_array, text_slices
 
-#: Ids of a block, rounds of Re-Pair, least occurrences of a pair that is replaced.
-BLOCK_IDS, ROUNDS, LEAST_PAIRS = 1 << 20, 5, 24
-#: Rules a block has at most, so that its symbols fit 16 bits under a vocabulary of 50,257.
-MOST_RULES = 15_000
-#: Words a worker remembers; beyond that it starts afresh.
+#: Ids of a block; least occurrences of a pair that is replaced. A rule takes 12 bytes, so
+#: rarer pairs would make the files larger.
+BLOCK_IDS, LEAST_PAIRS = 1 << 20, 8
+#: Bytes of text that are encoded together; units a worker remembers, beyond that it starts afresh.
+BLOCK_TEXT = 4 << 20
 CACHE_WORDS = 800_000
+#: Blocks whose starts are broadcast, 20 bytes each.
+BROADCAST_BLOCKS = 1 << 20
 END_ID = 0
 
 _BLOCK = (
     "block int, doc_ids array<long>, id_ends array<long>, symbol_ends array<long>, "
-    "n_ids long, first_rule int, rules binary, lengths binary, symbols binary, width int"
+    "n_ids long, first_rule int, rules binary, lengths binary, symbols binary, bits int"
 )
 
 
@@ -53,11 +55,12 @@ class _Numbers(dict):
 
 
 class WordEncoder:
-    """The tokenizers library behind a dictionary of words.
+    """The tokenizers library behind a dictionary of units.
 
-    A byte-level vocabulary splits a text before every space that follows a character other
-    than white space, whatever else stands there, so what lies between such cuts encodes
-    on its own and each different word is given to the library once.
+    A byte-level vocabulary splits every text where white space follows another character,
+    after a single line feed, and where one of ``.,;:!?`` follows a letter, so what
+    lies between such cuts encodes on its own and each different unit is given to the library
+    once. Added tokens must not hold such a cut; no cut is made in a vocabulary where one does.
     """
 
     def __init__(self, path: str):
@@ -67,12 +70,13 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         n = self.tokenizer.get_vocab_size()
         self.spaced = np.array([self.tokenizer.id_to_token(i).startswith("\u0120") for i in range(n)])
+        self.feed = self.tokenizer.token_to_id("\u010a")
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cuts = self.feed is not None and not any(unit_starts(np.frombuffer(t, np.uint8)).any() for t in added)
         self.clear()
 
     def clear(self) -> None:
-        number = itertools.count()
-        self.after = _Numbers([], number)  # words that follow a space
-        self.first = _Numbers([], number)  # words that begin a text, and parts with other spaces
+        self.numbers = _Numbers([], itertools.count())
         self.size, self.start = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
@@ -80,65 +84,105 @@ class WordEncoder:
         coded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(c.ids, np.int32) for c in coded]
 
-    def _after_space(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number for words after a space, all of them in one text.
+    def _together(self, units: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for units that one text tells apart, else one by one.
 
-        Only the first id of such a word begins with a space, so these ids tell words apart.
+        Units after a space follow each other, and only their first id begins with a space.
+        Units without white space get a line feed between them, which is an id of its own.
         """
-        if all(w and not w[-1].isspace() for w in words):
-            ids = self._coded([" " + " ".join(words)])[0]
+        if spaced:
+            ids = self._coded(["".join(units)])[0]
             starts = np.flatnonzero(self.spaced[ids])
-            if len(starts) == len(words):
+            if len(starts) == len(units) and starts[0] == 0:
                 return ids, np.diff(np.append(starts, len(ids)))
-        each = self._coded([" " + w for w in words])
+        else:
+            ids = self._coded(["\n".join(units)])[0]
+            between = ids == self.feed
+            ends = np.append(np.flatnonzero(between), len(ids))
+            if len(ends) == len(units):
+                return ids[~between], np.diff(ends, prepend=-1) - 1
+        return self._singly(units)
+
+    def _singly(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = self._coded(units)
         return np.concatenate(each), np.array([len(i) for i in each], np.int64)
 
     def _learn(self) -> None:
-        """Encode the words that got a number since the last time."""
-        known, found = [], []
-        new = self.after.new
-        ends = {i for i, w in enumerate(new) if not w or w[-1].isspace()}
-        for words in ([w for i, w in enumerate(new) if i not in ends], [new[i] for i in sorted(ends)]):
-            if words:
-                known.append([self.after[w] for w in words])
-                found.append(self._after_space(words))
-        if self.first.new:
-            each = self._coded(self.first.new)
-            known.append([self.first[w] for w in self.first.new])
-            found.append((np.concatenate(each), np.array([len(i) for i in each], np.int64)))
+        """Encode the units that got a number since the last time."""
+        new, at = self.numbers.new, len(self.size)
+        kinds: tuple[list[int], list[int], list[int]] = ([], [], [])
+        for i, unit in enumerate(new):
+            words = unit.split()
+            if len(words) == 1 and words[0] == unit:
+                kinds[1].append(i)
+            elif len(words) == 1 and " " + words[0] == unit:
+                kinds[0].append(i)
+            else:
+                kinds[2].append(i)
+        found, order = [], [i for kind in kinds for i in kind]
+        for kind, encode in zip(kinds, (lambda u: self._together(u, True), lambda u: self._together(u, False), self._singly), strict=True):
+            if kind:
+                found.append(encode([new[i] for i in kind]))
         if found:
-            number = np.concatenate([np.array(k, np.int64) for k in known])
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
             size = np.concatenate([f[1] for f in found])
             start = len(self.ids) + np.cumsum(size) - size
-            order = np.argsort(number)
-            self.size, self.start = np.concatenate((self.size, size[order])), np.concatenate((self.start, start[order]))
+            assert at + len(new) == len(self.numbers)
+            self.size, self.start = np.concatenate((self.size, size[place])), np.concatenate((self.start, start[place]))
             self.ids = np.concatenate((self.ids, *[f[0] for f in found]))
-        self.after.new.clear()
-        self.first.new.clear()
+        new.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and n + 1 offsets."""
-        if len(self.size) > CACHE_WORDS:
+        return self.encode_flat(*flat(pa.array(texts, pa.large_string())))
+
+    def encode_flat(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that lie one after the other, and n + 1 offsets."""
+        if len(self.size) > CACHE_WORDS or len(self.ids) > 8 * CACHE_WORDS or not self.cuts:
             self.clear()
-        first, after = self.first.__getitem__, self.after.__getitem__
-        index: list[int] = []
-        ends = [0]
-        for t in texts:
-            if _MIXED.search(t):
-                index.extend(map(first, _CUT.split(t)))
-            else:
-                words = iter(t.split(" "))
-                index.append(first(next(words)))
-                index.extend(map(after, words))
-            ends.append(len(index))
+        begins = unit_starts(data) if self.cuts else np.zeros(len(data), bool)
+        begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        at = np.append(np.flatnonzero(begins), len(data))
+        units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+        coded = units.dictionary_encode()
+        number = np.fromiter(map(self.numbers.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
         self._learn()
-        index = np.array(index, np.int64)
+        index = number[coded.indices.to_numpy()]
         size = self.size[index]
-        return self.ids[_places(self.start[index], size)], np.concatenate(([0], np.cumsum(size)))[ends]
+        stops = np.concatenate(([0], np.cumsum(size)))
+        return self.ids[_places(self.start[index], size)], stops[np.searchsorted(at, offsets)]
 
 
-_MIXED = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+def unit_starts(data: np.ndarray) -> np.ndarray:
+    """Places of UTF-8 bytes where a unit begins; see ``WordEncoder``.
+
+    No cut is made after characters that may be white space beyond ASCII.
+    """
+    starts = np.zeros(len(data), bool)
+    if len(data) < 2:
+        return starts
+    kind = _KIND[data]
+    before, here = kind[:-1], kind[1:]
+    starts[1:] = (before >= 1) & (before <= 3) & (here == 5)
+    starts[2:] |= starts[1:-1] & (data[1:-1] == 10) & (here[1:] >= 1) & (here[1:] <= 3)
+    starts[1:] |= (before == 1) & (here == 2)
+    wide = np.flatnonzero((before == 4) & (here == 5)) + 1
+    if len(wide):
+        second, third = data[wide - 2], data[np.maximum(wide - 3, 0)]
+        space = (second == 0xC2) | ((third == 0xE2) & ((second == 0x80) | (second == 0x81)))
+        space |= ((third == 0xE1) & (second == 0x9A)) | ((third == 0xE3) & (second == 0x80))
+        starts[wide] = ~space
+    return starts
+
+
+#: Kinds of bytes: 1 ASCII letter, 2 mark that ends a word, 3 other visible ASCII, 4 beyond
+#: ASCII, 5 white space, 0 other controls.
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127], _KIND[128:] = 3, 4
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[[ord(c) for c in ".,;:!?"]] = 2
+_KIND[[32, *range(9, 14)]] = 5
 
 
 @lru_cache(maxsize=2)
@@ -146,55 +190,76 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _frequent_pairs(symbols: np.ndarray, joint: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of frequent pairs and their counts; ``joint``: places of a pair in a document."""
-    left, right = symbols[joint].astype(np.int64), symbols[joint + 1].astype(np.int64)
-    code = (left << 32) | right
-    slot = ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    often = np.bincount(slot, minlength=1 << 20) >= LEAST_PAIRS
-    pairs, counts = np.unique(code[often[slot]], return_counts=True)
-    keep = counts >= LEAST_PAIRS
-    return pairs[keep], counts[keep]
+def _slots(codes: np.ndarray) -> np.ndarray:
+    """A place below 2**20 for each pair."""
+    if codes.dtype == np.uint32:
+        return (codes * np.uint32(0x9E3779B1)) >> np.uint32(12)
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.uint32)
+
+
+def _chosen(pairs: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
+    """Pairs that are replaced together, sorted: from the most frequent on, if none can overlap another."""
+    lefts, rights, chosen = set(), set(), []
+    for code in pairs[np.lexsort((pairs, -counts))].tolist():
+        a, b = code >> bits, code & ((1 << bits) - 1)
+        if a not in rights and b not in lefts and (a != b or (a not in lefts and b not in rights)):
+            lefts.add(a)
+            rights.add(b)
+            chosen.append(code)
+    return np.sort(np.array(chosen, pairs.dtype))
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, n + 1 document offsets into them, and rules (two symbols each)."""
-    symbols = ids.astype(np.int32)
+    symbols = ids.astype(np.uint32)
     last = np.zeros(len(ids), bool)
     last[ends[1:][ends[1:] > ends[:-1]] - 1] = True
+    # Places whose pair may be frequent: counts of pairs of old symbols only fall.
+    live = ~last
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(ROUNDS):
-        joint = np.flatnonzero(~last[:-1])
-        pairs, counts = _frequent_pairs(symbols, joint)
-        lefts, rights, chosen = set(), set(), []
-        for p in np.lexsort((pairs, -counts)).tolist():
-            code = int(pairs[p])
-            a, b = code >> 32, code & 0xFFFFFFFF
-            if made + len(chosen) < MOST_RULES and a != b and a not in rights and b not in lefts:
-                lefts.add(a)
-                rights.add(b)
-                chosen.append(code)
-        if not chosen:
+    while True:
+        bits = 16 if first_rule + made <= 1 << 16 else 32
+        kind = np.uint32 if bits == 16 else np.uint64
+        joint = np.flatnonzero(live)
+        codes = (symbols[joint].astype(kind, copy=False) << kind(bits)) | symbols[joint + 1]
+        slots = _slots(codes)
+        often = (np.bincount(slots, minlength=1 << 20) >= LEAST_PAIRS)[slots]
+        live[joint[~often]] = False
+        joint, codes, slots = joint[often], codes[often], slots[often]
+        pairs, counts = np.unique(codes, return_counts=True)
+        keep = counts >= LEAST_PAIRS
+        if not keep.any():
             break
-        chosen = np.sort(np.array(chosen, np.int64))
-        is_left, is_right = np.zeros(first_rule + made, bool), np.zeros(first_rule + made, bool)
-        is_left[chosen >> 32], is_right[chosen & 0xFFFFFFFF] = True, True
-        joint = joint[is_left[symbols[joint]] & is_right[symbols[joint + 1]]]
-        code = (symbols[joint].astype(np.int64) << 32) | symbols[joint + 1]
+        chosen = _chosen(pairs[keep], counts[keep], bits)
+        wanted = np.zeros(1 << 20, bool)
+        wanted[_slots(chosen)] = True
+        wanted = wanted[slots]
+        joint, code = joint[wanted], codes[wanted]
         at = np.minimum(np.searchsorted(chosen, code), len(chosen) - 1)
         hit = chosen[at] == code
         joint, at = joint[hit], at[hit]
+        # Pairs of one symbol overlap in runs; every second place counts, from the left.
+        apart = np.diff(joint, prepend=-2) > 1
+        if not apart.all():
+            run = np.maximum.accumulate(np.where(apart, joint, 0))
+            even = (joint - run) % 2 == 0
+            joint, at = joint[even], at[even]
         symbols[joint] = first_rule + made + at
         last[joint] |= last[joint + 1]
+        live[joint] = True
+        live[np.maximum(joint - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[joint + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        rules.append(np.stack((chosen >> 32, chosen & 0xFFFFFFFF), axis=1))
+        # The place before a new symbol may have been the right side of the one before it.
+        live[np.maximum(joint - 2, 0)] |= ~keep[np.maximum(joint - 1, 0)]
+        symbols, last, live = symbols[keep], last[keep], live[keep]
+        live &= ~last
+        rules.append(np.stack((chosen >> kind(bits), chosen & kind((1 << bits) - 1)), axis=1).astype(np.int64))
         made += len(chosen)
     symbol_ends = np.zeros(len(ends), np.int64)
     symbol_ends[1:] = np.concatenate(([0], np.flatnonzero(last) + 1))[np.cumsum(ends[1:] > ends[:-1])]
-    return symbols, symbol_ends, np.concatenate(rules).astype(np.int32) if rules else np.zeros((0, 2), np.int32)
+    return symbols, symbol_ends, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
 class Grammar:
@@ -242,22 +307,36 @@ def _lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
 
 def _block_row(number: int, doc_ids: list, ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> pa.RecordBatch:
     symbols, symbol_ends, rules = repair(ids, ends, vocabulary)
-    narrow = vocabulary + len(rules) <= 1 << 16
+    bits = max(16, int(vocabulary + len(rules) - 1).bit_length())
     values = [
         [number], [doc_ids], [ends[1:].tolist()], [symbol_ends[1:].tolist()], [len(ids)], [vocabulary],
         [rules.astype("<u4").tobytes()], [_lengths(rules, vocabulary).astype("<u4").tobytes()],
-        [symbols.astype("<u2" if narrow else "<u4").tobytes()], [2 if narrow else 4],
+        [_packed(symbols, bits)], [bits],
     ]
     types = [pa.int32(), *[pa.list_(pa.int64())] * 3, pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.int32()]
     names = [c.split()[0] for c in _BLOCK.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names=names)
 
 
+def _packed(symbols: np.ndarray, bits: int) -> bytes:
+    """The lower 16 bits of all symbols, then each higher bit of all of them."""
+    planes = [np.packbits((symbols >> b & 1).astype(bool)).tobytes() for b in range(16, bits)]
+    return b"".join([(symbols & 0xFFFF).astype("<u2").tobytes(), *planes])
+
+
+def _unpacked(packed: bytes, n: int, bits: int) -> np.ndarray:
+    symbols = np.frombuffer(packed, "<u2", n).astype(np.int64)
+    planes = np.frombuffer(packed, np.uint8)[2 * n :].reshape(bits - 16, (n + 7) // 8)
+    for b, plane in enumerate(planes, 16):
+        symbols |= np.unpackbits(plane, count=n).astype(np.int64) << b
+    return symbols
+
+
 def block_grammar(block: dict) -> tuple[Grammar, np.ndarray]:
     """Grammar and symbols of a stored block."""
     rules = np.frombuffer(block["rules"], "<u4").astype(np.int64).reshape(-1, 2)
     grammar = Grammar(rules, block["first_rule"], np.frombuffer(block["lengths"], "<u4"))
-    return grammar, np.frombuffer(block["symbols"], f"<u{block['width']}")
+    return grammar, _unpacked(block["symbols"], block["symbol_ends"][-1], block["bits"])
 
 
 def document_ids(block: dict, document: int) -> np.ndarray:
@@ -295,8 +374,8 @@ def write_ids(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "t
         vocabulary = encoder.tokenizer.get_vocab_size()
         number, held, doc_ids, parts, ends = 0, 0, [], [], [np.zeros(1, np.int64)]
         for batch in batches:
-            for part, _, _ in text_slices(batch, "text"):
-                found, bounds = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+            for part, data, offsets in text_slices(batch, "text", BLOCK_TEXT):
+                found, bounds = encoder.encode_flat(data, offsets)
                 with_end = np.insert(found, bounds[1:], END_ID)
                 doc_ids += part.column(0).to_pylist()
                 parts.append(with_end)
@@ -347,4 +426,7 @@ def read_ids(stored: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                 )
 
+    # Blocks are megabytes each, so they stay where they are while their numbers are few.
+    if starts.count() <= BROADCAST_BLOCKS:
+        starts = F.broadcast(starts)
     return stored.join(starts, ["part", "block"]).mapInArrow(decoded, schema)

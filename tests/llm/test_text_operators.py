@@ -264,6 +264,37 @@ def test_word_encoder_equals_library():
             assert ids[ends[i] : ends[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_word_encoder_equals_library_on_random_texts():
+    rng = np.random.default_rng(3)
+    parts = ["a", "Zx", "the", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", ".", ",", ";", ":", "!", "?", "'", "'s", "'ll", "-", "7", "é", "日",
+             "\u00a0", "\u0085", "\u2003", "\u2028", "\u3000", "\u1680", "\u200b", "\u2019", "<|endoftext|>", "<|endo", "🙂"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(6000)]
+    encoder, tokenizer = grammar.WordEncoder(BYTES), Tokenizer.from_file(BYTES)
+    assert encoder.cuts
+    ids, ends = encoder.encode(texts)
+    for i, coded in enumerate(tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        assert ids[ends[i] : ends[i + 1]].tolist() == coded.ids, repr(texts[i])
+
+
+@pytest.mark.parametrize("first_rule", [5, (1 << 16) - 3, 1 << 17])
+def test_repair_ends_without_frequent_pairs(first_rule, monkeypatch):
+    monkeypatch.setattr(grammar, "LEAST_PAIRS", 3)
+    rng = np.random.default_rng(first_rule)
+    for n in (1, 7, 400, 3000):
+        ids = np.where(rng.random(n) < 0.4, 2, rng.integers(0, 5, n))
+        ends = np.concatenate(([0], np.sort(rng.integers(0, n, n // 40)), [n]))
+        symbols, symbol_ends, rules = grammar.repair(ids, ends, first_rule)
+        model = grammar.Grammar(rules, first_rule)
+        bits = max(16, int(first_rule + len(rules) - 1).bit_length())
+        assert np.array_equal(grammar._unpacked(grammar._packed(symbols, bits), len(symbols), bits), symbols)
+        places, counts = [], Counter()
+        for a, b, c, d in zip(symbol_ends[:-1], symbol_ends[1:], ends[:-1], ends[1:], strict=True):
+            assert np.array_equal(model.expand(symbols[a:b]), ids[c:d])
+            places += zip(symbols[a : b - 1].tolist(), symbols[a + 1 : b].tolist(), strict=True)
+        counts.update(places)
+        assert max(counts.values(), default=0) < 3
+
+
 # near duplicates
 
 
