@@ -241,7 +241,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Add
 
 
 def with_quality(docs: DataFrame, model: AdditiveModel, name: str = "score") -> DataFrame:
-    """``docs`` with the score of the whole text; a null text scores as an empty one."""
+    """``docs`` with the score of the whole text; a null text scores as an empty one.
+
+    A column of that name in ``docs`` gives way: the score replaces it.
+    """
+    docs = docs.drop(name)
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

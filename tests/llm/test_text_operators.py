@@ -519,4 +519,7 @@ def test_quality_on_awkward_rows(awkward, nothing, spark):
         model = gam.fit_quality(awkward, some)
         rows = gam.with_quality(awkward, model, "_score").collect()
         assert len(rows) == len(AWKWARD) and all(0 <= r["_score"] <= 1 for r in rows)
+        for name in ("score", "SCORE"):
+            clash = gam.with_quality(awkward.withColumn(name, F.lit("old")), model)
+            assert Counter(r.score for r in clash.select("score").collect()) == Counter(r["_score"] for r in rows)
     assert gam.with_quality(nothing, gam.fit_quality(nothing, labels), "_score").count() == 0
