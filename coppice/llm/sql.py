@@ -52,9 +52,12 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node =
 
 
 def path_templates_sql(
-    rules: list[tuple[str, str]], depth: int, least_pages: int, least_share: int, apart: float, weight: float, least_purity: float
+    rules: list[tuple[str, str]], depth: int, least_pages: int, apart: float, weight: float, least_purity: float
 ) -> str:
-    """The URL filter: a step for each level of the tree, then one for each level of merging."""
+    """The URL filter: a step for each level of the tree, then one for each level of merging.
+
+    It fails where ``least_pages`` pages go deeper than ``depth`` levels together.
+    """
     longest = sorted(rules, key=lambda r: -len(r[1]))
 
     def fits(text: str) -> str:
@@ -69,26 +72,28 @@ def path_templates_sql(
         "whole AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
         "'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut)",
         "listed AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS every FROM whole)",
-        f"p0 AS (SELECT page_id, host, path, every[1:{depth}] AS segments, len(every) > {depth} AS deeper, '' AS template, "
+        f"p0 AS (SELECT page_id, host, path, every AS segments, '' AS template, "
         "coalesce(labelled, 0) AS labelled, coalesce(good, 0) AS good FROM listed LEFT JOIN known ON doc_id = page_id)",
     ]
     for d in range(depth):
         steps += [
             f"c{d} AS (SELECT host, template, segments[{d + 1}] AS segment, count(*) AS n FROM p{d} WHERE len(segments) > {d} GROUP BY ALL)",
-            f"l{d} AS (SELECT host, template, segment FROM c{d} JOIN (SELECT host, template, sum(n) AS total FROM c{d} GROUP BY ALL) "
-            f"USING (host, template) WHERE n >= {least_pages} AND n * {least_share} >= total)",
-            f"p{d + 1} AS (SELECT p.* REPLACE (CASE WHEN len(p.segments) <= {d} THEN p.template "
-            f"ELSE p.template || '/' || coalesce(l.segment, '*') END AS template) FROM p{d} p LEFT JOIN l{d} l "
-            f"ON l.host = p.host AND l.template = p.template AND l.segment = p.segments[{d + 1}])",
+            f"f{d} AS (SELECT host, template FROM c{d} GROUP BY ALL HAVING sum(n) < {least_pages})",
+            f"p{d + 1} AS (SELECT p.* REPLACE (CASE WHEN f.host IS NOT NULL AND len(p.segments) > {d} THEN p.segments[1:{d + 1}] ELSE p.segments END AS segments, "
+            f"CASE WHEN len(p.segments) <= {d} THEN p.template WHEN f.host IS NOT NULL THEN p.template || '/**' "
+            f"ELSE p.template || '/' || coalesce(c.segment, '*') END AS template) FROM p{d} p "
+            f"LEFT JOIN f{d} f ON f.host = p.host AND f.template = p.template LEFT JOIN c{d} c "
+            f"ON c.n >= {least_pages} AND c.host = p.host AND c.template = p.template AND c.segment = p.segments[{d + 1}])",
         ]
     steps += [
-        f"placed AS (SELECT * REPLACE (CASE WHEN deeper THEN template || '/**' ELSE template END AS template) FROM p{depth})",
+        f"placed AS (SELECT * REPLACE (CASE WHEN len(segments) > {depth} THEN error('more than {depth} levels') ELSE template END AS template) "
+        f"FROM p{depth})",
         "o AS (SELECT CASE WHEN sum(labelled) > 0 THEN sum(good)::double / sum(labelled)::double ELSE 1.0::double END AS overall FROM placed)",
         "t0 AS (SELECT host, template, sum(labelled)::double AS labelled, sum(good)::double AS good, '' AS branch, "
         "CASE WHEN template = '' THEN [] ELSE string_split(substr(template, 2), '/') END AS parts FROM placed GROUP BY ALL)",
     ]
     smoothed = f"(g + {weight}::double * overall) / (l + {weight}::double)"
-    for d in range(depth + 1):
+    for d in range(depth):
         steps += [
             f"s{d} AS (SELECT *, {smoothed} AS purity FROM (SELECT host, branch, parts[{d + 1}] AS part, sum(labelled) AS l, sum(good) AS g "
             f"FROM t{d} WHERE len(parts) > {d} GROUP BY ALL), o)",
@@ -101,7 +106,7 @@ def path_templates_sql(
             f"t{d + 1} AS (SELECT t.* REPLACE (CASE WHEN n.part IS NULL THEN t.branch ELSE t.branch || '/' || n.name END AS branch) "
             f"FROM t{d} t LEFT JOIN n{d} n ON n.host = t.host AND n.branch = t.branch AND n.part = t.parts[{d + 1}])",
         ]
-    last = f"t{depth + 1}"
+    last = f"t{depth}"
     steps.append(
         f"pure AS (SELECT host, branch, {smoothed} AS purity FROM (SELECT host, branch, sum(labelled) AS l, sum(good) AS g FROM {last} GROUP BY ALL), o)"
     )
@@ -114,7 +119,7 @@ def path_templates_sql(
 
 ORACLES["op9_path_templates"] = path_templates_sql(
     [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")],
-    depth=8, least_pages=5, least_share=50, apart=1.96, weight=20.0, least_purity=0.8,
+    depth=8, least_pages=5, apart=1.96, weight=20.0, least_purity=0.8,
 )
 
 _CRC32 = """xor(4294967295, list_reduce(

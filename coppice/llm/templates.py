@@ -1,7 +1,8 @@
 """URL filter: rules for hosts and paths, else the purity of a page's path template.
 
 For each host the paths form a tree. Level by level, a segment stays as it is if it has
-enough pages, however many its parent has; all others become one wildcard. Sibling branches whose labelled
+enough pages, however many its parent has; all others become one wildcard. Where fewer pages
+than that go on, whatever follows is one wildcard too. Sibling branches whose labelled
 purity does not differ significantly are merged. What is left is rejected if its purity,
 smoothed towards that of all labelled pages, is too low.
 """
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from coppice.llm.tables import Stored
 
-#: A literal segment has so many pages below its parent.
+#: A literal segment has so many pages below its parent; so many go on to a next level.
 LEAST_PAGES = 5
-#: Deeper than this, a branch with fewer pages is one wildcard; ``template`` shows so many levels.
+#: Levels that ``template`` shows.
 MAX_DEPTH = 8
 #: Standard errors that separate branches; weight of the overall purity; least purity.
 APART, WEIGHT, LEAST_PURITY = 1.96, 20.0, 0.8
@@ -58,14 +59,12 @@ def _with_templates(pages: DataFrame) -> DataFrame:
         children = here.groupBy("host", "template", "segment").agg(F.count(F.lit(1)).alias("n"))
         literal = children.filter(F.col("n") >= LEAST_PAGES).select("host", "template", "segment", F.lit(True).alias("literal"))
         following = here.join(literal, ["host", "template", "segment"], "left")
-        part = F.when(F.col("literal"), F.col("segment")).otherwise("*")
-        if at >= MAX_DEPTH:
-            # Nothing below so few pages is literal: they end here.
-            few = children.groupBy("host", "template").agg((F.sum("n") < LEAST_PAGES).alias("few")).filter("few")
-            following = following.join(few, ["host", "template"], "left")
-            part = F.when(F.col("few"), "**").otherwise(part)
-            ends = F.when(F.col("few"), F.slice("segments", 1, at + 1)).otherwise(F.col("segments"))
-            following = following.withColumn("segments", ends)
+        # Nothing below so few pages is literal: they end here, at any depth.
+        few = children.groupBy("host", "template").agg((F.sum("n") < LEAST_PAGES).alias("few")).filter("few")
+        following = following.join(few, ["host", "template"], "left")
+        part = F.when(F.col("few"), "**").when(F.col("literal"), F.col("segment")).otherwise("*")
+        ends = F.when(F.col("few"), F.slice("segments", 1, at + 1)).otherwise(F.col("segments"))
+        following = following.withColumn("segments", ends)
         following = following.withColumn("template", F.concat("template", F.lit("/"), part))
         level, at = Stored(following.select(*pages.columns), "templates").df, at + 1
         placed = placed.unionByName(level.filter(F.size("segments") == at))

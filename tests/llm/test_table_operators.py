@@ -3,12 +3,16 @@
 import math
 from collections import Counter, defaultdict
 
+import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from coppice.llm import histsort, normsearch, templates
 from coppice.llm.queries import QUERIES, URL_RULES
+from coppice.llm.sql import path_templates_sql
 from coppice.llm.tables import table
 from tests.conftest import DATA
 from tests.llm.conftest import AWKWARD
@@ -171,6 +175,28 @@ def test_templates_of_many_sections_and_deep_paths(spark):
     assert len({r.branch for r in rows if r.host == "s.org"}) == 2
 
 
+def test_templates_equal_sql_on_many_sections_and_levels(spark):
+    rng = np.random.default_rng(9)
+    urls = [f"http://s.org/section{i % 80}/{i}.html" for i in range(1600)]
+    for i in range(900):
+        parts = rng.choice(["a", "b", "c", "d"], rng.integers(0, 8), p=[0.6, 0.25, 0.1, 0.05]).tolist()
+        urls.append(f"https://h{i % 3}.net/" + "/".join([*parts, str(i)] if i % 4 else parts))
+    urls += [f"http://few{i // 3}.org/x/{i}/" + "y/" * 20 for i in range(9)] + [None, "no host"]
+    pages = pd.DataFrame({"page_id": range(len(urls)), "url": urls})
+    bad = [("section7/" in (u or "") or "/b/a" in (u or "")) != (rng.random() < 0.1) for u in urls]
+    labels = pd.DataFrame({"doc_id": range(len(urls)), "quality": [1 - int(b) for b in bad]})[: len(urls) - 300]
+    with duckdb.connect() as db:
+        db.register("pages", pages)
+        db.register("labels", labels)
+        query = path_templates_sql(URL_RULES, depth=10, least_pages=5, apart=1.96, weight=20.0, least_purity=0.8)
+        expected = db.sql(f"SELECT page_id, rule, verdict FROM ({query}) ORDER BY page_id").fetchall()
+    made = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    known = spark.createDataFrame([(int(d), int(q)) for d, q in labels.values.tolist()], "doc_id long, quality int")
+    rows = templates.judge_urls(made, known, URL_RULES).select("page_id", "rule", "verdict").orderBy("page_id").collect()
+    assert [tuple(r) for r in rows] == expected
+    assert len({v for _, r, v in expected if r is None}) == 2
+
+
 # pipeline
 
 
