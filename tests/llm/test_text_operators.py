@@ -456,6 +456,63 @@ def test_chunk_borders_follow_insertions():
     assert len(pieces_of[0] & pieces_of[1]) >= len(pieces_of[0]) - 2
 
 
+def plain_chunks(text):
+    """Chunks by the gear hash of each place, byte by byte."""
+    data, out, last = text.encode(), [], 0
+    gear = [int(g) for g in chunks.GEAR]
+    while last < len(data):
+        for stop in range(last + chunks.LEAST_CHUNK, last + chunks.MOST_CHUNK + 1):
+            if stop >= len(data):
+                break
+            value = sum(gear[data[stop - 1 - j]] << j for j in range(chunks.GEAR_BYTES)) % (1 << 32)
+            if value >> (32 - chunks.GEAR_BITS) == 0 and data[stop] & 0xC0 != 0x80:
+                break
+        while stop < len(data) and data[stop] & 0xC0 == 0x80:
+            stop += 1
+        out.append(data[last:stop])
+        last = stop
+    return out
+
+
+def plain_dedup(rows):
+    """Text, bytes, removed bytes and spans of each row, by sets of whole chunks."""
+    cut = [(-1 if i is None else i, plain_chunks(t or "")) for i, t in rows]
+    owner = {}
+    for key, parts in cut:
+        for part in parts:
+            owner[part] = min(owner.get(part, key), key)
+    out = []
+    for (i, t), (key, parts) in zip(rows, cut, strict=True):
+        runs = []  # neighbours that go, or stay, together
+        for n, part in enumerate(parts):
+            gone = owner[part] != key or part in parts[:n]
+            if runs and runs[-1][0] == gone:
+                runs[-1][1] += part
+            else:
+                runs.append([gone, part])
+        removed = [r for gone, r in runs if gone and len(r) >= chunks.LEAST_RUN]
+        kept = b"".join(r for gone, r in runs if not gone or len(r) < chunks.LEAST_RUN)
+        size = sum(map(len, parts))
+        out.append((i, None if t is None else kept.decode(), size, sum(map(len, removed)), len(removed)))
+    return out
+
+
+def test_chunks_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    passages = [prose(int(n), int(n)) for n in rng.integers(5, 120, 12)] + ["é日🙂ñ" * 90, "x" * 1500, "ab " * 300]
+    rows = []
+    for i in range(90):
+        parts = []
+        for k in range(rng.integers(0, 5)):
+            parts += [passages[rng.integers(0, len(passages))], prose(int(rng.integers(1, 40)), 1000 + 10 * i + k)]
+        rows.append((None if i % 30 == 7 else i - i % 15 % 2, " ".join(parts)))
+    rows += [(500, None), (501, ""), (3, passages[0]), (3, passages[0]), (None, passages[1])]
+    made = chunks.dedup_chunks(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    got = [(r.doc_id, r.text, r.n_bytes, r.n_removed, r.n_spans) for r in made.collect()]
+    assert Counter(got) == Counter(plain_dedup(rows))
+    assert sum(r[3] for r in got) > 1000
+
+
 def test_chunks_on_awkward_rows(awkward, nothing):
     cut = chunks.dedup_chunks(awkward)
     assert cut.columns == [*awkward.columns, "_n_bytes", "_n_removed", "n_spans"]
