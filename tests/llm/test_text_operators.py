@@ -421,6 +421,45 @@ def test_pieces_with_dropout(awkward, nothing):
     assert pieces.encode_pieces(nothing, PIECES).count() == 0
 
 
+def plain_agenda(model, text, key, dropout):
+    """Ids of one text: the best pair that is not skipped merges, the leftmost of equal ones."""
+    names = {model.id_to_piece(i): i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+    mask, below = 2**64 - 1, min(int(dropout * 2**64), 2**64 - 1)
+
+    def skipped(start, middle, stop):
+        x = (key + start * 0x9E3779B97F4A7C15 + middle * 0xC2B2AE3D27D4EB4F + stop * 0x165667B19E3779F9) & mask
+        for _ in range(2):
+            x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & mask
+        return x ^ (x >> 32) < below
+
+    parts = [(c.replace(" ", "\u2581") if c != "\u2581" else "\0", n, n + 1) for n, c in enumerate(" " + text)] if text else []
+    while True:
+        best = None
+        for n, ((a, i, j), (b, _, k)) in enumerate(zip(parts, parts[1:])):
+            piece = names.get(a + b) if a in names and b in names else None
+            if piece is not None and not skipped(i, j, k) and (best is None or model.get_score(piece) > best[0]):
+                best = model.get_score(piece), n
+        if best is None:
+            break
+        n = best[1]
+        parts[n : n + 2] = [(parts[n][0] + parts[n + 1][0], parts[n][1], parts[n + 1][2])]
+    out = []
+    for a, i, _ in parts:
+        raw = (" " + text)[i].encode() if a not in names else b""
+        out += [model.piece_to_id(f"<0x{c:02X}>") for c in raw] or [names[a]]
+    return out
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
+def test_pieces_with_dropout_equal_plain_agenda(dropout):
+    model, tables = sentencepiece.SentencePieceProcessor(model_file=PIECES), pieces.piece_model(PIECES)
+    texts = [prose(12, 8), "", "  two  spaces ", "Größe 日本語🙂\u2581x", "internationalisation" * 4, "aaaaaaaaaaaaaaaa a", "\n\t tab"]
+    keys = np.random.default_rng(4).integers(0, 1 << 64, len(texts), np.uint64)
+    ids, ends = pieces.encode_texts(tables, texts, keys, dropout)
+    for n, (text, key) in enumerate(zip(texts, keys.tolist(), strict=True)):
+        assert ids[ends[n] : ends[n + 1]].tolist() == plain_agenda(model, text, key, dropout), repr(text)
+
+
 def test_heap_equals_blocks(monkeypatch):
     model = pieces.piece_model(PIECES)
     texts, keys = [prose(300, 5), "Größe " * 30], np.array([5, 6], np.uint64)
