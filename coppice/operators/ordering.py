@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
@@ -132,6 +133,14 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
+@dataclass
+class MiddleSketch:
+    """What a first pass knows of numeric columns: how many values, and bounds of the middle."""
+
+    sizes: dict[str, int]
+    bounds: dict[str, tuple]
+
+
 def order_statistics(
     df: DataFrame,
     columns: Sequence[str],
@@ -145,10 +154,34 @@ def order_statistics(
     narrow an interval around the ranks, for all columns at once, until it holds few
     rows; only those are counted per value and walked in order.
     """
+    return order_statistics_and_counts(df, columns, {}, ranks, window_rows, sketch_error)[0]
+
+
+def order_statistics_and_counts(
+    df: DataFrame,
+    columns: Sequence[str],
+    conditions: Mapping[str, Column],
+    ranks: dict[str, Sequence[int]] | None = None,
+    window_rows: int = 1_000_000,
+    sketch_error: float = 0.001,
+    sketch: MiddleSketch | None = None,
+) -> tuple[dict[str, list], dict[str, int]]:
+    """``order_statistics``, and in the same pass how many rows meet each of ``conditions``.
+
+    A ``sketch`` of the columns' middle saves the passes that count values and find the first
+    interval; its bounds are checked by counts like any others.
+    """
     types = dict(df.dtypes)
     values = {c: missing_to_null(col(c), types[c]) for c in columns}
-    base = df.select(*[v.alias(c) for c, v in values.items()])
-    sizes = base.agg(*[F.count(col(c)).alias(c) for c in columns]).first().asDict()
+    met = [f"_met{k}" for k in range(len(conditions))]
+    base = df.select(
+        *[v.alias(c) for c, v in values.items()],
+        *[F.coalesce(condition, F.lit(False)).alias(m) for condition, m in zip(conditions.values(), met)],
+    )
+    if sketch is not None:
+        sizes = sketch.sizes
+    elif columns:
+        sizes = base.agg(*[F.count(col(c)).alias(c) for c in columns]).first().asDict()
     wanted: dict[str, list[int]] = {}
     for c in columns:
         n = sizes[c]
@@ -168,19 +201,21 @@ def order_statistics(
         return keep
 
     wide = [c for c in wanted if inside[c] > window_rows]
+    proposed = {c: sketch.bounds[c] for c in wide} if sketch is not None and ranks is None else {}
     while wide:
-        masked = base.select(*[F.when(within(c, interval[c]), col(c)).alias(c) for c in wide])
-        marks = {}
-        for c in wide:
-            low = (min(wanted[c]) - before[c]) / inside[c] - 2 * sketch_error
-            high = (max(wanted[c]) - before[c] + 1) / inside[c] + 2 * sketch_error
-            marks[c] = (max(low, 0.0), min(high, 1.0))
-        points = sorted({p for pair in marks.values() for p in pair})
-        sketched = masked.approxQuantile(wide, points, sketch_error)
-        proposed = {
-            c: tuple(quantiles[points.index(p)] for p in marks[c])
-            for c, quantiles in zip(wide, sketched)
-        }
+        if not proposed:
+            masked = base.select(*[F.when(within(c, interval[c]), col(c)).alias(c) for c in wide])
+            marks = {}
+            for c in wide:
+                low = (min(wanted[c]) - before[c]) / inside[c] - 2 * sketch_error
+                high = (max(wanted[c]) - before[c] + 1) / inside[c] + 2 * sketch_error
+                marks[c] = (max(low, 0.0), min(high, 1.0))
+            points = sorted({p for pair in marks.values() for p in pair})
+            sketched = masked.approxQuantile(wide, points, sketch_error)
+            proposed = {
+                c: tuple(quantiles[points.index(p)] for p in marks[c])
+                for c, quantiles in zip(wide, sketched)
+            }
         counts = base.agg(
             *[F.count_if(col(c) < F.lit(proposed[c][0])).alias(f"{i}_before") for i, c in enumerate(wide)],
             *[F.count_if(within(c, proposed[c])).alias(f"{i}_inside") for i, c in enumerate(wide)],
@@ -195,10 +230,12 @@ def order_statistics(
                 # Repeated values may keep an interval large; counting folds them.
                 if held > window_rows and shrunk:
                     still_wide.append(c)
-        wide = still_wide
+        wide, proposed = still_wide, {}
 
     if not wanted:
-        return {c: [] for c in columns}
+        # No column has values: conditions are counted alone.
+        counts = base.agg(*[F.count_if(m).alias(m) for m in met]).first() if met else {}
+        return {c: [] for c in columns}, {name: counts[m] for name, m in zip(conditions, met)}
     names = list(wanted)
     whole = {c: types[c] in ("int", "bigint", "smallint", "tinyint") for c in names}
     # Integers keep their type: doubles would merge neighbours beyond 2**53. Bounds compare
@@ -213,6 +250,10 @@ def order_statistics(
                 (value if whole[c] else F.lit(None)).cast("bigint").alias("w"),
             )
         )
+    # Conditions are counted as columns after the others, with one value.
+    for k, m in enumerate(met):
+        one = F.when(F.col(m), F.lit(1).cast("bigint"))
+        entries.append(F.struct(F.lit(len(names) + k).alias("i"), F.lit(None).cast("double").alias("v"), one.alias("w")))
     counted = (
         base.select(F.explode(F.array(*entries)).alias("e"))
         .select("e.*")
@@ -221,7 +262,7 @@ def order_statistics(
         .count()
     )
     if max(inside.values()) > window_rows:
-        counted = _near_ranks(counted, wanted, before)
+        counted = _near_ranks(counted, wanted, before, len(met))
     else:
         counted = counted.withColumns({"part": F.lit(0), "skipped": F.lit(0).cast("bigint")})
     walk = Window.partitionBy("i", "part").orderBy("v", "w")
@@ -234,7 +275,7 @@ def order_statistics(
                 F.col("upto") - F.col("count") <= position
             )
             hits = hit if hits is None else hits | hit
-    found = running.filter(hits).collect()
+    found = running.filter(hits | (F.col("i") >= len(names))).collect()
     result = {c: [] for c in columns}
     for i, c in enumerate(names):
         for rank in wanted[c]:
@@ -244,24 +285,30 @@ def order_statistics(
                 if r["i"] == i and r["upto"] > position >= r["upto"] - r["count"]
             )
             result[c].append(value)
-    return result
+    times = {r["i"] - len(names): r["count"] for r in found if r["i"] >= len(names)}
+    return result, {name: times.get(k, 0) for k, name in enumerate(conditions)}
 
 
 def _near_ranks(
-    counted: DataFrame, wanted: dict[str, list[int]], before: dict[str, int]
+    counted: DataFrame, wanted: dict[str, list[int]], before: dict[str, int], n_conditions: int = 0
 ) -> DataFrame:
     """Of very many ``(i, v, w, count)``, the range partitions that hold the wanted ranks.
 
+    The ``n_conditions`` columns after the wanted ones have one row each, which stays.
+
     ``skipped`` tells how many rows of the column lie in its earlier partitions.
     """
     placed = counted.repartitionByRange("i", "v", "w").withColumn("part", F.spark_partition_id())
     stored = write_scratch(placed, "ranks")
     # One row per column and partition.
     sizes = stored.groupBy("i", "part").agg(F.sum("count").alias("n")).orderBy("i", "part").collect()
-    keep, skipped = [], dict.fromkeys(range(len(wanted)), 0)
+    keep, skipped = [], dict.fromkeys(range(len(wanted) + n_conditions), 0)
     for r in sizes:
         start = skipped[r["i"]]
         skipped[r["i"]] = start + r["n"]
+        if r["i"] >= len(wanted):
+            keep.append((r["i"], r["part"], start))
+            continue
         c = list(wanted)[r["i"]]
         if any(start <= rank - before[c] < start + r["n"] for rank in wanted[c]):
             keep.append((r["i"], r["part"], start))

@@ -734,7 +734,7 @@ def flagship(spark, sf_dir):
     result = flow.run_flow(
         wide_table(spark, sf_dir), sampling.tag_split(columns.col(KEY), 1), flow.EXACT_FILL, max_depth=TREE_DEPTH
     )
-    return result.summary().withColumn("accuracy", F.round("accuracy", 8))
+    return result.kept_summary().withColumn("accuracy", F.round("accuracy", 8))
 
 
 @query
@@ -743,7 +743,7 @@ def vector_flow(spark, sf_dir):
     result = flow.run_vector_flow(
         wide_table(spark, sf_dir), sampling.tag_split(columns.col(KEY), 1), flow.FAST_FILL
     )
-    return result.summary()
+    return result.kept_summary()
 
 
 @query

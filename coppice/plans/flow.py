@@ -34,7 +34,7 @@ from coppice.plans.schemas import (
     VECTOR_COLUMNS,
     WEEKDAYS,
 )
-from coppice.session import write_scratch
+from coppice.session import ScratchTable, write_scratch
 
 LIST_COLUMNS = ["vendor_tag", "vendor_tag_name"]
 
@@ -108,6 +108,18 @@ class FlowResult:
     fill: FillPlan
     model: TreeModel | DecisionTreeClassificationModel
     scored: DataFrame
+    stored: ScratchTable | None = None
+
+    def drop(self) -> None:
+        """Delete the stored rows that ``scored`` reads."""
+        if self.stored is not None:
+            self.stored.drop()
+
+    def kept_summary(self) -> DataFrame:
+        """``summary`` as a table of its own; the stored rows are deleted."""
+        kept = write_scratch(self.summary(), "summary")
+        self.drop()
+        return kept
 
     def summary(self) -> DataFrame:
         """Rows and accuracy per part of the split."""
@@ -133,17 +145,18 @@ def run_flow(
 ) -> FlowResult:
     """Train the exhaustive tree on rows tagged ``Train``; score every row.
 
-    ``store`` writes raw and engineered rows to the scratch folder, so that later
-    stages read narrow columns instead of repeating joins and text work.
+    ``store`` writes engineered rows to the scratch folder, so that later stages read narrow
+    columns instead of repeating joins and text work; ``FlowResult.drop`` deletes them. ``rows``
+    are read twice for the fill values and once to engineer them, so they have to repeat.
     """
-    source = write_scratch(rows, "raw") if store else rows
-    filled, fill = _filled(source, split, by_type)
-    shaped = engineer(filled, keep=["split"])
+    filled, fill = _filled(rows, split, by_type)
+    shaped, stored = engineer(filled, keep=["split"]), None
     if store:
-        shaped = write_scratch(shaped, "engineered")
+        stored = ScratchTable(shaped, "engineered")
+        shaped = stored.df
     features = [c for c in ENGINEERED_COLUMNS if c != LABEL]
     model = train_tree(shaped.filter("split = 'Train'"), features, LABEL, max_depth=max_depth)
-    return FlowResult(fill, model, predict(shaped, model))
+    return FlowResult(fill, model, predict(shaped, model), stored)
 
 
 def run_vector_flow(
@@ -155,8 +168,7 @@ def run_vector_flow(
     store: bool = True,
 ) -> FlowResult:
     """As ``run_flow`` with encoded text, feature vectors and the binned MLlib tree."""
-    source = write_scratch(rows, "raw") if store else rows
-    filled, fill = _filled(source, split, by_type)
+    filled, fill = _filled(rows, split, by_type)
     shaped = numeric_features(filled).select("split", *VECTOR_COLUMNS, LABEL)
     codes = learn_text_codes(shaped.filter("split = 'Train'").drop("split"))
     coded = codes.apply(shaped)
@@ -164,9 +176,11 @@ def run_vector_flow(
     numbers = {k: v for k, v in by_type.items() if k != "string"}
     rest = learn_fill(coded.filter("split = 'Train'").drop("split"), numbers, skip=[LABEL])
     coded = rest.apply(coded)
+    stored = None
     if store:
-        coded = write_scratch(coded, "coded")
+        stored = ScratchTable(coded, "coded")
+        coded = stored.df
     train = coded.filter("split = 'Train'")
     model = fit_vector_tree(train, VECTOR_COLUMNS, LABEL, "entropy", max_depth, max_bins)
     scored = predict_vector(coded, model, VECTOR_COLUMNS)
-    return FlowResult(fill, model, scored)
+    return FlowResult(fill, model, scored, stored)

@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 from coppice.operators import sampling, vectortree
@@ -44,6 +46,18 @@ def test_binned_tree_is_close_to_the_exhaustive_one(spark):
         assert abs(exact[part] - binned[part]) < 0.08
 
 
+def test_stored_rows_of_a_flow_are_deleted(spark):
+    wide = write_scratch(wide_table(spark, DATA), "wide")
+    result = flow.run_flow(wide, sampling.tag_split(F.col("`CID X LOC_NUM X VENDOR`")), max_depth=1)
+    expected = {r["split"]: r["n_rows"] for r in result.summary().collect()}
+    assert os.path.isdir(result.stored.path)
+    kept = result.kept_summary()
+    assert not os.path.exists(result.stored.path)
+    assert {r["split"]: r["n_rows"] for r in kept.collect()} == expected
+    loose = flow.run_flow(wide, sampling.tag_split(F.col("`CID X LOC_NUM X VENDOR`")), max_depth=1, store=False)
+    assert loose.stored is None and {r["split"]: r["n_rows"] for r in loose.kept_summary().collect()} == expected
+
+
 def test_vector_tree_keeps_input_columns(spark, table):
     df = table("lineitem").withColumn("y", (F.col("l_quantity") > 20).cast("int"))
     model = vectortree.fit_vector_tree(df, ["l_quantity", "l_tax"], "y", max_depth=2)

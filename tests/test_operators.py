@@ -37,6 +37,52 @@ def test_order_statistics_keep_long_integers(spark):
     assert ordering.order_statistics(df, ["a"], {"a": [4]})["a"] == [2**52 + 4]
 
 
+@pytest.mark.parametrize("window_rows", [10, 10_000])
+def test_order_statistics_and_counts_share_a_pass(spark, window_rows):
+    """Medians and counts of conditions, also with a sketch whose bounds miss the middle."""
+    df = spark.range(2000).select((F.col("id") * 7 % 2000).alias("a"), (F.col("id") % 3).alias("b"))
+    conditions = {"low": F.col("a") < 20, "one": F.col("b") == 1, "never": F.lit(None).cast("boolean")}
+    met = {"low": 20, "one": 667, "never": 0}
+    sketches = [None] + [
+        ordering.MiddleSketch({"a": 2000}, {"a": bounds}) for bounds in [(990, 1010), (0, 10), (0, 1999)]
+    ]
+    for sketch in sketches:
+        found = ordering.order_statistics_and_counts(df, ["a"], conditions, window_rows=window_rows, sketch=sketch)
+        assert found == ({"a": [999, 1000]}, met)
+    assert ordering.order_statistics_and_counts(df, [], conditions) == ({}, met)
+
+
+def test_fill_values_are_learned_together(spark):
+    """Frequent texts and medians of all columns take two passes, whatever the number of columns."""
+    rows = [("a" if i < 61 else f"b{i}", "x" if i < 59 else None, i if i % 4 else None, i / 8) for i in range(100)]
+    df = spark.createDataFrame(rows, "p string, q string, i int, d double").repartition(4)
+    kept = {"p": "a", "d": 49 / 8}
+    assert impute.learn_fill(df, {"string": "frequent", "int": "median_lower", "double": "median_lower"}).values == kept | {"i": 50}
+    mixed = impute.learn_fill(df, {"string": "frequent", "int": "median", "double": "median_approx"})
+    assert mixed.values == kept | {"i": 50.0} and mixed.doubles == ("i",)
+    nothing = df.filter(F.lit(False))
+    assert impute.learn_fill(nothing, {"string": "frequent", "int": "median_lower", "double": "median_approx"}).values == {}
+
+    def jobs(columns: int) -> int:
+        wide = df.select("*", *[F.col("d").alias(f"d{k}") for k in range(columns)])
+        tell = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+        before = tell()
+        impute.learn_fill(wide, {"string": "frequent", "double": "median_lower"})
+        return tell() - before
+
+    assert jobs(1) == jobs(12)
+
+
+def test_frequent_values_of_a_small_share(spark):
+    """One of very many values reaches a twentieth, another nearly; the sketch keeps a few hundred."""
+    rare = F.concat(F.lit("r"), F.col("id").cast("string"))
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 20 == 3, "even").when(F.col("id") % 21 == 1, "fewer").otherwise(rare).alias("t")
+    )
+    assert impute.frequent_values(df, ["t"], 0.05) == {"t": "even"}
+    assert impute.frequent_values(df, ["t"], 0.051) == {}
+
+
 def test_row_index_is_total_and_ordered(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") < 400, 5).otherwise(F.col("id")).alias("k"))
     numbered = ordering.row_index(df.repartition(7), [F.desc("k"), "id"])
