@@ -7,9 +7,9 @@ that work.
 
 A feature with many values is first counted in buckets. The counts give a lower bound
 on the impurity of any candidate inside a bucket; only buckets whose bound does not
-exceed the best candidate already known are counted value by value. The answer is the
-exhaustive one, while the shuffle stays small and no group holds all values of a
-feature.
+exceed the best candidate already known are counted value by value, in segments of
+bounded size where they hold many values. The answer is the exhaustive one, while the
+shuffle stays small and no group holds all values of a feature.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from coppice.functions.numeric import (
 from coppice.operators.columns import col
 from coppice.operators.profile import CATEGORY_VALUES, feature_cell, is_number, type_class
 from coppice.operators.treemodel import ROOT, Node, TreeModel
-from coppice.session import scratch_root
+from coppice.session import ScratchTable, scratch_root
 
 # Impurities equal to this many decimals are ties; the last feature and value win.
 TIE_DIGITS = 10
@@ -51,6 +51,8 @@ EDGE_SAMPLE_ROWS = 500_000
 # Up to this many labels the bound of a bucket looks at all corners of its counts.
 CORNER_LABELS = 4
 ROWS_PER_BUCKET = 500
+# Values of opened buckets that a running count passes in one task, about.
+SEGMENT_VALUES = 1_000_000
 # Levels between two checkpoints of the row-to-node assignment.
 CHECKPOINT_LEVELS = 6
 
@@ -167,6 +169,7 @@ class _Training:
               for i, ((num, text), is_num) in enumerate(zip(cells, self.numeric))],
         )
         self._held: list[DataFrame] = []
+        self._written: list[ScratchTable] = []
 
     # Preparation ----------------------------------------------------------------
 
@@ -188,6 +191,8 @@ class _Training:
     def _release(self, keep: int = 0) -> None:
         while len(self._held) > keep:
             self._held.pop().unpersist()
+        while self._written:
+            self._written.pop().drop()
 
     def _prepare(self) -> None:
         by_label = self.rows.groupBy("shard", "label").count().collect()
@@ -437,12 +442,44 @@ class _Training:
             .filter(may_win)
             .select(
                 "tree", "node", "feature", "bucket", "continuous",
+                total(self._vector("c")).alias("held"),
                 *self._vector("l"), *self._vector("t"),
             )
         )
 
-    def _second_pass(self, rows: DataFrame, opened: DataFrame, sizes: dict[int, int]) -> DataFrame:
-        """Candidates value by value inside the opened buckets."""
+    def _upto(self, counted: DataFrame, keys: Sequence[str], n_values: int) -> DataFrame:
+        """Running counts ``u*`` of ``c*`` along the values of each bucket.
+
+        ``n_values`` bounds the rows of ``counted``. Beyond ``SEGMENT_VALUES`` they are dealt in
+        ranges across all buckets, so that a bucket of any size is walked in segments, which
+        meet by the totals of the segments before.
+        """
+        kinds = range(len(self.labels))
+        along = Window.partitionBy(*keys).orderBy("num", "str")
+        if n_values <= SEGMENT_VALUES:
+            upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            return counted.withColumns({f"u{k}": F.sum(f"c{k}").over(upto) for k in kinds})
+        parts = -(-n_values // SEGMENT_VALUES)
+        placed = counted.repartitionByRange(parts, *keys, "num", "str").withColumn("part", F.spark_partition_id())
+        # Ranges come from a sample, so they are drawn once and stored.
+        stored = ScratchTable(placed, "opened-values")
+        self._written.append(stored)
+        before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        totals = stored.df.groupBy(*keys, "part").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in kinds])
+        offsets = totals.select(*keys, "part", *[F.sum(f"c{k}").over(before).alias(f"o{k}") for k in kinds])
+        # Only a bucket that a border cuts goes on in a further part: at most one for each part.
+        offsets = offsets.filter("o0 IS NOT NULL")
+        inside = Window.partitionBy(*keys, "part").orderBy("num", "str").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        walked = stored.df.withColumns({f"u{k}": F.sum(f"c{k}").over(inside) for k in kinds})
+        joined = walked.join(F.broadcast(offsets) if parts <= BROADCAST_ROWS else offsets, [*keys, "part"], "left")
+        return joined.withColumns({f"u{k}": F.col(f"u{k}") + F.coalesce(f"o{k}", F.lit(0)) for k in kinds})
+
+    def _second_pass(
+        self, rows: DataFrame, opened: DataFrame, sizes: dict[int, int], n_values: int
+    ) -> DataFrame:
+        """Candidates value by value inside the opened buckets, which hold ``n_values`` at most."""
         chosen = [f for f in self.bucketed if f.index in sizes]
         keys = ["tree", "node", "feature", "bucket"]
         detail = self._unpivot(rows, chosen, True).drop("raw").filter("bucket IS NOT NULL")
@@ -451,11 +488,8 @@ class _Training:
             detail = detail.join(F.broadcast(opened.select(*keys)), keys, "left_semi")
         counted = detail.groupBy(*keys, "num", "str").agg(*self._label_counts())
         counted = counted.join(F.broadcast(opened) if few else opened, keys)
-        upto = Window.partitionBy(*keys).orderBy("num", "str").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
         kinds = range(len(self.labels))
-        running = counted.withColumns({f"u{k}": F.sum(f"c{k}").over(upto) for k in kinds})
+        running = self._upto(counted, keys, n_values)
         return running.select(
             "tree", "node", "feature", "num", "str",
             *[F.when(F.col("continuous"), F.col(f"l{k}") + F.col(f"u{k}"))
@@ -474,12 +508,15 @@ class _Training:
             found = opened.limit(LOCAL_BUCKETS + 1).collect()
             if len(found) <= LOCAL_BUCKETS:
                 sizes = Counter(r["feature"] for r in found)
+                n_values = sum(r["held"] for r in found)
                 opened = self.spark.createDataFrame(found, opened.schema) if found else opened
             else:
                 opened = self._hold(opened)
-                sizes = {r["feature"]: r["count"] for r in opened.groupBy("feature").count().collect()}
+                per_feature = opened.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("held").alias("held")).collect()
+                sizes = {r["feature"]: r["n"] for r in per_feature}
+                n_values = sum(r["held"] for r in per_feature)
             if sizes:
-                for key, split in self._best(self._second_pass(rows, opened, sizes)).items():
+                for key, split in self._best(self._second_pass(rows, opened, sizes, n_values)).items():
                     if key not in best or split.order > best[key].order:
                         best[key] = split
         self._release(mark)

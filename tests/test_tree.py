@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coppice.operators.score import accuracy, compiles, predict, predict_each, tree_accuracies, walk
-from coppice.operators.tree import train_tree, train_trees
+from coppice.operators.tree import _Training, train_tree, train_trees
 from coppice.operators.treemodel import TreeModel, model_from_rows
 from tests.brute_force import grow, kinds, score
 
@@ -83,6 +83,42 @@ def test_bucketed_search_with_opened_buckets_kept_distributed(spark, monkeypatch
     assert model.nested(0) == grow(rows, FEATURES, "y", max_depth=2)
 
 
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_opened_buckets_walked_in_segments(spark, monkeypatch, broadcast):
+    """Labels without signal leave buckets open; the values of one are dealt to many tasks."""
+    monkeypatch.setattr("coppice.operators.tree.SEGMENT_VALUES", 15)
+    monkeypatch.setattr("coppice.operators.tree.BROADCAST_ROWS", broadcast)
+    rng = random.Random(5)
+    rows = make_rows(17, 240)
+    for r in rows:
+        r |= {"a": rng.random(), "b": rng.randint(0, 90) / 4, "c": f"t{rng.randint(0, 50)}", "y": rng.choice("pqr")}
+    options = dict(direct_rows=0, direct_values=5, buckets=2, max_depth=3)
+    model = train_tree(as_df(spark, rows), FEATURES, "y", **options)
+    assert model.nested(0) == grow(rows, FEATURES, "y", max_depth=3)
+
+
+def test_segments_give_the_counts_of_one_walk(spark, monkeypatch):
+    """No group of the walk holds many values, though all lie in two buckets without signal."""
+    df = spark.range(20_000).select(F.rand(1).alias("a"), (F.rand(2) < 0.5).cast("string").alias("y"))
+    df = df.withColumn("a", F.round("a", 4))
+    parts = []
+    upto = _Training._upto
+
+    def seen(self, counted, keys, n_values):
+        out = upto(self, counted, keys, n_values)
+        if "part" in out.columns:
+            parts.append(out.groupBy(*keys, "part").count().agg(F.max("count"), F.count("*")).first())
+        return out
+
+    monkeypatch.setattr(_Training, "_upto", seen)
+    options = dict(direct_rows=0, direct_values=5, buckets=2, max_depth=2)
+    whole = train_tree(df, ["a"], "y", **options)
+    assert not parts
+    monkeypatch.setattr("coppice.operators.tree.SEGMENT_VALUES", 500)
+    assert train_tree(df, ["a"], "y", **options).nested(0) == whole.nested(0)
+    assert parts and max(most for most, _ in parts) < 2000 and parts[0][1] > 20
+
+
 def test_bucketed_search_with_many_labels(spark):
     rows = make_rows(11, 200)
     rng = random.Random(3)
