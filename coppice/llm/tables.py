@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +31,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.options(**READ_OPTIONS).parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables stored inside each open ``stored_until_here``, innermost last.
+_open: list[list[Stored]] = []
+
+
+@contextmanager
+def stored_until_here() -> Iterator[None]:
+    """Delete at the end what is stored inside, also if it fails; ``Stored.keep`` spares a table.
+
+    For work whose results are written inside: plans that read the deleted tables cannot run
+    any more. Inner blocks delete their own tables, and a table kept there is left to the block
+    around it.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for stored in _open.pop():
+            if not stored.kept:
+                stored.drop()
+            elif _open:
+                stored.kept = False
+                _open[-1].append(stored)
+
+
 class Stored:
     """A table written to the scratch folder: cuts lineage and outlives lost executors."""
 
+    kept = False
+
     def __init__(self, df: DataFrame, label: str):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, label)
+        if _open:
+            _open[-1].append(self)
         df.write.parquet(self.path)
         self.df = self.spark.read.options(**READ_OPTIONS).schema(df.schema).parquet(self.path)
 
+    def keep(self) -> Stored:
+        """The table outlives the ``stored_until_here`` block that it was stored in."""
+        self.kept = True
+        return self
+
     def drop(self) -> None:
         """Delete the files; for tables that no later plan reads."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)

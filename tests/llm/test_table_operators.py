@@ -1,6 +1,7 @@
 """Sharding, vector search and the URL filter against brute force; the pipeline."""
 
 import math
+import os
 from collections import Counter, defaultdict
 
 import duckdb
@@ -13,7 +14,7 @@ import corpus_pipeline
 from coppice.llm import histsort, normsearch, templates
 from coppice.llm.queries import QUERIES, URL_RULES
 from coppice.llm.sql import path_templates_sql
-from coppice.llm.tables import table
+from coppice.llm.tables import Stored, stored_until_here, table
 from tests.conftest import DATA
 from tests.llm.conftest import AWKWARD
 
@@ -227,3 +228,29 @@ def test_pipeline_keeps_clean_documents(spark):
     assert kept == first - leaks
     held = [d for d in labels if labels[d] == 1 and d in first and d not in leaks]
     assert set(held) <= kept
+
+
+def test_stored_tables_of_a_block_are_deleted(spark):
+    def there(stored):
+        return os.path.isdir(stored.path)
+
+    rows = spark.range(3)
+    with stored_until_here():
+        a, b = Stored(rows, "a"), Stored(rows, "b").keep()
+        with stored_until_here():
+            c, d = Stored(rows, "c"), Stored(rows, "d").keep()
+        assert there(a) and there(b) and there(d) and not there(c)
+    assert there(b) and not there(a) and not there(d)
+    with pytest.raises(ZeroDivisionError), stored_until_here():
+        e = Stored(rows, "e")
+        1 / 0  # noqa: B018
+    assert not there(e) and there(Stored(rows, "f"))
+
+
+def test_pipeline_leaves_the_input_of_its_last_stage(spark):
+    folder = os.path.dirname(Stored(spark.range(1), "place").path)
+    before = set(os.listdir(folder))
+    rows = corpus_pipeline.run(spark, DATA)
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and left.pop().startswith("pipeline-decontamination")
+    assert rows.count() > 0
