@@ -20,7 +20,7 @@ from coppice.llm.gam import fit_quality, with_quality
 from coppice.llm.minhash import without_near_duplicates
 from coppice.llm.pieces import encode_pieces
 from coppice.llm.queries import DROPOUT, LEAST_QUALITY, PIECE_MODEL, SEED
-from coppice.llm.tables import READ_OPTIONS, Stored, bound_batches, free_name, table
+from coppice.llm.tables import READ_OPTIONS, Stored, bound_batches, free_name, stored_until_here, table
 
 
 #: Similarity of the word shingles of near duplicates; op4 has a threshold of its own.
@@ -83,11 +83,16 @@ def plain_reads(spark: SparkSession) -> None:
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the scratch folder and read again."""
+    """All stages over ``documents``, each written to the scratch folder and read again.
+
+    What a stage stores on its way is deleted once its result is written, and that when the
+    next stage has read it. The last stage is not written, so its input stays.
+    """
     docs = table(spark, sf_dir, "documents")
     before = None
     for name, stage in STAGES[:-1]:
-        stored = Stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with stored_until_here():
+            stored = Stored(stage(spark, docs, sf_dir), f"pipeline-{name}").keep()
         if before is not None:
             before.drop()
         before, docs = stored, stored.df
