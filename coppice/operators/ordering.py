@@ -169,7 +169,8 @@ def order_statistics_and_counts(
     """``order_statistics``, and in the same pass how many rows meet each of ``conditions``.
 
     A ``sketch`` of the columns' middle saves the passes that count values and find the first
-    interval; its bounds are checked by counts like any others.
+    interval; its bounds are checked by counts like any others. Where both bounds are one value
+    that covers the ranks, those counts are the answer, and the column is not counted by value.
     """
     types = dict(df.dtypes)
     values = {c: missing_to_null(col(c), types[c]) for c in columns}
@@ -200,8 +201,15 @@ def order_statistics_and_counts(
             keep = keep & (col(c) <= F.lit(high))
         return keep
 
-    wide = [c for c in wanted if inside[c] > window_rows]
-    proposed = {c: sketch.bounds[c] for c in wide} if sketch is not None and ranks is None else {}
+    guessed = sketch.bounds if sketch is not None and ranks is None else {}
+    one_value = [c for c in wanted if c in guessed and guessed[c][0] == guessed[c][1]]
+    wide = [c for c in wanted if inside[c] > window_rows or c in one_value]
+    proposed = {c: guessed[c] for c in wide if c in guessed}
+    if len(proposed) < len(wide):
+        proposed = {}
+    result: dict[str, list] = {c: [] for c in columns}
+    times: dict[str, int] | None = None
+    whole = {c: types[c] in ("int", "bigint", "smallint", "tinyint") for c in columns}
     while wide:
         if not proposed:
             masked = base.select(*[F.when(within(c, interval[c]), col(c)).alias(c) for c in wide])
@@ -219,12 +227,19 @@ def order_statistics_and_counts(
         counts = base.agg(
             *[F.count_if(col(c) < F.lit(proposed[c][0])).alias(f"{i}_before") for i, c in enumerate(wide)],
             *[F.count_if(within(c, proposed[c])).alias(f"{i}_inside") for i, c in enumerate(wide)],
+            *([F.count_if(m).alias(m) for m in met] if times is None else []),
         ).first()
+        if times is None:
+            times = {name: counts[m] for name, m in zip(conditions, met)}
         still_wide = []
         for i, c in enumerate(wide):
             below, held = counts[f"{i}_before"], counts[f"{i}_inside"]
             covers = below <= min(wanted[c]) and max(wanted[c]) < below + held
-            if covers and held < inside[c]:
+            low, high = proposed[c]
+            # Bounds of integers that are doubles may stand for several neighbours beyond 2**53.
+            if covers and low == high and (isinstance(low, int) or not whole[c]):
+                result[c] = [low if whole[c] else float(low) + 0.0] * len(wanted.pop(c))
+            elif covers and held < inside[c]:
                 shrunk = held <= inside[c] // 2
                 interval[c], before[c], inside[c] = proposed[c], below, held
                 # Repeated values may keep an interval large; counting folds them.
@@ -233,11 +248,13 @@ def order_statistics_and_counts(
         wide, proposed = still_wide, {}
 
     if not wanted:
-        # No column has values: conditions are counted alone.
-        counts = base.agg(*[F.count_if(m).alias(m) for m in met]).first() if met else {}
-        return {c: [] for c in columns}, {name: counts[m] for name, m in zip(conditions, met)}
+        if times is None:
+            # No column has values: conditions are counted alone.
+            counts = base.agg(*[F.count_if(m).alias(m) for m in met]).first() if met else {}
+            times = {name: counts[m] for name, m in zip(conditions, met)}
+        return result, times
     names = list(wanted)
-    whole = {c: types[c] in ("int", "bigint", "smallint", "tinyint") for c in names}
+    met = met if times is None else []
     # Integers keep their type: doubles would merge neighbours beyond 2**53. Bounds compare
     # as doubles on both sides of them, which keeps the order.
     entries = []
@@ -261,7 +278,7 @@ def order_statistics_and_counts(
         .groupBy("i", "v", "w")
         .count()
     )
-    if max(inside.values()) > window_rows:
+    if max(inside[c] for c in names) > window_rows:
         counted = _near_ranks(counted, wanted, before, len(met))
     else:
         counted = counted.withColumns({"part": F.lit(0), "skipped": F.lit(0).cast("bigint")})
@@ -276,7 +293,6 @@ def order_statistics_and_counts(
             )
             hits = hit if hits is None else hits | hit
     found = running.filter(hits | (F.col("i") >= len(names))).collect()
-    result = {c: [] for c in columns}
     for i, c in enumerate(names):
         for rank in wanted[c]:
             position = rank - before[c]
@@ -285,8 +301,10 @@ def order_statistics_and_counts(
                 if r["i"] == i and r["upto"] > position >= r["upto"] - r["count"]
             )
             result[c].append(value)
-    times = {r["i"] - len(names): r["count"] for r in found if r["i"] >= len(names)}
-    return result, {name: times.get(k, 0) for k, name in enumerate(conditions)}
+    if times is None:
+        counted_conditions = {r["i"] - len(names): r["count"] for r in found if r["i"] >= len(names)}
+        times = {name: counted_conditions.get(k, 0) for k, name in enumerate(conditions)}
+    return result, times
 
 
 def _near_ranks(

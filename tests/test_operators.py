@@ -302,3 +302,23 @@ def test_hot_values_that_were_not_learned(spark, monkeypatch):
     got = codes.apply(df, keep=True).collect()
     assert len(got) == len(rows) and all(r.t_index == ranked.get(r.t, 40.0) for r in got)
     assert codes.apply(df.limit(0)).count() == 0
+
+
+def test_heavy_middles_are_settled_by_counts(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("cast(id % 3 as int) a", "IF(id % 5 = 0, 2.5D, -0.0D) b", "cast(id as double) c", "id % 2 + 1152921504606846976 d")
+    listed = []
+    explode = ordering.F.array
+    monkeypatch.setattr(ordering.F, "array", lambda *entries: listed.append(len(entries)) or explode(*entries))
+    values = impute.learn_fill(df, {"int": "median_lower", "double": "median_lower"}).values
+    assert values["a"] == 1 and values["b"] == 0.0 and values["c"] == 1499.0 and values["d"] == 2**60
+    # Only columns without a heavy middle are counted by value.
+    assert listed[-1] <= 2
+
+
+def test_heavy_middle_and_conditions(spark):
+    df = spark.range(100).selectExpr("IF(id < 80, 7D, id) a")
+    sketch = ordering.MiddleSketch({"a": 100}, {"a": (7.0, 7.0)})
+    conditions = {"high": ordering.F.col("a") > 90, "none": ordering.F.col("a") < 0}
+    assert ordering.order_statistics_and_counts(df, ["a"], conditions, sketch=sketch) == ({"a": [7.0, 7.0]}, {"high": 9, "none": 0})
+    wrong = ordering.MiddleSketch({"a": 100}, {"a": (81.0, 81.0)})
+    assert ordering.order_statistics_and_counts(df, ["a"], conditions, sketch=wrong) == ({"a": [7.0, 7.0]}, {"high": 9, "none": 0})
