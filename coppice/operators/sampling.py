@@ -37,6 +37,13 @@ def keyed_split(
     return df.filter(in_train), df.filter(~in_train)
 
 
+def tag_keyed(key: Column | str, train_share: float = 0.7, seed: int | str = 42) -> Column:
+    """``train`` or ``test``, as ``keyed_split`` parts the rows."""
+    key = col(key) if isinstance(key, str) else key
+    in_train = hash_unit(key, seed) < F.lit(train_share)
+    return F.when(in_train, "train").when(~in_train, "test")
+
+
 def tag_split(key: Column | str, seed: int | str = 0) -> Column:
     """``Test`` for two keys in eleven, ``Train`` for the others."""
     draw = F.pmod(hash_fraction_bits(key, seed), F.lit(TEST_DRAWS))

@@ -13,6 +13,8 @@ from coppice.operators.columns import col
 from coppice.operators.encode import assemble
 from coppice.operators.growth import grow_nodes
 from coppice.operators.nodetable import predict_by_nodes
+from coppice.operators.profile import row_counts
+from coppice.session import deal_rows
 
 
 def with_vector(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
@@ -35,15 +37,25 @@ def fit_vector_tree(
     features, bins and labels, so an unbounded number of bins does not scale. For
     every observed value as a candidate use ``coppice.operators.tree``, and for a tree without
     a depth limit (MLlib stops at 30) ``coppice.operators.growth``.
+
+    MLlib holds its input in memory by partition. Equal rows become one with their number as its
+    weight where that halves the table; other tables are dealt out by their number of rows.
     """
+    rows = df.select(*[col(c) for c in dict.fromkeys(features)], col(label).alias("_label"))
+    n_rows, different = row_counts(rows)
+    if 2 * different <= n_rows:
+        weighted = rows.groupBy(*[col(c) for c in rows.columns]).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    else:
+        weighted = deal_rows(rows, n_rows).withColumn("_weight", F.lit(1.0))
     learner = DecisionTreeClassifier(
         labelCol="_label",
         featuresCol="_features",
+        weightCol="_weight",
         impurity=criterion,
         maxDepth=max_depth,
         maxBins=max_bins,
     )
-    return learner.fit(with_vector(df, features, label).select("_features", "_label"))
+    return learner.fit(with_vector(weighted, features, "_label").select("_features", "_label", "_weight"))
 
 
 def predict_vector(

@@ -676,12 +676,9 @@ COARSE_FEATURES = ["l_linenumber", "quantity_pair", "l_discount", "l_tax", "l_li
 def line_vectors(spark, sf_dir, features=BINNED_FEATURES) -> tuple[DataFrame, DataFrame]:
     """Train and test part of lineitem as numbers, by key."""
     lines = load(spark, sf_dir, "lineitem").withColumn("quantity_pair", F.ceil(F.col("l_quantity") / 2).cast("double"))
-    train, test = sampling.keyed_split(
-        lines.withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber")), "row_key", 0.7, 42
-    )
-    both = readers.tagged_union({"train": train, "test": test}, "part").select("part", *features, LINE_LABEL)
-    codes = encode.learn_codes(both.drop("part"))
-    stored = write_scratch(codes.apply(both), "line-vectors")
+    part = sampling.tag_keyed(F.concat_ws("-", "l_orderkey", "l_linenumber"), 0.7, 42)
+    codes = encode.learn_codes(lines.select(*features, LINE_LABEL))
+    stored = write_scratch(codes.apply(lines.select(part.alias("part"), *features, LINE_LABEL)), "line-vectors")
     return stored.filter("part = 'train'").drop("part"), stored.filter("part = 'test'").drop("part")
 
 
