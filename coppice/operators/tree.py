@@ -10,6 +10,9 @@ on the impurity of any candidate inside a bucket; only buckets whose bound does
 exceed the best candidate already known are counted value by value, in segments of
 bounded size where they hold many values. The answer is the exhaustive one, while the
 shuffle stays small and no group holds all values of a feature.
+
+Where equal rows make up at least half of a large table, each different row is kept once with
+their number.
 """
 
 from __future__ import annotations
@@ -195,7 +198,8 @@ class _Training:
             self._written.pop().drop()
 
     def _prepare(self) -> None:
-        by_label = self.rows.groupBy("shard", "label").count().collect()
+        different = F.approx_count_distinct(F.xxhash64(*[col(c) for c in self.rows.columns]))
+        by_label = self.rows.groupBy("shard", "label").agg(F.count(F.lit(1)).alias("count"), different.alias("different")).collect()
         self.labels = sorted({r["label"] for r in by_label})
         position = {v: k for k, v in enumerate(self.labels)}
         totals: dict[str, list[int]] = {}
@@ -205,7 +209,14 @@ class _Training:
         self.shards = dict(enumerate(shards))
         self.root_counts = {t: tuple(totals[s]) for t, s in self.shards.items()}
         self.size = sum(sum(counts) for counts in totals.values())
-        if self.size <= SPREAD_ROWS:
+        #: Rows at hand: all, or about the number of different ones, which have their number as weight.
+        self.held_rows = sum(r["different"] for r in by_label)
+        self.weighted = self.size > self.direct_rows and 2 * self.held_rows <= self.size
+        if self.weighted:
+            self.rows = self.rows.groupBy(*self.rows.columns).agg(F.count(F.lit(1)).alias("w"))
+        else:
+            self.held_rows = self.size
+        if self.held_rows <= SPREAD_ROWS:
             # A small table may lie in a single file block; let every core have a part.
             self.rows = self.rows.repartition(self.spark.sparkContext.defaultParallelism)
         if self.cache:
@@ -280,8 +291,8 @@ class _Training:
         texts = [f for f in self.bucketed if not f.numeric]
         if numbers:
             sample = self.rows.select(*[f.value for f in numbers])
-            if self.size > EDGE_SAMPLE_ROWS:
-                sample = sample.sample(fraction=EDGE_SAMPLE_ROWS / self.size, seed=1)
+            if self.held_rows > EDGE_SAMPLE_ROWS:
+                sample = sample.sample(fraction=EDGE_SAMPLE_ROWS / self.held_rows, seed=1)
             # About ROWS_PER_BUCKET rows each, unless that takes more buckets than allowed.
             n = max(2, min(self.buckets, self.size // ROWS_PER_BUCKET))
             steps = [i / n for i in range(1, n)]
@@ -297,6 +308,7 @@ class _Training:
             tree_of.cast("int").alias("tree"),
             F.lit(ROOT).cast("bigint").alias("node"),
             label_index.cast("int").alias("y"),
+            *self._weight(),
             *[F.col(f.value) for f in self.features],
             *[F.when(F.col(f.value).isNotNull(), F.col(f.bucket).cast("int")).alias(f.bucket)
               for f in numbers],
@@ -307,8 +319,15 @@ class _Training:
 
     # One level ------------------------------------------------------------------
 
+    def _weight(self) -> list[Column]:
+        return [F.col("w")] if self.weighted else []
+
     @_once
     def _label_counts(self) -> list[Column]:
+        if self.weighted:
+            return [
+                F.sum(F.when(F.col("y") == k, F.col("w")).otherwise(0)).alias(f"c{k}") for k in range(len(self.labels))
+            ]
         return [F.count_if(F.col("y") == k).alias(f"c{k}") for k in range(len(self.labels))]
 
     def _vector(self, prefix: str) -> list[Column]:
@@ -340,15 +359,18 @@ class _Training:
 
     def _unpivot(self, rows: DataFrame, features: Sequence[_Feature], detail: bool) -> DataFrame:
         entries = F.array(*[self._entry(f, detail) for f in features])
-        return rows.select("tree", "node", "y", F.explode(entries).alias("e")).select(
-            "tree", "node", "y", "e.*"
+        return rows.select("tree", "node", "y", *self._weight(), F.explode(entries).alias("e")).select(
+            "tree", "node", "y", *self._weight(), "e.*"
         )
 
     def _first_pass(self, rows: DataFrame) -> DataFrame:
         """Counts per value, or per bucket of many-valued features, and running counts."""
         counted = self._unpivot(rows, self.features, False).groupBy(
             "tree", "node", "feature", "bucket", "num", "str"
-        ).agg(*self._label_counts(), F.min("raw").alias("low"), F.max("raw").alias("high"))
+        ).agg(
+            *self._label_counts(), F.min("raw").alias("low"), F.max("raw").alias("high"),
+            *([F.count(F.lit(1)).alias("held")] if self.weighted else []),
+        )
         known, sums, kept = self._running()
         return counted.withColumns(sums).filter(known).select(*kept).withColumn(
             # The top value of a bucket of a continuous feature is a candidate as it stands.
@@ -374,6 +396,8 @@ class _Training:
             *[F.when(continuous, F.col(f"u{k}")).otherwise(F.col(f"c{k}")).alias(f"y{k}") for k in kinds],
             *[F.when(continuous, F.col(f"u{k}") - F.col(f"c{k}")).otherwise(0).alias(f"l{k}") for k in kinds],
             *self._vector("c"), *self._vector("t"),
+            # Rows at hand, which bound the values of a bucket.
+            *([F.col("held")] if self.weighted else []),
         ]
         return known, sums, kept
 
@@ -442,7 +466,7 @@ class _Training:
             .filter(may_win)
             .select(
                 "tree", "node", "feature", "bucket", "continuous",
-                total(self._vector("c")).alias("held"),
+                F.col("held") if self.weighted else total(self._vector("c")).alias("held"),
                 *self._vector("l"), *self._vector("t"),
             )
         )

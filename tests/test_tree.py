@@ -279,3 +279,18 @@ def test_integers_beyond_doubles_are_refused(spark):
     df = spark.createDataFrame([(2**60 + i, str(i // 30)) for i in range(60)], "k long, y string")
     with pytest.raises(ValueError, match="k holds integers"):
         train_tree(df, ["k"], "y")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_equal_rows_are_held_once(spark, monkeypatch, seed):
+    rows = [r for r in make_rows(seed + 80, 120, missing=0.1) for _ in range(5)]
+    held, level = [], _Training._level
+    monkeypatch.setattr(_Training, "_level", lambda self, at: held.append(at.count()) or level(self, at))
+    options = dict(direct_rows=0, direct_values=5, buckets=4, max_depth=3)
+    model = train_tree(as_df(spark, rows), FEATURES, "y", **options)
+    assert model.nested(0) == grow(rows, FEATURES, "y", max_depth=3)
+    assert held[0] <= 120
+    shards = train_trees(as_df(spark, rows), FEATURES, "y", shard="s", **options)
+    for tree_id, shard in shards.shards.items():
+        part = [r for r in rows if str(r["s"]) == shard]
+        assert shards.nested(tree_id) == grow(part, FEATURES, "y", max_depth=3)
