@@ -19,7 +19,7 @@ from coppice.operators.treemodel import TreeModel
 from coppice.plans import flow
 from coppice.plans.schemas import RAW_COLUMNS, TIME_COLUMNS, VECTOR_COLUMNS, WEEKDAYS, raw_schema
 from coppice.plans.wide import wide_table
-from coppice.session import scratch_path, write_scratch
+from coppice.session import ScratchTable, scratch_path, write_scratch
 from coppice.sources import readers, writers
 from coppice.streaming import scoring
 
@@ -750,9 +750,10 @@ def stream_scoring(spark, sf_dir):
     raw, out = scratch_path(spark, "raw-csv"), scratch_path(spark, "scored")
     writers.write_csv(wide, raw)
     fill = flow.learn_missing(flow.clean_lists(wide), flow.EXACT_FILL)
-    engineered = flow.engineer(fill.apply(flow.clean_lists(wide)))
-    features = [c for c in engineered.columns if c != flow.LABEL]
-    model = train_tree(engineered, features, flow.LABEL, max_depth=TREE_DEPTH)
+    engineered = ScratchTable(flow.engineer(fill.apply(flow.clean_lists(wide))), "engineered")
+    features = [c for c in engineered.df.columns if c != flow.LABEL]
+    model = train_tree(engineered.df, features, flow.LABEL, max_depth=TREE_DEPTH)
+    engineered.drop()
     stream = scoring.read_csv_stream(spark, raw, raw_schema())
     scored = scoring.score_stream(stream, fill, model, keep=[KEY])
     scoring.write_stream(scored, out).awaitTermination()

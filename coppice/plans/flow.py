@@ -171,15 +171,15 @@ def run_vector_flow(
     filled, fill = _filled(rows, split, by_type)
     shaped = numeric_features(filled).select("split", *VECTOR_COLUMNS, LABEL)
     codes = learn_text_codes(shaped.filter("split = 'Train'").drop("split"))
-    coded = codes.apply(shaped)
+    coded, stored = codes.apply(shaped), None
+    if store:
+        # Before the last fill values are learned, so that their passes read stored numbers.
+        stored = ScratchTable(coded, "coded")
+        coded = stored.df
     # Counts over lists that stayed missing have no value yet; vectors need one.
     numbers = {k: v for k, v in by_type.items() if k != "string"}
     rest = learn_fill(coded.filter("split = 'Train'").drop("split"), numbers, skip=[LABEL])
     coded = rest.apply(coded)
-    stored = None
-    if store:
-        stored = ScratchTable(coded, "coded")
-        coded = stored.df
     train = coded.filter("split = 'Train'")
     model = fit_vector_tree(train, VECTOR_COLUMNS, LABEL, "entropy", max_depth, max_bins)
     scored = predict_vector(coded, model, VECTOR_COLUMNS)

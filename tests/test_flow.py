@@ -64,3 +64,12 @@ def test_vector_tree_keeps_input_columns(spark, table):
     scored = vectortree.predict_vector(df, model, ["l_quantity", "l_tax"])
     assert scored.columns == [*df.columns, "prediction"]
     assert vectortree.vector_accuracy(scored, label="y") > 0.95
+
+
+def test_last_fill_values_of_the_vector_flow_read_stored_rows(spark, monkeypatch):
+    read = []
+    learn = flow.learn_fill
+    monkeypatch.setattr(flow, "learn_fill", lambda df, *args, **kwargs: read.append(df.inputFiles()) or learn(df, *args, **kwargs))
+    result = flow.run_vector_flow(wide_table(spark, DATA), sampling.tag_split(F.col("`CID X LOC_NUM X VENDOR`")), max_depth=1)
+    assert read[-1] and all(result.stored.path in f for f in read[-1])
+    result.drop()
