@@ -38,7 +38,7 @@ from coppice.functions.numeric import (
 from coppice.operators.columns import col
 from coppice.operators.profile import CATEGORY_VALUES, feature_cell, is_number, type_class
 from coppice.operators.treemodel import ROOT, Node, TreeModel
-from coppice.session import ScratchTable, scratch_root
+from coppice.session import ScratchTable, even_scans, scratch_root
 
 # Impurities equal to this many decimals are ties; the last feature and value win.
 TIE_DIGITS = 10
@@ -198,8 +198,8 @@ class _Training:
             self._written.pop().drop()
 
     def _prepare(self) -> None:
-        different = F.approx_count_distinct(F.xxhash64(*[col(c) for c in self.rows.columns]))
-        by_label = self.rows.groupBy("shard", "label").agg(F.count(F.lit(1)).alias("count"), different.alias("different")).collect()
+        even_scans(self.spark)
+        by_label = self.rows.groupBy("shard", "label").agg(F.count(F.lit(1)).alias("count")).collect()
         self.labels = sorted({r["label"] for r in by_label})
         position = {v: k for k, v in enumerate(self.labels)}
         totals: dict[str, list[int]] = {}
@@ -210,12 +210,15 @@ class _Training:
         self.root_counts = {t: tuple(totals[s]) for t, s in self.shards.items()}
         self.size = sum(sum(counts) for counts in totals.values())
         #: Rows at hand: all, or about the number of different ones, which have their number as weight.
-        self.held_rows = sum(r["different"] for r in by_label)
-        self.weighted = self.size > self.direct_rows and 2 * self.held_rows <= self.size
+        self.held_rows, self.weighted = self.size, False
+        if self.size > self.direct_rows:
+            # Equal rows count once in every one of these, so they hold for weighted rows too.
+            different = F.approx_count_distinct(F.xxhash64(*[col(c) for c in self.rows.columns]))
+            self.overall = self.rows.agg(different.alias("different"), *self._sketches()).first()
+            self.weighted = 2 * self.overall["different"] <= self.size
         if self.weighted:
+            self.held_rows = self.overall["different"]
             self.rows = self.rows.groupBy(*self.rows.columns).agg(F.count(F.lit(1)).alias("w"))
-        else:
-            self.held_rows = self.size
         if self.held_rows <= SPREAD_ROWS:
             # A small table may lie in a single file block; let every core have a part.
             self.rows = self.rows.repartition(self.spark.sparkContext.defaultParallelism)
@@ -224,21 +227,29 @@ class _Training:
         self._describe_features()
         self._place_rows()
 
+    def _sketches(self) -> list[Column]:
+        """About how many values each feature has, and how many rows lack each number."""
+        return [F.approx_count_distinct(f"f{i}").alias(f"d{i}") for i in range(len(self.names))] + self._missing()
+
+    def _missing(self) -> list[Column]:
+        return [F.count_if(F.col(f"f{i}").isNull()).alias(f"m{i}") for i, is_num in enumerate(self.numeric) if is_num]
+
     def _describe_features(self) -> None:
         """Kind per feature and tree, and which features need buckets."""
         n = len(self.names)
         value = [F.col(f"f{i}") for i in range(n)]
         numbers = [i for i in range(n) if self.numeric[i]]
-        missing = [F.count_if(value[i].isNull()).alias(f"m{i}") for i in numbers]
+        missing = self._missing()
         # A sketch cannot report more than about this for category_values values.
         doubtful = 2 * self.category_values + 2
         many = [False] * n
         if self.size > self.direct_rows:
-            sketch = [F.approx_count_distinct(v).alias(f"d{i}") for i, v in enumerate(value)]
-            overall = self.rows.agg(*sketch).first()
-            many = [overall[f"d{i}"] > self.direct_values for i in range(n)]
-            described = self.rows.groupBy("shard").agg(*[sketch[i] for i in numbers], *missing)
-            per_shard = {r["shard"]: r for r in described.collect()}
+            many = [self.overall[f"d{i}"] > self.direct_values for i in range(n)]
+            if len(self.shards) == 1:
+                per_shard = dict.fromkeys(self.shards.values(), self.overall)
+            else:
+                described = self.rows.groupBy("shard").agg(*[self._sketches()[i] for i in numbers], *missing)
+                per_shard = {r["shard"]: r for r in described.collect()}
             few = {
                 i: [s for s, r in per_shard.items() if r[f"d{i}"] <= doubtful] for i in numbers
             }

@@ -294,3 +294,22 @@ def test_equal_rows_are_held_once(spark, monkeypatch, seed):
     for tree_id, shard in shards.shards.items():
         part = [r for r in rows if str(r["s"]) == shard]
         assert shards.nested(tree_id) == grow(part, FEATURES, "y", max_depth=3)
+
+
+def test_training_cuts_scans_into_several_parts_a_core(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    path = str(tmp_path / "rows")
+    spark.range(5 * cores).selectExpr("id % 7 as f", "id % 2 as y").repartition(5 * cores).write.parquet(path)
+    train_tree(spark.read.parquet(path), ["f"], "y", max_depth=1)
+    # Spark takes a further file where only its bytes, not the cost of opening it, still fit.
+    assert spark.read.parquet(path).rdd.getNumPartitions() >= 2 * cores
+
+
+def test_one_pass_tells_kinds_of_many_rows(spark):
+    rows = spark.range(3000).selectExpr("id % 900 / 4 as a", "CASE WHEN id % 3 > 0 THEN id % 5 / 2 END as b", "id % 2 as y")
+    options = dict(direct_rows=0, direct_values=32, buckets=16)
+    training = _Training(rows, ["a", "b"], "y", None, "entropy", 3, 2, 10, 32, 0, 16, False)
+    training._prepare()
+    assert [f.continuous for f in training.features] == [True, False]
+    assert training.overall["m1"] == 1000
+    assert train_tree(rows, ["a", "b"], "y", **options).text_lines() == train_tree(rows, ["a", "b"], "y").text_lines()
