@@ -3,7 +3,8 @@
 Two equal strings of ``LENGTH`` bytes hold the same gram of least hash, so it is enough to
 compare the surroundings of such anchors with each other. Anchors whose hash occurs once are
 dropped; equal surroundings count as one fragment with a multiplicity. The different
-fragments of an anchor meet in one task, which builds their Burrows-Wheeler transform,
+fragments of an anchor meet in one task, which leaves out those that share no long core with
+another, builds the Burrows-Wheeler transform of the rest,
 keeps samples at the ends of its runs only, and reads the matching statistics from them:
 between two samples the longest match shrinks by one byte per position, so the regions that
 the samples mark are all long matches. An anchor with more fragments than a task should
@@ -24,21 +25,23 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from coppice.llm.tables import Stored
 from coppice.llm.text import OTHER, mix, prefix_hash, released, signed, sliding_minimum, span_hash, text_slices
 
-LENGTH, GRAM = 200, 48
+LENGTH, GRAM = 200, 100
 BEFORE = LENGTH - GRAM  # bytes before an anchor that a window with it may begin
 #: Fragments of one anchor that meet in a task; bytes of fragments indexed side by side.
-GROUP_FRAGMENTS, INDEX_BYTES = 4096, 1 << 18
+GROUP_FRAGMENTS, INDEX_BYTES = 512, 1 << 18
+#: Cores by which fragments find out whether another one may share a window.
+CORES = 4
 #: Windows of a range.
 RANGE = 9
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hash, digest of the surroundings, document, place, bytes before and behind.
+def anchor_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, place in ``data`` and document of the anchors.
 
-    Every window of ``LENGTH`` bytes of a document holds at least one anchor.
+    Every window of ``LENGTH`` bytes of a document holds at least one.
     """
     if len(data) < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, *[np.int64] * 4))
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     sums = prefix_hash(data)
     gram = np.arange(len(data) - GRAM + 1)
     hashes = span_hash(sums, gram, gram + GRAM)
@@ -50,12 +53,24 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     padded[BEFORE : BEFORE + len(least)] = least
     most = ~sliding_minimum(~padded, BEFORE + 1)
     at = np.flatnonzero(hashes == most)
-    doc = docs[at]
+    return hashes[at], at, docs[at]
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash, digest of the surroundings, document, place, bytes before and behind."""
+    hashes, at, doc = anchor_places(data, offsets)
     left = np.minimum(at - offsets[doc], BEFORE)
     right = np.minimum(offsets[doc + 1] - at, LENGTH)
     digest = span_hash(prefix_hash(data, OTHER), at - left, at + right)
     digest = mix(digest ^ (left.astype(np.uint64) << np.uint64(8)))
-    return hashes[at], digest, doc, at - offsets[doc], left, right
+    return hashes, digest, doc, at - offsets[doc], left, right
+
+
+@released
+def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, data, offsets in text_slices(batch, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(signed(anchor_places(data, offsets)[0]))], names=["anchor"])
 
 
 @released
@@ -161,6 +176,25 @@ def long_matches(
     return np.concatenate((left, right)), np.concatenate((left, right)) + np.tile(low, 2)
 
 
+def partnered(data: np.ndarray, ends: np.ndarray, groups: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Whether another fragment of the group may share a window with the anchor in it.
+
+    The windows that begin ``low`` to ``high`` bytes before the anchor have a core in common; of
+    two that are equal, the cores are, too. ``left``: bytes of each fragment before its anchor.
+    """
+    sums = prefix_hash(data)
+    at = ends[:-1] + left
+    found = np.zeros(len(left), bool)
+    step = -(-(BEFORE + 1) // CORES)
+    for low in range(0, BEFORE + 1, step):
+        start, stop = at - low, at - min(low + step - 1, BEFORE) + LENGTH
+        holds = np.flatnonzero((start >= ends[:-1]) & (stop <= ends[1:]))
+        core = span_hash(sums, start[holds], stop[holds]) ^ mix(groups[holds].astype(np.uint64))
+        _, kind, n = np.unique(core, return_inverse=True, return_counts=True)
+        found[holds[n[kind] > 1]] = True
+    return found
+
+
 def _union(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of overlapping or touching regions."""
     if not len(start):
@@ -182,22 +216,34 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     size = 0
 
+    def joined(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.concatenate(([0], np.cumsum([len(h[4]) for h in rows]))).astype(np.int64)
+        return np.frombuffer(b"".join(h[4] for h in rows), np.uint8), ends
+
     def marks() -> pa.RecordBatch:
-        group = np.unique(np.array([h[0] for h in held]), return_inverse=True)[1]
-        data = np.frombuffer(b"".join(h[4] for h in held), np.uint8)
-        ends = np.concatenate(([0], np.cumsum([len(h[4]) for h in held]))).astype(np.int64)
-        group = np.cumsum(np.concatenate(([0], group[1:] != group[:-1])))
-        places = (np.array([h[c] for h in held], np.int64) for c in (5, 6))
+        some = held
+        anchor = np.array([h[0] for h in some])
+        group = np.cumsum(anchor != np.roll(anchor, 1))
+        data, ends = joined(some)
+        keep = partnered(data, ends, group, np.array([h[3] for h in some]))
+        # Fragments that occur twice are marked anyway, so a group of these alone tells nothing.
+        single = keep & (np.array([h[2] for h in some]) == 1)
+        keep &= np.bincount(group[single], minlength=group[-1] + 1)[group] > 0
+        if not keep.any():
+            return _mark_batch([])
+        some = [h for h, kept in zip(some, keep.tolist(), strict=True) if kept]
+        (data, ends), group = joined(some), np.unique(group[keep], return_inverse=True)[1]
+        places = (np.array([h[c] for h in some], np.int64) for c in (5, 6))
         start, stop = long_matches(data, ends, group, *places)
         fragment = np.searchsorted(ends, start, "right") - 1
         out: list[tuple] = []
         order = np.argsort(fragment, kind="stable")
         bounds = np.flatnonzero(np.diff(fragment[order], prepend=-1))
-        for some in np.split(order, bounds[1:]) if len(order) else []:
-            anchor, digest, n, left, *_ = held[fragment[some[0]]]
+        for own in np.split(order, bounds[1:]) if len(order) else []:
+            anchor, digest, n, left, *_ = some[fragment[own[0]]]
             if n == 1:  # fragments that occur twice are marked anyway
-                base = ends[fragment[some[0]]] + left
-                out.extend((anchor, digest, a - base, b - base) for a, b in zip(*_union(start[some], stop[some]), strict=True))
+                base = ends[fragment[own[0]]] + left
+                out.extend((anchor, digest, a - base, b - base) for a, b in zip(*_union(start[own], stop[own]), strict=True))
         return _mark_batch(out)
 
     for batch in batches:
@@ -299,10 +345,10 @@ def _fragment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             content = [raw[a:b].tobytes() for a, b in zip((at - left).tolist(), (at + right).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(item.field(c) for c in ("anchor", "digest", "n", "hot")), pa.array(left.astype(np.int32)), pa.array(content, pa.binary()),
+                    *(item.field(c) for c in ("anchor", "digest", "n")), pa.array(left.astype(np.int32)), pa.array(content, pa.binary()),
                     part.column(part.schema.get_field_index("source")).take(pa.array(doc)), pa.array((place >> 16) - left),
                 ],
-                names=["anchor", "digest", "n", "hot", *_FRAGMENT[3:]],
+                names=list(_FRAGMENT),
             )
 
 
@@ -382,7 +428,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = texts.select("k1", "k2", "text").mapInArrow(
         _anchor_rows, f"anchor long, digest long, k1 long, k2 {'binary' if repeated_ids else 'int'}, place long"
     )
-    twice = found.groupBy("anchor").count().filter("count > 1").select("anchor")
+    hashes = texts.select("text").mapInArrow(_anchor_hashes, "anchor long")
+    twice = hashes.groupBy("anchor").count().filter("count > 1").select("anchor")
     # A hot anchor's rows may be split, so this is a join and not a window.
     seen = Stored(found.join(twice, "anchor"), "repeated-anchors").df
     fragments = seen.groupBy("anchor", "digest").agg(
@@ -396,16 +443,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("anchor", (F.col("kinds") > GROUP_FRAGMENTS).alias("hot"))
     )
     wanted = fragments.join(groups, "anchor").select("one.k1", "one.k2", "one.place", "anchor", "digest", "n", "hot")
-    by_doc = wanted.groupBy(*keys).agg(F.collect_list(F.struct("anchor", "digest", "n", "hot", "place")).alias("wanted"))
     # The texts are dealt once: both joins read the same columns of the same exchange.
     dealt = texts.drop(*{"k1", "k2"} - set(keys)).repartition(*keys)
     contents = dealt.dropDuplicates(keys) if repeated_ids else dealt
-    contents = contents.join(by_doc, keys).select("doc_id", "text", "wanted", F.xxhash64(*keys).alias("source")).mapInArrow(
-        _fragment_rows, "anchor long, digest long, n long, hot boolean, left int, content binary, source long, begin long"
-    )
-    cold = contents.filter("NOT hot").drop("hot")
+
+    def cut(some: DataFrame) -> DataFrame:
+        lists = some.groupBy(*keys).agg(F.collect_list(F.struct("anchor", "digest", "n", "place")).alias("wanted"))
+        return contents.join(lists, keys).select("doc_id", "text", "wanted", F.xxhash64(*keys).alias("source")).mapInArrow(
+            _fragment_rows, "anchor long, digest long, n long, left int, content binary, source long, begin long"
+        )
+
+    cold = cut(wanted.filter("NOT hot").drop("hot"))
     marks = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_index_rows, _MARK)
-    marks = marks.union(_hashed_marks(contents.filter("hot")))
+    # What follows reads hot fragments several times, all from this exchange.
+    marks = marks.union(_hashed_marks(cut(wanted.filter("hot").drop("hot")).repartition("anchor", "digest")))
     # Marks as one number each, and those of a fragment joined where they touch, since every
     # place of the fragment repeats them.
     packed = _packed(F.col("start").cast("long") + _SHIFT, F.col("stop").cast("long") + _SHIFT)

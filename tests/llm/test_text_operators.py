@@ -231,6 +231,28 @@ def test_suffix_order_and_matches():
     assert np.array_equal(covered, expected)
 
 
+def test_fragments_without_a_partner_are_not_indexed(monkeypatch):
+    rng = np.random.default_rng(5)
+    letters = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    gram, head, tail = letters(runindex.GRAM), letters(runindex.BEFORE), letters(runindex.LENGTH - runindex.GRAM)
+    other = [letters(runindex.BEFORE) + gram + letters(len(tail)) for _ in range(300)]
+    alike = [head[:10] + head[60:] + gram + tail, letters(50) + head[60:] + gram + tail[:-1] + b"."]
+    content = [*other[:150], alike[0], *other[150:], alike[1]]
+    left = [len(c.split(gram)[0]) for c in content]
+    sizes = []
+    indexed = runindex.long_matches
+    monkeypatch.setattr(runindex, "long_matches", lambda data, ends, *rest: sizes.append(len(ends) - 1) or indexed(data, ends, *rest))
+    n = len(content)
+    columns = [[7] * n, list(range(n)), [1] * n, left, content, list(range(n)), [0] * n]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    batch = pa.RecordBatch.from_arrays(arrays, names=list(runindex._FRAGMENT))
+    found = [r for b in runindex._index_rows(iter([batch])) for r in b.to_pylist()]
+    shared = {"anchor": 7, "start": 60 - len(head), "stop": runindex.LENGTH - 1}
+    assert sizes == [2]
+    assert sorted(found, key=lambda r: r["digest"]) == [{**shared, "digest": 150}, {**shared, "digest": n - 1}]
+
+
 # token files
 
 
