@@ -41,19 +41,6 @@ _BLOCK = (
 )
 
 
-class _Numbers(dict):
-    """Words to numbers; a word that is asked for the first time gets the next one."""
-
-    def __init__(self, new: list[str], number: Iterator[int]):
-        super().__init__()
-        self.new, self.number = new, number
-
-    def __missing__(self, word: str) -> int:
-        self.new.append(word)
-        self[word] = n = next(self.number)
-        return n
-
-
 class WordEncoder:
     """The tokenizers library behind a dictionary of units.
 
@@ -76,7 +63,7 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers = _Numbers([], itertools.count())
+        self.numbers: dict[str, int] = {}
         self.size, self.start = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
@@ -107,11 +94,18 @@ class WordEncoder:
         each = self._coded(units)
         return np.concatenate(each), np.array([len(i) for i in each], np.int64)
 
-    def _learn(self) -> None:
-        """Encode the units that got a number since the last time."""
-        new, at = self.numbers.new, len(self.size)
+    def _learn(self, new: list[str]) -> None:
+        """Encode different units that have no number yet, and give them the next ones."""
+        self.numbers.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
         kinds: tuple[list[int], list[int], list[int]] = ([], [], [])
         for i, unit in enumerate(new):
+            # What is made of letters and digits alone holds no white space.
+            if unit.isalnum():
+                kinds[1].append(i)
+                continue
+            if unit[0] == " " and unit[1:].isalnum():
+                kinds[0].append(i)
+                continue
             words = unit.split()
             if len(words) == 1 and words[0] == unit:
                 kinds[1].append(i)
@@ -128,10 +122,8 @@ class WordEncoder:
             place[order] = np.arange(len(order))
             size = np.concatenate([f[1] for f in found])
             start = len(self.ids) + np.cumsum(size) - size
-            assert at + len(new) == len(self.numbers)
             self.size, self.start = np.concatenate((self.size, size[place])), np.concatenate((self.start, start[place]))
             self.ids = np.concatenate((self.ids, *[f[0] for f in found]))
-        new.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and n + 1 offsets."""
@@ -146,8 +138,12 @@ class WordEncoder:
         at = np.append(np.flatnonzero(begins), len(data))
         units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
         coded = units.dictionary_encode()
-        number = np.fromiter(map(self.numbers.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-        self._learn()
+        # Through numpy, which makes texts without a scalar for each.
+        different = coded.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.numbers.get, different, itertools.repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(number < 0)
+        number[new] = len(self.size) + np.arange(len(new))
+        self._learn(different[new].tolist())
         index = number[coded.indices.to_numpy()]
         size = self.size[index]
         stops = np.concatenate(([0], np.cumsum(size)))

@@ -256,6 +256,19 @@ def test_fragments_without_a_partner_are_not_indexed(monkeypatch):
 # token files
 
 
+def test_units_are_numbered_together():
+    """New units of a slice get their numbers at once, whatever white space they hold."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library = grammar.WordEncoder(path), Tokenizer.from_file(path)
+    texts = ["", "a b  c", "\u00e9t\u00e9 x\u00a0y \u2003z", "a b\tc\n\nd, e", " \u4e2d\u6587 9x9", "a b  c d!"]
+    for some in (texts[:3], texts, [""], texts[::-1]):
+        ids, ends = encoder.encode(some)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode(t, add_special_tokens=False).ids for t in some]
+        assert sorted(encoder.numbers.values()) == list(range(len(encoder.size)))
+    # A plain dictionary: no call of Python for each new unit.
+    assert type(encoder.numbers) is dict
+
+
 def test_grammar_files_round_trip(spark, awkward, nothing, monkeypatch):
     monkeypatch.setattr(grammar, "LEAST_PAIRS", 2)
     monkeypatch.setattr(grammar, "BLOCK_IDS", 3000)
