@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from coppice.llm.tables import Stored
-from coppice.llm.text import OTHER, mix, prefix_hash, released, signed, sliding_minimum, span_hash, text_slices
+from coppice.llm.text import BASE, OTHER, flat, mix, powers, prefix_hash, released, signed, sliding_minimum, span_hash, text_slices
 
 LENGTH, GRAM = 200, 100
 BEFORE = LENGTH - GRAM  # bytes before an anchor that a window with it may begin
 #: Fragments of one anchor that meet in a task; bytes of fragments indexed side by side.
-GROUP_FRAGMENTS, INDEX_BYTES = 512, 1 << 18
+GROUP_FRAGMENTS, INDEX_BYTES = 512, 1 << 19
+#: Bytes of text whose anchors are found together: its numbers stay in a core's cache.
+SLICE = 1 << 17
 #: Cores by which fragments find out whether another one may share a window.
 CORES = 4
 #: Windows of a range.
@@ -43,17 +45,21 @@ def anchor_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     if len(data) < LENGTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     sums = prefix_hash(data)
-    gram = np.arange(len(data) - GRAM + 1)
-    hashes = span_hash(sums, gram, gram + GRAM)
-    least = sliding_minimum(hashes, BEFORE + 1)
-    window = np.arange(len(least))
-    docs = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    least[docs[window] != docs[window + LENGTH - 1]] = 0
-    padded = np.zeros(len(least) + 2 * BEFORE, np.uint64)
+    n = len(data) - GRAM + 1
+    grams = (sums[GRAM:] - sums[:n]) * powers(len(sums))[1][:n]
+    # 32 bits tell the least gram; where they are equal there are more anchors than needed.
+    rank = (((grams ^ (grams >> np.uint64(29))) * BASE) >> np.uint64(32)).astype(np.uint32)
+    least = sliding_minimum(rank, BEFORE + 1)
+    # Windows that reach into the next document.
+    step = np.zeros(len(least) + 1, np.int64)
+    np.add.at(step, np.clip(offsets[1:-1] - LENGTH + 1, 0, len(least)), 1)
+    np.add.at(step, np.clip(offsets[1:-1], 0, len(least)), -1)
+    least[np.cumsum(step[:-1]) > 0] = 0
+    padded = np.zeros(len(least) + 2 * BEFORE, np.uint32)
     padded[BEFORE : BEFORE + len(least)] = least
     most = ~sliding_minimum(~padded, BEFORE + 1)
-    at = np.flatnonzero(hashes == most)
-    return hashes[at], at, docs[at]
+    at = np.flatnonzero(rank == most)
+    return mix(grams[at]), at, np.searchsorted(offsets, at, "right") - 1
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -69,14 +75,14 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 @released
 def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, data, offsets in text_slices(batch, "text"):
+        for _, data, offsets in text_slices(batch, "text", SLICE):
             yield pa.RecordBatch.from_arrays([pa.array(signed(anchor_places(data, offsets)[0]))], names=["anchor"])
 
 
 @released
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, data, offsets in text_slices(batch, "text"):
+        for part, data, offsets in text_slices(batch, "text", SLICE):
             hashes, digest, doc, at, left, right = anchors(data, offsets)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -135,30 +141,83 @@ def suffix_order(data: np.ndarray, group: np.ndarray, last: np.ndarray) -> np.nd
     return order
 
 
+def _stable(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
+    return order[np.argsort(keys[order], kind="stable")]
+
+
+def run_ends(data: np.ndarray, ends: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbours in the transform's order that go on from different bytes.
+
+    The common prefix of other neighbours can be had from the positions before them.
+    """
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    group = groups[owner]
+    order = suffix_order(data, group, ends[1:][owner])
+    # The transform; what precedes a fragment is a value of its own.
+    before = np.where(order > 0, data[np.maximum(order - 1, 0)].astype(np.int32), 0)
+    first = order == ends[:-1][owner[order]]
+    before[first] = -1 - order[first]
+    border = np.flatnonzero((before[1:] != before[:-1]) & (group[order[1:]] == group[order[:-1]]))
+    return order[border], order[border + 1]
+
+
+def anchored_run_ends(
+    data: np.ndarray, ends: np.ndarray, groups: np.ndarray, anchors: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """``run_ends`` of fragments of which all from the anchor on is one letter.
+
+    Such suffixes of equal rank lie equally far before their anchors. The transform is built from the
+    anchors to the left: by the order of the suffixes from ``k`` bytes before them, it has the
+    bytes in front, and a stable sort by these is the order for ``k + 1`` (the step that
+    maps last letters to first ones). Suffixes shorter than ``length`` are left out at the end.
+    """
+    at = ends[:-1] + anchors
+    size = ends[1:] - at
+    group = groups.astype(np.uint16) if groups[-1] < 1 << 16 else groups
+    place = np.arange(max(int(size.max()), 1))
+    tails = np.where(place < size[:, None], data[np.minimum(at[:, None] + place, len(data) - 1)], 0).astype(np.uint8)
+    # Shorter ones first; zeros behind them change nothing else.
+    order = _stable(tails.view(f"S{len(place)}").ravel(), np.argsort(size, kind="stable"))
+    order = _stable(group, order)
+    place = np.arange(int(anchors.max()) + 1)[:, None]
+    before = np.where(place < anchors, data[np.maximum(at - 1 - place, 0)].astype(np.uint16) + 1, 0).astype(np.uint16)
+    same = groups[1:] == groups[:-1]
+    found = []
+    for k, column in enumerate(before):
+        byte = column[order]
+        # Fragments that begin here or behind, with 0, are the first of their group from here on.
+        border = np.flatnonzero(same & ((byte[1:] != byte[:-1]) | (byte[1:] == 0)))
+        pair = np.stack((order[border], order[border + 1]))
+        pair = pair[:, ((anchors[pair] >= k) & (size[pair] + k >= length)).all(axis=0)]
+        found.append(at[pair] - k)
+        order = _stable(group, _stable(column, order))
+    left, right = np.concatenate(found, axis=1)
+    return left, right
+
+
 def long_matches(
-    data: np.ndarray, ends: np.ndarray, groups: np.ndarray, sources: np.ndarray, begins: np.ndarray, length: int = LENGTH
+    data: np.ndarray,
+    ends: np.ndarray,
+    groups: np.ndarray,
+    sources: np.ndarray,
+    begins: np.ndarray,
+    length: int = LENGTH,
+    anchors: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Start and stop of regions of ``data`` that match elsewhere in their group.
 
     ``ends``: n + 1 offsets of the fragments; of each its group, ascending, its document and
     its place there: fragments of one document may overlap, and a place is no match of
     itself. The regions' union is that of all strings of ``length`` that another place of
-    the group holds.
+    the group holds. ``anchors``: places in the fragments; the strings are then those that
+    begin at them or before, equally far from them in both places.
     """
-    sizes = np.diff(ends)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
     last = ends[1:][owner]
-    group = groups[owner]
-    order = suffix_order(data, group, last)
-    # The transform; what precedes a fragment is a value of its own.
-    before = np.where(order > 0, data[np.maximum(order - 1, 0)].astype(np.int32), 0)
-    first = order == ends[:-1][owner[order]]
-    before[first] = -1 - order[first]
-    same_group = group[order[1:]] == group[order[:-1]]
-    # Run ends: where neighbours in the order go on from different bytes, their common
-    # prefix cannot be had from the positions before them.
-    border = np.flatnonzero((before[1:] != before[:-1]) & same_group)
-    left, right = order[border], order[border + 1]
+    if anchors is None:
+        left, right = run_ends(data, ends, groups)
+    else:
+        left, right = anchored_run_ends(data, ends, groups, anchors, length)
     room = np.minimum(last[left] - left, last[right] - right)
     start = begins[owner] - ends[:-1][owner]
     itself = (sources[owner[left]] == sources[owner[right]]) & (start[left] + left == start[right] + right)
@@ -195,14 +254,16 @@ def partnered(data: np.ndarray, ends: np.ndarray, groups: np.ndarray, left: np.n
     return found
 
 
-def _union(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of overlapping or touching regions."""
+def _union(start: np.ndarray, stop: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of overlapping or touching regions; runs end at ``ends`` of fragments."""
     if not len(start):
         return start, stop
     order = np.argsort(start, kind="stable")
     start, reach = start[order], np.maximum.accumulate(stop[order])
     head = np.ones(len(start), bool)
     head[1:] = start[1:] > reach[:-1]
+    if ends is not None:
+        head[1:] |= np.diff(np.searchsorted(ends, start, "right")) > 0
     return start[head], reach[np.append(np.flatnonzero(head)[1:] - 1, len(start) - 1)]
 
 
@@ -213,57 +274,50 @@ _MARK = "anchor long, digest long, start int, stop int"
 @released
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks of fragments that come sorted by anchor, relative to the anchor."""
-    held: list[tuple] = []
-    size = 0
-
-    def joined(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        ends = np.concatenate(([0], np.cumsum([len(h[4]) for h in rows]))).astype(np.int64)
-        return np.frombuffer(b"".join(h[4] for h in rows), np.uint8), ends
-
-    def marks() -> pa.RecordBatch:
-        some = held
-        anchor = np.array([h[0] for h in some])
-        group = np.cumsum(anchor != np.roll(anchor, 1))
-        data, ends = joined(some)
-        keep = partnered(data, ends, group, np.array([h[3] for h in some]))
+    held: list[pa.RecordBatch] = []
+
+    def marks(rows: pa.RecordBatch) -> pa.RecordBatch:
+        group = np.cumsum(np.diff(_numbers(rows, "anchor"), prepend=0) != 0)
+        keep = partnered(*flat(rows.column("content")), group, _numbers(rows, "left"))
         # Fragments that occur twice are marked anyway, so a group of these alone tells nothing.
-        single = keep & (np.array([h[2] for h in some]) == 1)
-        keep &= np.bincount(group[single], minlength=group[-1] + 1)[group] > 0
-        if not keep.any():
-            return _mark_batch([])
-        some = [h for h, kept in zip(some, keep.tolist(), strict=True) if kept]
-        (data, ends), group = joined(some), np.unique(group[keep], return_inverse=True)[1]
-        places = (np.array([h[c] for h in some], np.int64) for c in (5, 6))
-        start, stop = long_matches(data, ends, group, *places)
+        once = keep & (_numbers(rows, "n") == 1)
+        keep &= np.bincount(group[once], minlength=group[-1] + 1)[group] > 0
+        rows, group = rows.filter(pa.array(keep)), np.unique(group[keep], return_inverse=True)[1]
+        data, ends = flat(rows.column("content"))
+        start = stop = np.zeros(0, np.int64)
+        if rows.num_rows:
+            left = _numbers(rows, "left").astype(np.int64)
+            start, stop = long_matches(data, ends, group, _numbers(rows, "source"), _numbers(rows, "begin"), LENGTH, left)
+            once = (_numbers(rows, "n") == 1)[np.searchsorted(ends, start, "right") - 1]
+            start, stop = _union(start[once], stop[once], ends)
         fragment = np.searchsorted(ends, start, "right") - 1
-        out: list[tuple] = []
-        order = np.argsort(fragment, kind="stable")
-        bounds = np.flatnonzero(np.diff(fragment[order], prepend=-1))
-        for own in np.split(order, bounds[1:]) if len(order) else []:
-            anchor, digest, n, left, *_ = some[fragment[own[0]]]
-            if n == 1:  # fragments that occur twice are marked anyway
-                base = ends[fragment[own[0]]] + left
-                out.extend((anchor, digest, a - base, b - base) for a, b in zip(*_union(start[own], stop[own]), strict=True))
-        return _mark_batch(out)
+        base = (ends[:-1] + _numbers(rows, "left"))[fragment]
+        return pa.RecordBatch.from_arrays(
+            [
+                *(rows.column(c).take(pa.array(fragment)) for c in ("anchor", "digest")),
+                pa.array((start - base).astype(np.int32)), pa.array((stop - base).astype(np.int32)),
+            ],
+            names=["anchor", "digest", "start", "stop"],
+        )
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in _FRAGMENT), strict=True):  # a few MB
-            if size >= INDEX_BYTES and row[0] != held[-1][0]:
-                yield marks()
-                held, size = [], 0
-            held.append(row)
-            size += len(row[4])
+        for part, _, _ in text_slices(batch, "content", INDEX_BYTES):
+            held.append(part)
+            if sum(p.column("content").nbytes for p in held) < INDEX_BYTES:
+                continue
+            rows = pa.concat_batches(held)
+            anchor = _numbers(rows, "anchor")
+            # The last anchor's fragments may go on.
+            whole = int(np.argmax(anchor == anchor[-1]))
+            if whole:
+                yield marks(rows.slice(0, whole))
+            held = [rows.slice(whole)]
     if held:
-        yield marks()
+        yield marks(pa.concat_batches(held))
 
 
-def _mark_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * 4
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([int(x) for x in c], t) for c, t in zip(columns, types, strict=True)],
-        names=["anchor", "digest", "start", "stop"],
-    )
+def _numbers(rows: pa.RecordBatch, name: str) -> np.ndarray:
+    return rows.column(name).to_numpy()
 
 
 def _ranges(width: int, listed: bool):
@@ -430,8 +484,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     hashes = texts.select("text").mapInArrow(_anchor_hashes, "anchor long")
     twice = hashes.groupBy("anchor").count().filter("count > 1").select("anchor")
-    # A hot anchor's rows may be split, so this is a join and not a window.
-    seen = Stored(found.join(twice, "anchor"), "repeated-anchors").df
+    # A hot anchor's rows may be split, so this is a join and not a window. A partition's
+    # repeated anchors are few against its rows, which need no sort then.
+    seen = Stored(found.join(twice.hint("shuffle_hash"), "anchor"), "repeated-anchors").df
     fragments = seen.groupBy("anchor", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one")
     )

@@ -253,6 +253,76 @@ def test_fragments_without_a_partner_are_not_indexed(monkeypatch):
     assert sorted(found, key=lambda r: r["digest"]) == [{**shared, "digest": 150}, {**shared, "digest": n - 1}]
 
 
+def test_anchored_transform_finds_matches_equally_far_from_the_anchor():
+    rng = np.random.default_rng(11)
+    letters = np.array([0, 97, 255], np.uint8)
+    parts, anchors, groups, sources, begins = [], [], [], [], []
+    for group in range(12):
+        for _ in range(int(rng.integers(1, 9))):
+            left, right = int(rng.integers(0, 9)), int(rng.integers(0, 14))
+            parts.append(letters[rng.integers(0, 2 + group % 2, left + right) * (1 if group % 3 else 2) % 3].tobytes() or b"a")
+            anchors.append(min(left, len(parts[-1]) - 1))
+            groups.append(group)
+            sources.append(int(rng.integers(0, 4)))
+            begins.append(int(rng.integers(0, 3)) - anchors[-1])
+    data, ends = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+    lists = (np.array(x) for x in (groups, sources, begins))
+    start, stop = runindex.long_matches(data, ends, *lists, 6, np.array(anchors))
+    covered = [set() for _ in parts]
+    for a, b in zip(start.tolist(), stop.tolist(), strict=True):
+        f = int(np.searchsorted(ends, a, "right")) - 1
+        covered[f].update(range(a - ends[f], b - ends[f]))
+    windows = {}
+    for f, (part, anchor) in enumerate(zip(parts, anchors, strict=True)):
+        for k in range(anchor + 1):
+            if len(part) >= anchor - k + 6:
+                key = groups[f], k, part[anchor - k : anchor - k + 6]
+                windows.setdefault(key, []).append((f, anchor - k))
+    marked = {}  # by place of the document, which several fragments may hold
+    for places in windows.values():
+        if len({(sources[f], begins[f] + at) for f, at in places}) > 1:
+            for f, at in places:
+                marked.setdefault((groups[f], sources[f]), set()).update(range(begins[f] + at, begins[f] + at + 6))
+    got = {}
+    for f, places in enumerate(covered):
+        if places:
+            got.setdefault((groups[f], sources[f]), set()).update(begins[f] + x for x in places)
+    assert marked and got == marked
+
+
+def test_index_sorts_no_suffixes_behind_the_anchor(monkeypatch):
+    """The order comes from the anchors by stable sorts, a region never spans two fragments."""
+    monkeypatch.setattr(runindex, "suffix_order", lambda *_: pytest.fail("all suffixes are sorted"))
+    gram, head = b"g" * runindex.GRAM, b"h" * runindex.BEFORE
+    ends = [b"t" * 60 + x * 40 for x in (b"u", b"v", b"w")]
+    content = [head + gram + e for e in ends] + [gram + ends[0], gram + b"x" * 100]
+    columns = [[1] * 3 + [2] * 2, list(range(5)), [1] * 5, [100] * 3 + [0] * 2, content, list(range(5)), [0] * 5]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    batch = pa.RecordBatch.from_arrays(arrays, names=list(runindex._FRAGMENT))
+    found = [r for b in runindex._index_rows(iter([batch])) for r in b.to_pylist()]
+    assert found == [{"anchor": 1, "digest": d, "start": -100, "stop": 160} for d in range(3)]
+
+
+def test_anchors_are_the_same_in_slices_and_alone():
+    """Every window holds an anchor, and equal windows hold theirs at equal places."""
+    rng = np.random.default_rng(4)
+    parts = [rng.integers(97, 100, n).astype(np.uint8).tobytes() for n in (900, 199, 200, 0, 1500, 7)]
+    parts[4] = parts[4][:300] + parts[0][100:800] + parts[4][300:]
+    data, offsets = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+    hashes, at, docs = runindex.anchor_places(data, offsets)
+    rows = set(zip(docs.tolist(), (at - offsets[docs]).tolist(), hashes.tolist(), strict=True))
+    alone = set()
+    for d, part in enumerate(parts):
+        h, a, _ = runindex.anchor_places(np.frombuffer(part, np.uint8), np.array([0, len(part)]))
+        alone |= {(d, x, y) for x, y in zip(a.tolist(), h.tolist(), strict=True)}
+        places = sorted(a.tolist())
+        assert all(any(s <= x <= s + runindex.BEFORE for x in places) for s in range(len(part) - runindex.LENGTH + 1))
+    assert rows == alone
+    inner = {(x - 100, h) for d, x, h in rows if d == 0 and 200 <= x <= 600}
+    assert inner and inner == {(x - 300, h) for d, x, h in rows if d == 4 and 400 <= x <= 800}
+
+
 # token files
 
 
