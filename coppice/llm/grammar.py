@@ -31,6 +31,8 @@ BLOCK_IDS, LEAST_PAIRS = 1 << 20, 8
 #: Bytes of text that are encoded together; units a worker remembers, beyond that it starts afresh.
 BLOCK_TEXT = 4 << 20
 CACHE_WORDS = 800_000
+#: Units that the library gets as one text; longer ones take it more time a unit.
+TOGETHER = 2000
 #: Blocks whose starts are broadcast, 20 bytes each.
 BROADCAST_BLOCKS = 1 << 20
 END_ID = 0
@@ -78,7 +80,8 @@ class WordEncoder:
         Units without white space get a line feed between them, which is an id of its own.
         """
         if spaced:
-            ids = self._coded(["".join(units)])[0]
+            texts = ["".join(units[i : i + TOGETHER]) for i in range(0, len(units), TOGETHER)]
+            ids = np.concatenate(self._coded(texts))
             starts = np.flatnonzero(self.spaced[ids])
             if len(starts) == len(units) and starts[0] == 0:
                 return ids, np.diff(np.append(starts, len(ids)))
@@ -205,6 +208,23 @@ def _chosen(pairs: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
     return np.sort(np.array(chosen, pairs.dtype))
 
 
+def _found(chosen: np.ndarray, codes: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each code a place in ``chosen``, and where it is the code's own, ascending.
+
+    A table of slots tells most; codes whose slot another chosen pair took are looked up.
+    """
+    table = np.full(1 << 20, -1, np.int32)
+    own = _slots(chosen)
+    table[own] = np.arange(len(chosen))
+    at = table.take(slots)
+    hit = (at >= 0) & (chosen.take(at, mode="clip") == codes)
+    if (table[own] != np.arange(len(chosen))).any():
+        rest = np.flatnonzero((at >= 0) & ~hit)
+        place = np.minimum(np.searchsorted(chosen, codes[rest]), len(chosen) - 1)
+        at[rest], hit[rest] = place, chosen[place] == codes[rest]
+    return at, np.flatnonzero(hit)
+
+
 def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, n + 1 document offsets into them, and rules (two symbols each)."""
     symbols = ids.astype(np.uint32)
@@ -218,23 +238,22 @@ def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.ndarr
         bits = 16 if first_rule + made <= 1 << 16 else 32
         kind = np.uint32 if bits == 16 else np.uint64
         joint = np.flatnonzero(live)
-        codes = (symbols[joint].astype(kind, copy=False) << kind(bits)) | symbols[joint + 1]
-        slots = _slots(codes)
-        often = (np.bincount(slots, minlength=1 << 20) >= LEAST_PAIRS)[slots]
-        live[joint[~often]] = False
-        joint, codes, slots = joint[often], codes[often], slots[often]
+        if 2 * len(joint) > len(symbols):  # in one go from neighbour to neighbour
+            codes = ((symbols[:-1].astype(kind, copy=False) << kind(bits)) | symbols[1:]).take(joint)
+        else:
+            codes = (symbols.take(joint).astype(kind, copy=False) << kind(bits)) | symbols.take(joint + 1)
+        slots = _slots(codes).astype(np.int64)
+        often = np.flatnonzero((np.bincount(slots, minlength=1 << 20) >= LEAST_PAIRS).take(slots))
+        joint, codes, slots = joint.take(often), codes.take(often), slots.take(often)
+        live[:] = False
+        live[joint] = True
         pairs, counts = np.unique(codes, return_counts=True)
         keep = counts >= LEAST_PAIRS
         if not keep.any():
             break
         chosen = _chosen(pairs[keep], counts[keep], bits)
-        wanted = np.zeros(1 << 20, bool)
-        wanted[_slots(chosen)] = True
-        wanted = wanted[slots]
-        joint, code = joint[wanted], codes[wanted]
-        at = np.minimum(np.searchsorted(chosen, code), len(chosen) - 1)
-        hit = chosen[at] == code
-        joint, at = joint[hit], at[hit]
+        at, hit = _found(chosen, codes, slots)
+        joint, at = joint.take(hit), at.take(hit)
         # Pairs of one symbol overlap in runs; every second place counts, from the left.
         apart = np.diff(joint, prepend=-2) > 1
         if not apart.all():
@@ -249,7 +268,8 @@ def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.ndarr
         keep[joint + 1] = False
         # The place before a new symbol may have been the right side of the one before it.
         live[np.maximum(joint - 2, 0)] |= ~keep[np.maximum(joint - 1, 0)]
-        symbols, last, live = symbols[keep], last[keep], live[keep]
+        kept = np.flatnonzero(keep)
+        symbols, last, live = symbols.take(kept), last.take(kept), live.take(kept)
         live &= ~last
         rules.append(np.stack((chosen >> kind(bits), chosen & kind((1 << bits) - 1)), axis=1).astype(np.int64))
         made += len(chosen)

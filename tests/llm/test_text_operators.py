@@ -326,6 +326,30 @@ def test_anchors_are_the_same_in_slices_and_alone():
 # token files
 
 
+def test_units_reach_the_library_in_texts_of_bounded_length(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library, most = grammar.WordEncoder(path), Tokenizer.from_file(path), []
+    coded = encoder._coded
+    monkeypatch.setattr(encoder, "_coded", lambda texts: most.append(max(map(len, texts))) or coded(texts))
+    texts = [" ".join(f"w{i}q" for i in range(a, a + 4000)) + " end." for a in (0, 2500)]
+    ids, ends = encoder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    assert max(most) <= 2000 * len(" w6499q")
+
+
+def test_chosen_pairs_whose_slots_collide_are_found():
+    rng = np.random.default_rng(2)
+    many = np.unique(rng.integers(0, 1 << 32, 40000, np.uint64).astype(np.uint32))
+    chosen = many[::4]
+    assert len(np.unique(grammar._slots(chosen))) < len(chosen)
+    codes = rng.permutation(np.concatenate((many, chosen)))
+    at, hit = grammar._found(chosen, codes, grammar._slots(codes).astype(np.int64))
+    assert np.array_equal(hit, np.flatnonzero(np.isin(codes, chosen)))
+    assert np.array_equal(chosen[at[hit]], codes[hit])
+
+
 def test_units_are_numbered_together():
     """New units of a slice get their numbers at once, whatever white space they hold."""
     path = public_tokenizers.path("byte_bpe_50k.json")
